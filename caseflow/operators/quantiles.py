@@ -37,4 +37,5 @@ def quantile_of_ranked(value: str, p: float) -> Column:
         return F.max(F.when(hit, F.col(value)))
 
     low, high = at(F.floor(rank)), at(F.ceil(rank))
-    return low + (high - low) * F.max(rank - F.floor(rank))
+    share = F.max(rank - F.floor(rank))
+    return low * (F.lit(1.0) - share) + high * share

@@ -106,7 +106,8 @@ def agency_resolution(resolution: DataFrame, first: Day, last: Day, n: int = 10)
     total = F.sum("n_closed")
 
     def weighted(column: str) -> Column:
-        return F.sum(F.col(column) * F.col("n_closed")) / total
+        # The rounding drops what the order of the additions leaves behind.
+        return F.round(F.sum(F.col(column) * F.col("n_closed")), 6) / total
 
     rows = weeks.groupBy("agency", "agency_name").agg(
         total.alias("n_closed"),

@@ -87,16 +87,14 @@ G4_ORDER_SQL = t.over_marts(
 
 
 def g5(spark, sf_dir):
-    rows = r.agency_resolution(model.f2(spark, sf_dir), FIRST_DAY, LAST_DAY)
-    means = ["weighted_median_hours", "weighted_p90_hours", "within_24h"]
-    return rows.withColumns({c: F.round(c, 6) for c in means})
+    return r.agency_resolution(model.f2(spark, sf_dir), FIRST_DAY, LAST_DAY)
 
 
 G5_SQL = t.over_marts(
     """select agency, agency_name, sum(n_closed)::bigint as n_closed,
-    round(sum(median_hours_to_close * n_closed) / sum(n_closed), 6) as weighted_median_hours,
-    round(sum(p90_hours_to_close * n_closed) / sum(n_closed), 6) as weighted_p90_hours,
-    round(sum(share_closed_within_24h * n_closed) / sum(n_closed), 6) as within_24h
+    round(sum(median_hours_to_close * n_closed), 6) / sum(n_closed) as weighted_median_hours,
+    round(sum(p90_hours_to_close * n_closed), 6) / sum(n_closed) as weighted_p90_hours,
+    round(sum(share_closed_within_24h * n_closed), 6) / sum(n_closed) as within_24h
     from resolution where week_start between date '1997-12-26' and date '1998-06-30'
     group by agency, agency_name order by 3 desc, agency limit 10"""
 )

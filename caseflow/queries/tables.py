@@ -470,7 +470,9 @@ resolution as (
         a.agency_name, count(*) as n_closed,
         round(median(f.hours_to_close), 1) as median_hours_to_close,
         round(quantile_cont(f.hours_to_close, 0.9), 1) as p90_hours_to_close,
-        round(avg(f.hours_to_close), 1) as mean_hours_to_close,
+        -- exact mean of whole minutes: a sum of doubles would depend on the row order
+        round(sum(round(f.hours_to_close * 60)::bigint) / (60.0::double * count(*)), 1)
+            as mean_hours_to_close,
         count_if(f.hours_to_close <= 24)::double / count(*) as share_closed_within_24h
     from fact f join agencies a on a.agency_key = f.agency_key
     where f.is_closed and f.hours_to_close is not null
