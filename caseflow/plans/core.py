@@ -12,10 +12,6 @@ from caseflow.functions.dates import as_ntz
 from caseflow.operators.sequence import number_versions
 from caseflow.schema import Settings
 
-# Fixed value: first day of the calendar.
-CALENDAR_START = date(2010, 1, 1)
-
-
 def complaint_key() -> Column:
     return composite_key("complaint_type", "descriptor")
 
@@ -60,14 +56,18 @@ def dim_complaint_type(requests: DataFrame) -> DataFrame:
     )
 
 
+def days_from(start: date | Column, end: date | Column) -> Column:
+    """Array of the days of the closed range; null when it is empty."""
+    first, last = ((b if isinstance(b, Column) else F.lit(b)).cast("date") for b in (start, end))
+    return F.when(first <= last, F.sequence(first, last, F.expr("interval 1 day")))
+
+
 def day_series(spark: SparkSession, start: date | Column, end: date | Column) -> DataFrame:
     """One row per day of the closed range."""
-    bounds = [b if isinstance(b, Column) else F.lit(b) for b in (start, end)]
-    days = F.sequence(bounds[0].cast("date"), bounds[1].cast("date"), F.expr("interval 1 day"))
-    return spark.range(1).select(F.explode(days).alias("date_day"))
+    return spark.range(1).select(F.explode(days_from(start, end)).alias("date_day"))
 
 
-def dim_date(spark: SparkSession, as_of, start: date = CALENDAR_START) -> DataFrame:
+def dim_date(spark: SparkSession, as_of, start: date = Settings.calendar_start) -> DataFrame:
     """Calendar from ``start`` to one year after ``as_of``."""
     end = F.add_months(F.to_date(as_ntz(as_of)), 12)
     parts = [c.alias(name) for name, c in date_parts("date_day").items()]

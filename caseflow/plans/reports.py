@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from caseflow.functions import days_between, freshness_label, hours_between
 from caseflow.operators.quantiles import round1
+from caseflow.plans.core import days_from
 from caseflow.plans.marts import count_where
 from caseflow.schema import Settings
 
@@ -90,7 +91,7 @@ def borough_list(volume: DataFrame) -> DataFrame:
 def densify(selection: DataFrame, by: str, first: Day, last: Day) -> DataFrame:
     """Every day of the range for every category, zeros filled, in long format."""
     daily = selection.groupBy("created_date", by).agg(F.sum("n_requests").alias("n"))
-    days = F.sequence(_day(first), _day(last), F.expr("interval 1 day"))
+    days = days_from(first, last)
     # Each category row unfolds into its own days.
     grid = selection.select(by).distinct().select(by, F.explode(days).alias("created_date"))
     return grid.join(daily, ["created_date", by], "left").select(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import types as T
 
@@ -82,6 +83,8 @@ class Settings:
     fresh_warn_hours: float = 36
     fresh_error_hours: float = 72
     max_hours_since_update: float = 72
+    # First day of the calendar dimension.
+    calendar_start: date = date(2010, 1, 1)
     # Hash buckets of the upserted tables: aim at roughly 1 GB of data per bucket.
     buckets: int = 64
     # Groups with more rows than this are numbered by range slices, not in one window task.
