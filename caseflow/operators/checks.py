@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import partial
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseflow.functions import as_ntz, elapsed_hours, parse_ts
 from caseflow.functions.text import is_zip
+from caseflow.session import together
 
 PASS, WARN, ERROR = "PASS", "WARN", "ERROR"
 
@@ -55,9 +57,13 @@ def unique(df: DataFrame, value: Column) -> DataFrame:
     return counts.agg(F.count("*").alias("n_records")).filter(F.col("n_records") > 1)
 
 
+def is_not_accepted(column: str, values: Sequence[str]) -> Column:
+    return F.col(column).isNotNull() & ~F.col(column).isin(list(values))
+
+
 def accepted_values(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
     """Non-null values outside the list, with their number of rows."""
-    bad = df.filter(F.col(column).isNotNull() & ~F.col(column).isin(list(values)))
+    bad = df.filter(is_not_accepted(column, values))
     return bad.groupBy(F.col(column).alias("value_field")).agg(F.count("*").alias("n_records"))
 
 
@@ -178,8 +184,9 @@ Tables = Callable[[str], DataFrame]
 class Check:
     """A named check of one table.
 
-    Row checks give a ``predicate`` of their failing rows; all of a table's row checks are counted
-    in one scan. Other checks give a frame of failing rows, or of one status row (``reports``).
+    ``predicate`` marks the failing rows of a row check; all row checks of a table are counted in
+    one scan. ``failing`` gives the failing rows as a frame of its own (with a predicate as well, it
+    is only asked for when the scan has found some). ``reports`` gives one row with a status.
     """
 
     name: str
@@ -199,6 +206,10 @@ class Check:
         rows = tables(self.table).filter(self.predicate)
         return rows.select(*self.columns) if self.columns else rows
 
+    def count_failing(self, tables: Tables) -> int:
+        n = F.sum(self.weight) if self.weight else F.count("*")
+        return int(self.failing_rows(tables).agg(n).first()[0] or 0)
+
 
 @dataclass(frozen=True)
 class Result:
@@ -207,26 +218,27 @@ class Result:
     status: str
 
 
-def evaluate(checks: Sequence[Check], tables: Tables) -> list[Result]:
-    """Count the failing rows of every check: one scan per table for all of its row checks."""
-    counted: dict[str, int] = {}
-    statuses: dict[str, str] = {}
+def scan_rows(checks: Sequence[Check], df: DataFrame) -> dict[str, int]:
+    """Rows marked by the predicate of every check, in one scan."""
+    return df.agg(*[F.count_if(c.predicate).alias(c.name) for c in checks]).first().asDict()
+
+
+def evaluate(spark: SparkSession, checks: Sequence[Check], tables: Tables) -> list[Result]:
+    """Count the failing rows of every check, independent queries side by side."""
     by_table: dict[str, list[Check]] = {}
     for check in checks:
         if check.predicate is not None:
             by_table.setdefault(check.table, []).append(check)
-    for table, rows in by_table.items():
-        sums = [F.count(F.when(c.predicate, 1)).alias(c.name) for c in rows]
-        counted.update(tables(table).agg(*sums).first().asDict())
-    for check in checks:
+    scans = [partial(scan_rows, group, tables(table)) for table, group in by_table.items()]
+    marked = {name: n for counts in together(spark, scans) for name, n in counts.items()}
+
+    def result(check: Check) -> Result:
         if check.reports is not None:
             status = check.reports(tables).first()["status"]
-            statuses[check.name] = status
-            counted[check.name] = int(status != PASS)
-        elif check.failing is not None:
-            n = F.sum(check.weight) if check.weight else F.count("*")
-            counted[check.name] = int(check.failing(tables).agg(n).first()[0] or 0)
-    return [
-        Result(c, counted[c.name], statuses.get(c.name) or c.policy.status(counted[c.name]))
-        for c in checks
-    ]
+            return Result(check, int(status != PASS), status)
+        failing = marked.get(check.name)
+        if failing is None or (failing and check.failing is not None):
+            failing = check.count_failing(tables)
+        return Result(check, failing, check.policy.status(failing))
+
+    return together(spark, [partial(result, c) for c in checks])

@@ -37,7 +37,8 @@ def unique(table: str, value: Column, label: str) -> Check:
 
 def accepted(table: str, column: str, values: list[str]) -> Check:
     rows = lambda tables: c.accepted_values(tables(table), column, values)
-    return Check(_named("accepted_values", table, column), table, failing=rows)
+    bad = c.is_not_accepted(column, values)
+    return Check(_named("accepted_values", table, column), table, predicate=bad, failing=rows)
 
 
 def related(table: str, column: str, parent: str) -> Check:

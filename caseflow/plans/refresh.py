@@ -5,19 +5,30 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from caseflow.operators.checks import ERROR, Check, Result, evaluate
 from caseflow.plans import quality
 from caseflow.plans.build import build_core, build_marts, build_staging
 from caseflow.plans.ingest import RunResult, Source, ingest, utc_now
 from caseflow.plans.store import Warehouse
+from caseflow.session import literal_rows, together
 from caseflow.sources.landing import NO_FILES
 
-RESULT_COLUMNS = "build_id string, checked_at timestamp_ntz, test string, failing_rows long, status string"
+RESULT_SCHEMA = T.StructType(
+    [
+        T.StructField("build_id", T.StringType()),
+        T.StructField("checked_at", T.TimestampNTZType()),
+        T.StructField("test", T.StringType()),
+        T.StructField("failing_rows", T.LongType()),
+        T.StructField("status", T.StringType()),
+    ]
+)
 
 
 @dataclass
@@ -48,15 +59,17 @@ def tables_of(wh: Warehouse):
 
 def run_checks(wh: Warehouse, state: Refresh, checks: list[Check]) -> bool:
     """Evaluate, record and store failing rows; false when the build must stop here."""
-    results = evaluate(checks, tables_of(wh))
+    results = evaluate(wh.spark, checks, tables_of(wh))
     now = utc_now()
     rows = [(state.build_id, now, r.check.name, r.failing_rows, r.status) for r in results]
-    frame = wh.spark.createDataFrame(rows, RESULT_COLUMNS).coalesce(1)
+    frame = literal_rows(wh.spark, RESULT_SCHEMA, rows)
     frame.write.mode("append").parquet(wh.path("dq/results"))
-    for r in results:
-        if r.failing_rows:
-            failing = r.check.failing_rows(tables_of(wh))
-            failing.write.parquet(wh.path(f"dq/{r.check.name}/build={state.build_id}"))
+
+    def store(check: Check) -> None:
+        failing = check.failing_rows(tables_of(wh))
+        failing.write.parquet(wh.path(f"dq/{check.name}/build={state.build_id}"))
+
+    together(wh.spark, [partial(store, r.check) for r in results if r.failing_rows])
     state.results += results
     state.blocked_by += [r.check.name for r in results if r.status == ERROR]
     return state.ok
@@ -65,10 +78,10 @@ def run_checks(wh: Warehouse, state: Refresh, checks: list[Check]) -> bool:
 def check_results(wh: Warehouse, build_id: str | None = None) -> DataFrame:
     """Recorded results of one build, by default the latest."""
     try:
-        results = wh.spark.read.schema(RESULT_COLUMNS).parquet(wh.path("dq/results"))
+        results = wh.spark.read.schema(RESULT_SCHEMA).parquet(wh.path("dq/results"))
     except AnalysisException as e:
         if e.getCondition() in NO_FILES:
-            return wh.spark.createDataFrame([], RESULT_COLUMNS)
+            return wh.spark.createDataFrame([], RESULT_SCHEMA)
         raise
     if build_id is None:
         newest = results.agg(F.max_by("build_id", "checked_at").alias("b")).scalar()

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from datetime import datetime
+from threading import RLock
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -13,6 +15,7 @@ from pyspark.sql import types as T
 
 from caseflow.operators.incremental import merge_latest, unseen
 from caseflow.schema import Settings
+from caseflow.session import literal_rows
 from caseflow.sources.landing import NO_FILES, read_landing
 from caseflow.sources.runlog import RunLog
 
@@ -54,6 +57,9 @@ class Warehouse:
         self.raw_path = f"{self.root}/raw"
         self.runs = RunLog(spark, f"{self.root}/meta/ingest_runs")
         self._marks: dict[str, Row] | None = None
+        self._uncommitted: list[tuple] = []
+        self._deferred = False
+        self._lock = RLock()
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -73,11 +79,12 @@ class Warehouse:
 
     def build_mark(self, name: str) -> Row | None:
         """The newest committed build of a table: read once, then kept by this one writer."""
-        if self._marks is None:
-            newest = F.max_by(F.struct(*MARK_FIELDS), "built_at").alias("m")
-            rows = self.builds().groupBy("table").agg(newest).collect()
-            self._marks = {r["table"]: r["m"] for r in rows}
-        return self._marks.get(name)
+        with self._lock:
+            if self._marks is None:
+                newest = F.max_by(F.struct(*MARK_FIELDS), "built_at").alias("m")
+                rows = self.builds().groupBy("table").agg(newest).collect()
+                self._marks = {r["table"]: r["m"] for r in rows}
+            return self._marks.get(name)
 
     def through(self, name: str) -> str | None:
         mark = self.build_mark(name)
@@ -85,10 +92,29 @@ class Warehouse:
 
     def commit(self, name: str, schema: T.StructType, through: str | None, buckets: int) -> None:
         row = (name, through, buckets, schema.json(), datetime.now())
-        frame = self.spark.createDataFrame([row], BUILD_SCHEMA).coalesce(1)
-        frame.write.mode("append").parquet(self.path("meta/builds"))
-        if self._marks is not None:
+        with self._lock:
+            self.build_mark(name)
             self._marks[name] = Row(**dict(zip(MARK_FIELDS, row[1:4], strict=True)))
+            self._uncommitted.append(row)
+            if not self._deferred:
+                self._flush()
+
+    def _flush(self) -> None:
+        rows, self._uncommitted = self._uncommitted, []
+        if rows:
+            frame = literal_rows(self.spark, BUILD_SCHEMA, rows)
+            frame.write.mode("append").parquet(self.path("meta/builds"))
+
+    @contextmanager
+    def one_commit(self) -> Iterator[None]:
+        """Write the marks of several tables in one file; what finished is marked even on failure."""
+        self._deferred = True
+        try:
+            yield
+        finally:
+            self._deferred = False
+            with self._lock:
+                self._flush()
 
     # --- reads -------------------------------------------------------------------------
 

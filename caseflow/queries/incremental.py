@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import functions as F
 
 from caseflow.operators import incremental as inc
@@ -155,6 +157,7 @@ def d10(spark, sf_dir):
     return t.versions(spark, sf_dir)
 
 
+@lru_cache(maxsize=1)
 def built(spark, sf_dir) -> Warehouse:
     """Land and build the requests in two overlapping batches."""
     wh = Warehouse(spark, scratch_path(spark, "warehouse"), SMALL)

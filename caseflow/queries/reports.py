@@ -179,7 +179,9 @@ def dq_results(spark, sf_dir):
     """Outcome of the row checks of the staged requests, one row per check."""
     requests = t.requests(spark, sf_dir)
     checks = [
-        c for c in q.staging_checks(t.REQUESTS_AS_OF) if c.table == b.REQUESTS and c.predicate is not None
+        c
+        for c in q.staging_checks(t.REQUESTS_AS_OF)
+        if c.table == b.REQUESTS and c.predicate is not None and c.failing is None
     ]
     counts = requests.agg(*[F.count_if(c.predicate).alias(c.name) for c in checks])
     names = [c.name for c in checks]

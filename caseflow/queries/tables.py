@@ -8,6 +8,7 @@ Each frame has its SQL twin next to it, as common table expressions for the comp
 from __future__ import annotations
 
 from datetime import date
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,6 +75,7 @@ def text(c: Column) -> Column:
     return c.cast("string")
 
 
+@lru_cache(maxsize=4)
 def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed text rows: lineitem, its order and the customer."""
     rows = (
@@ -288,10 +290,12 @@ coverage as (
 # --- staged and modelled requests --------------------------------------------------------
 
 
+@lru_cache(maxsize=4)
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_requests(raw_requests(spark, sf_dir))
 
 
+@lru_cache(maxsize=4)
 def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return request_versions(raw_requests(spark, sf_dir))
 
@@ -581,24 +585,19 @@ landed as (
 def event_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The version log of the events: one version per event of its user, landed at midnight, and
     the last 15 minutes of every day landed again with the next day's run."""
+    next_day = F.date_add(F.to_date("ts"), 1)
+    overlaps = (F.hour("ts") == 23) & (F.minute("ts") >= 45)
+    landings = F.when(overlaps, F.array(next_day, F.date_add(next_day, 1)))
     e = table(spark, sf_dir, "events").select(
         text(F.col("user_id")).alias("unique_key"),
         text(F.col("event_id")).alias("sys_id"),
         F.concat(iso_text("ts"), F.lit("Z")).alias("sys_updated_at"),
         F.col("event_type").alias("status"),
         F.col("props").alias("_extra"),
-        F.date_add(F.to_date("ts"), 1).alias("landed_on"),
-        ((F.hour("ts") == 23) & (F.minute("ts") >= 45)).alias("overlaps"),
-    )
-    again = e.filter("overlaps").withColumn("landed_on", F.date_add("landed_on", 1))
-    return e.unionByName(again).select(
-        "unique_key",
-        "sys_id",
-        "sys_updated_at",
-        "status",
-        "_extra",
-        F.concat(text(F.col("landed_on")), F.lit("T00:00:00")).alias("_ingested_at"),
+        F.explode(landings.otherwise(F.array(next_day))).alias("landed_on"),
     )
+    stamp = F.concat(text(F.col("landed_on")), F.lit("T00:00:00"))
+    return e.withColumn("_ingested_at", stamp).drop("landed_on")
 
 
 EVENT_VERSIONS_SQL = """

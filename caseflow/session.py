@@ -4,8 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from datetime import date, datetime
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -46,3 +53,32 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _literal(value: Any, dtype: T.DataType) -> Column:
+    if isinstance(value, (list, tuple)):
+        return F.array(*map(F.lit, value)).cast(dtype)
+    if isinstance(value, (datetime, date)):
+        value = str(value)
+    return F.lit(value).cast(dtype)
+
+
+def literal_rows(
+    spark: SparkSession, schema: T.StructType, rows: Sequence[Sequence[Any]]
+) -> DataFrame:
+    """A few driver values (log entries, check results) as one partition, without Python workers."""
+    if not rows:
+        return spark.createDataFrame([], schema)
+    structs = [
+        F.struct(*[_literal(v, f.dataType).alias(f.name) for v, f in zip(r, schema, strict=True)])
+        for r in rows
+    ]
+    one = spark.range(0, 1, 1, 1)
+    return one.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
+
+
+def together(spark: SparkSession, tasks: Sequence[Callable[[], Any]], width: int = 8) -> list:
+    """Run independent Spark jobs from threads, so the tail of one overlaps the next."""
+    with ThreadPoolExecutor(min(width, max(len(tasks), 1))) as pool:
+        run = [pool.submit(inheritable_thread_target(spark)(task)) for task in tasks]
+        return [f.result() for f in run]

@@ -39,10 +39,9 @@ def read_landing(spark: SparkSession, root: str, merge_schema: bool = False) ->
 
 def drift_json(line: Column, known: list[str]) -> Column:
     """JSON object of the members whose key is not known, value types kept; null when none."""
-    has_drift = F.size(F.array_except(F.json_object_keys(line), F.array(*map(F.lit, known)))) > 0
     members = F.from_json(line, "map<string,variant>", {"mode": "FAILFAST"})
-    # The second parse runs only for the lines that do drift.
-    return F.when(has_drift, F.to_json(F.map_filter(members, lambda k, _: ~k.isin(known))))
+    unknown = F.map_filter(members, lambda key, _: ~key.isin(known))
+    return F.nullif(F.to_json(unknown), F.lit("{}"))
 
 
 def parse_records(
@@ -62,8 +61,8 @@ def parse_records(
     parsed = lines.select(
         *(keep or []), record.alias("_r"), drift_json(F.col(line), known).alias("_extra")
     )
-    fields = [F.col("_r").getField(f).alias(landed_name(f)) for f in known]
-    return parsed.select(*(keep or []), *fields, "_extra")
+    renamed = {f: landed_name(f) for f in known if landed_name(f) != f}
+    return parsed.select(*(keep or []), "_r.*", "_extra").withColumnsRenamed(renamed)
 
 
 def stamp(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from caseflow.functions import parse_ts
 from caseflow.schema import RUN_COLUMNS, RUN_EVENT_SCHEMA, RUN_SCHEMA, Settings
+from caseflow.session import literal_rows
 from caseflow.sources.landing import NO_FILES
 
 SUCCEEDED, FAILED, RUNNING = "succeeded", "failed", "running"
@@ -111,7 +112,7 @@ class RunLog:
 
     def _append(self, event_seq: int, **values) -> None:
         row = tuple(values.get(c) for c in RUN_COLUMNS) + (event_seq,)
-        frame = self.spark.createDataFrame([row], RUN_EVENT_SCHEMA).coalesce(1)
+        frame = literal_rows(self.spark, RUN_EVENT_SCHEMA, [row])
         frame.write.mode("append").parquet(self.path)
 
     def start(self, run_id: str, started_at: datetime, lower: str, upper: str) -> None:
