@@ -111,7 +111,7 @@ def test_keyset_pages_walk_through_ties(spark):
 
 
 @pytest.mark.parametrize("unique", [True, False])
-def test_assigned_pages_are_exact_under_ties(spark, unique):
+def test_assigned_pages_are_exact_under_ties(spark, uncoalesced, unique):
     paged = assign_pages(tied(spark).repartition(5), "ts", "id", 7, unique).orderBy("row_no")
     got = paged.collect()
     assert [r["row_no"] for r in got] == list(range(25))
@@ -119,7 +119,7 @@ def test_assigned_pages_are_exact_under_ties(spark, unique):
     assert [r["page_no"] for r in got] == [i // 7 for i in range(25)]
 
 
-def test_equal_rows_are_spread_over_range_partitions(spark):
+def test_equal_rows_are_spread_over_range_partitions(spark, uncoalesced):
     df = spark.range(4000).select(F.lit(1).alias("ts"), F.lit("same").alias("id"))
     sizes = in_range_order(df, ["ts", "id"]).groupBy("_pid").count().collect()
     assert len(sizes) > 1 and sum(r["count"] for r in sizes) == 4000
