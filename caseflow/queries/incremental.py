@@ -12,7 +12,7 @@ from caseflow.plans import build as b
 from caseflow.plans.store import Warehouse
 from caseflow.queries import tables as t
 from caseflow.schema import Settings
-from caseflow.session import scratch_path
+from caseflow.session import materialise, scratch_path
 from caseflow.sources.landing import fixed_columns, write_batch
 from caseflow.streaming.landing_stream import run_available
 
@@ -163,7 +163,7 @@ def built(spark, sf_dir) -> Warehouse:
     wh = Warehouse(spark, scratch_path(spark, "warehouse"), SMALL)
     raw = fixed_columns(t.raw_requests(spark, sf_dir))
     for part in (FIRST, SECOND):
-        batch = raw.filter(part)
+        batch = materialise(raw.filter(part), "landed")
         b.build_requests(wh, batch)
         b.build_versions(wh, batch)
         keys = batch.select("unique_key").distinct()
