@@ -156,9 +156,11 @@ def run_summary(raw: DataFrame, run_id: str, ingest_dates: list[date]) -> dict:
     partitions and three narrow columns are scanned.
     """
     mine = raw.filter(F.col("ingest_date").isin(ingest_dates) & (F.col("_run_id") == run_id))
-    row = mine.agg(
+    # Not _metadata: a landing zone without any file does not have it.
+    located = mine.select("sys_updated_at", F.input_file_name().alias("file"))
+    row = located.agg(
         F.count("*").alias("rows"),
-        F.count_distinct("_metadata.file_path").alias("files"),
+        F.count_distinct("file").alias("files"),
         F.max("sys_updated_at").alias("max_updated_seen"),
     ).first()
     # One run-log row holds the key list, so its size is that of the drift report itself.

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from caseflow.plans.ingest import ingest
 from caseflow.plans.store import Warehouse
+from caseflow.schema import Settings
 from caseflow.sources.runlog import RunLog, WindowRefused, read_watermark, recent_runs
 
 START = "2026-09-01T00:00:00"
@@ -55,8 +56,6 @@ def test_backfill_then_increment_with_overlap(spark, wh):
 
 
 def test_unpaged_batches_name_task_and_file(spark, tmp_path):
-    from caseflow.schema import Settings
-
     wh = Warehouse(spark, str(tmp_path / "w"), Settings(rows_per_file=3))
     result = ingest(wh, ten(spark), start=START, **at(0))
     files = wh.raw().select("_batch_id", "_metadata.file_path").distinct()
@@ -88,6 +87,15 @@ def test_failed_run_keeps_files_and_watermark(spark, wh):
     assert wh.raw().select("unique_key").distinct().count() == 10
 
 
+def test_an_interrupted_run_is_not_a_success(spark, wh):
+    def interrupted(lower, upper):
+        raise KeyboardInterrupt
+
+    with pytest.raises(KeyboardInterrupt):
+        ingest(wh, interrupted, start=START, **at(0))
+    assert wh.runs.runs().first()["status"] == "failed"
+
+
 def test_dry_run_writes_nothing(spark, wh):
     feed = Feed(spark, [record(1, "2026-09-02T00:00:00.000Z")])
     result = ingest(wh, feed, start=START, dry_run=True, **at(0))
