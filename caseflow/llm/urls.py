@@ -69,7 +69,7 @@ def judge_urls(
     rules or an empty table are fine.
     """
     urls = settle(
-        pages.select(pages[url].cast("string").alias("_url")).distinct().filter("_url is not null"),
+        pages.select(F.coalesce(pages[url].cast("string"), F.lit("")).alias("_url")).distinct(),
         "urls",
     )
     parts = urls.select("_url", host_of(F.col("_url")).alias("host"), path_of(F.col("_url")).alias("path"))
@@ -109,7 +109,8 @@ def judge_urls(
         F.max_by(F.struct("rule", "action"), best).alias("winner")
     )
     rows = pages.select(
-        F.struct(*(keep or ["*"])).alias("row"), pages[url].cast("string").alias("_url")
+        F.struct(*(keep or ["*"])).alias("row"),
+        F.coalesce(pages[url].cast("string"), F.lit("")).alias("_url"),
     )
     return rows.join(verdicts, "_url", "left").select(
         "row",

@@ -99,7 +99,8 @@ class Archive:
         share = SAMPLE_BYTES // max(1, len(samples))
         dictionary = train([s[: max(share, 64)] for s in samples])
         self.compress = zstandard.ZstdCompressor(level=LEVEL, dict_data=dictionary).compress
-        self.out = system.open_output_stream(path)
+        # No second compression after the extension.
+        self.out = system.open_output_stream(path, compression=None)
         content = dictionary.as_bytes()
         self.out.write(DICTIONARY_MAGIC + len(content).to_bytes(4, "little") + content)
         self.records, self.size = 0, 8 + len(content)
@@ -233,7 +234,7 @@ def read_archives(archives: DataFrame, payloads: bool = False) -> DataFrame:
         for batch in batches:
             for file in batch.column("path").to_pylist():
                 system, path = pafs.FileSystem.from_uri(file)
-                with system.open_input_stream(path) as stream:
+                with system.open_input_stream(path, compression=None) as stream:
                     held: list[dict] = []
                     for data in frames(stream):
                         parsed = parse_record(data)
