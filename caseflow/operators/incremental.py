@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,26 +18,28 @@ def increment(
     since: DataFrame | str | None,
     column: str = INGESTED,
     through: str | None = None,
-    lookback_days: int = 1,
 ) -> DataFrame:
     """Rows landed after ``since``: a stamp, or a target frame whose newest stamp counts.
 
-    A target frame becomes a scalar subquery in the scan's pushed filter; one that is empty, and
-    ``None``, mean everything. With a stamp the date partitions before it are not even listed:
-    ``lookback_days`` covers runs that began on the day before their last stamp.
+    The stamp alone decides, whatever partition a file was landed under; the filter reaches the
+    scan, so files and row groups of older stamps are skipped by their statistics. A target frame
+    becomes a scalar subquery in it; one that is empty, and ``None``, mean everything.
     """
     stamp = F.col(column)
     if isinstance(since, DataFrame):
-        newest = since.agg(F.coalesce(F.max(column), F.lit(EPOCH_TEXT)).alias("m")).scalar()
-        src = src.filter(stamp > newest)
-    elif since is not None:
+        since = since.agg(F.coalesce(F.max(column), F.lit(EPOCH_TEXT)).alias("m")).scalar()
+    if since is not None:
         src = src.filter(stamp > since)
-        if "ingest_date" in src.columns:
-            first_day = F.date_sub(F.lit(since[:10]).cast("date"), lookback_days)
-            src = src.filter(F.col("ingest_date") >= first_day)
     return src if through is None else src.filter(stamp <= through)
 
 
+def on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Semi or anti join in which null keys equal each other."""
+    other = right.select(*[F.col(k).alias(f"_other_{k}") for k in keys])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_other_{k}")) for k in keys])
+    return left.join(other, same, how)
+
+
 def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key: the first in the order.
 
@@ -67,9 +71,9 @@ def first_per_version(
 def upsert(target: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Delete and insert: target rows whose key is in ``new`` are replaced by the new rows.
 
-    Columns only one side has are kept and null on the other side. Null keys never match.
+    Columns only one side has are kept and null on the other side. Null keys equal each other.
     """
-    kept = target.join(new.select(*keys), list(keys), "left_anti")
+    kept = on_keys(target, new, keys, "left_anti")
     return kept.unionByName(new, allowMissingColumns=True)
 
 
@@ -82,9 +86,9 @@ def merge_latest(
 
 def unseen(target: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The new rows whose key the target does not hold yet."""
-    return new.join(target.select(*keys), list(keys), "left_anti")
+    return on_keys(new, target, keys, "left_anti")
 
 
 def touched(df: DataFrame, changed: DataFrame, key: str = "unique_key") -> DataFrame:
-    """All rows of the keys that occur in ``changed``."""
-    return df.join(changed.select(key), key, "left_semi")
+    """All rows of the keys that occur in ``changed``; null is a key like any other."""
+    return on_keys(df, changed, [key], "left_semi")

@@ -1,37 +1,40 @@
-"""Where the tables live: hash-bucketed parquet that is upserted, and tables that are replaced."""
+"""Where the tables live: immutable parts listed by the newest build mark."""
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
-from datetime import datetime
+from datetime import UTC, datetime
+from functools import reduce
 from threading import RLock
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caseflow.operators.incremental import merge_latest, unseen
+from caseflow.operators.incremental import merge_latest, on_keys, touched, unseen
 from caseflow.schema import Settings
 from caseflow.session import literal_rows
 from caseflow.sources.landing import NO_FILES, read_landing
 from caseflow.sources.runlog import RunLog
 
-BUCKET = "_bucket"
+BUCKET, SEQ = "_bucket", "_seq"
 KEY = "unique_key"
 BUILD_SCHEMA = T.StructType(
     [
         T.StructField("table", T.StringType(), False),
+        T.StructField("build_no", T.LongType()),
         T.StructField("through", T.StringType()),
         T.StructField("buckets", T.IntegerType()),
         T.StructField("schema_json", T.StringType()),
+        T.StructField("parts_json", T.StringType()),
         T.StructField("built_at", T.TimestampNTZType()),
     ]
 )
-
-MARK_FIELDS = ["through", "buckets", "schema_json"]
+MARK_FIELDS = ["build_no", "through", "buckets", "schema_json", "parts_json"]
 
 
 def documented(df: DataFrame, comments: dict[str, str]) -> DataFrame:
@@ -44,10 +47,15 @@ def documented(df: DataFrame, comments: dict[str, str]) -> DataFrame:
 class Warehouse:
     """Paths, reads and writes below one root folder.
 
-    An upserted table is partitioned by ``pmod(xxhash64(unique_key), buckets)``. A build reads and
-    rewrites the buckets its increment touches, by dynamic partition overwrite: a job that fails
-    leaves the old files. Its build mark (how far the landing zone is folded in) is appended only
-    afterwards, so an interrupted build is simply repeated and, being keyed, changes nothing twice.
+    A build writes new files in a folder of its own and then appends a mark that lists the folders
+    the table consists of; readers follow the newest mark (the largest number, no clock). Nothing
+    a mark lists is ever overwritten, so a build that fails or is lost half-way changes nothing,
+    and a reader keeps the state it began with. ``vacuum`` removes what old marks alone list.
+
+    A keyed table is a base, partitioned by ``pmod(xxhash64(unique_key), buckets)``, and one small
+    delta per build since. A delta holds all current rows of the keys it touches: a read takes a
+    key's rows from the last delta that has it, else from the base. A build costs as much as its
+    increment, until the deltas pass ``Settings.compact_share`` of the base and are folded in.
     """
 
     def __init__(self, spark: SparkSession, root: str, settings: Settings = Settings()):
@@ -64,8 +72,9 @@ class Warehouse:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def raw(self) -> DataFrame:
-        return read_landing(self.spark, self.raw_path)
+    def raw(self, merge_schema: bool = False) -> DataFrame:
+        """The landing zone; ``merge_schema`` gives columns beyond the declared ones as well."""
+        return read_landing(self.spark, self.raw_path, merge_schema)
 
     # --- build marks -------------------------------------------------------------------
 
@@ -81,7 +90,7 @@ class Warehouse:
         """The newest committed build of a table: read once, then kept by this one writer."""
         with self._lock:
             if self._marks is None:
-                newest = F.max_by(F.struct(*MARK_FIELDS), "built_at").alias("m")
+                newest = F.max_by(F.struct(*MARK_FIELDS), "build_no").alias("m")
                 rows = self.builds().groupBy("table").agg(newest).collect()
                 self._marks = {r["table"]: r["m"] for r in rows}
             return self._marks.get(name)
@@ -90,12 +99,23 @@ class Warehouse:
         mark = self.build_mark(name)
         return mark["through"] if mark else None
 
-    def commit(self, name: str, schema: T.StructType, through: str | None, buckets: int) -> None:
-        row = (name, through, buckets, schema.json(), datetime.now())
+    def build_no(self, name: str) -> int:
+        """Which build of the table is current: the state of whatever is made from it."""
+        mark = self.build_mark(name)
+        return mark["build_no"] if mark else 0
+
+    def parts(self, name: str) -> list[dict]:
+        """Folder and rows of the base and of every delta, in order."""
+        mark = self.build_mark(name)
+        return json.loads(mark["parts_json"]) if mark else []
+
+    def commit(
+        self, name: str, schema: T.StructType, through: str | None, buckets: int, parts: list[dict]
+    ) -> None:
         with self._lock:
-            self.build_mark(name)
-            self._marks[name] = Row(**dict(zip(MARK_FIELDS, row[1:4], strict=True)))
-            self._uncommitted.append(row)
+            values = (self.build_no(name) + 1, through, buckets, schema.json(), json.dumps(parts))
+            self._marks[name] = Row(**dict(zip(MARK_FIELDS, values, strict=True)))
+            self._uncommitted.append((name, *values, datetime.now(UTC).replace(tzinfo=None)))
             if not self._deferred:
                 self._flush()
 
@@ -116,29 +136,87 @@ class Warehouse:
             with self._lock:
                 self._flush()
 
+    def vacuum(self) -> list[str]:
+        """Remove the folders that no current mark lists; returns them. Run it while no build runs
+        and no reader holds an older state."""
+        gone = []
+        for row in self.builds().select("table").distinct().collect():
+            used = {p["path"].rsplit("/", 1)[1] for p in self.parts(row["table"])}
+            gone += self.keep_only(row["table"], used, "part=")
+        return gone
+
+    def keep_only(self, name: str, used: set[str], prefix: str) -> list[str]:
+        """Remove the folders below ``name`` that begin with the prefix and are not used."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
+        system = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        gone = []
+        for status in system.listStatus(folder):
+            found = status.getPath().getName()
+            if found.startswith(prefix) and found not in used:
+                system.delete(status.getPath(), True)
+                gone.append(f"{name}/{found}")
+        return gone
+
     # --- reads -------------------------------------------------------------------------
 
-    def stored(self, name: str) -> DataFrame:
-        """The table with its bucket column; the recorded schema spares the footer scan."""
+    def exists(self, name: str) -> bool:
+        return self.build_mark(name) is not None
+
+    def schema(self, name: str) -> T.StructType:
         mark = self.build_mark(name)
         if mark is None:
             raise LookupError(f"{name} has not been built")
-        schema = T.StructType.fromJson(json.loads(mark["schema_json"]))
-        if mark["buckets"]:
-            schema = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
-        return self.spark.read.schema(schema).parquet(self.path(name))
+        return T.StructType.fromJson(json.loads(mark["schema_json"]))
 
-    def read(self, name: str) -> DataFrame:
-        return self.stored(name).drop(BUCKET)
+    def _part(self, name: str, part: dict, bucketed: bool) -> DataFrame:
+        """One folder in the table's current columns; the recorded schema spares the footer scan."""
+        schema = self.schema(name)
+        if bucketed:
+            schema = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
+        return self.spark.read.schema(schema).parquet(self.path(part["path"]))
 
-    def exists(self, name: str) -> bool:
-        return self.build_mark(name) is not None
+    def read(self, name: str, buckets: Sequence[int] | None = None) -> DataFrame:
+        """The table, or at least the rows in the given buckets of its base."""
+        mark = self.build_mark(name)
+        schema, parts = self.schema(name), self.parts(name)
+        base = self._part(name, parts[0], bool(mark["buckets"]))
+        if mark["buckets"]:
+            if buckets is not None:
+                base = base.filter(F.col(BUCKET).isin(list(buckets)))
+            base = base.drop(BUCKET)
+        if len(parts) == 1:
+            return base
+        deltas = [
+            self._part(name, part, False).withColumn(SEQ, F.lit(i)) for i, part in enumerate(parts[1:])
+        ]
+        changes = reduce(DataFrame.unionAll, deltas)
+        if parts[0]["append"]:
+            return base.unionAll(changes.drop(SEQ))
+        if len(deltas) > 1:
+            last = F.max(SEQ).over(Window.partitionBy(KEY))
+            changes = changes.withColumn("_last", last).filter(F.col(SEQ) == F.col("_last"))
+        current = changes.select(*schema.fieldNames())
+        keys = reduce(DataFrame.unionAll, [d.select(KEY) for d in deltas]).distinct()
+        return on_keys(base, keys, [KEY], "left_anti").unionAll(current)
 
     # --- full rebuild ------------------------------------------------------------------
 
+    def _new_part(self, name: str) -> str:
+        return f"{name}/part={uuid.uuid4().hex}"
+
+    def _rows(self, path: str) -> int:
+        """Rows of a written folder, from the footers alone."""
+        try:
+            return self.spark.read.parquet(self.path(path)).count()
+        except AnalysisException as e:
+            if e.getCondition() in NO_FILES:
+                return 0
+            raise
+
     def replace(self, name: str, df: DataFrame, through: str | None = None) -> None:
-        df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
-        self.commit(name, df.schema, through, 0)
+        path = self._new_part(name)
+        df.write.option("compression", "zstd").parquet(self.path(path))
+        self.commit(name, df.schema, through, 0, [{"path": path, "rows": None, "append": False}])
 
     # --- keyed tables ------------------------------------------------------------------
 
@@ -149,24 +227,36 @@ class Warehouse:
         mark = self.build_mark(name)
         return mark["buckets"] if mark else self.settings.buckets
 
-    def touched_buckets(self, name: str, keys: DataFrame) -> list[int]:
-        """Bucket numbers of the keys: never more than the table has buckets."""
+    def rows_of(self, name: str, keys: DataFrame) -> DataFrame:
+        """The stored rows of the given keys, read from their buckets only."""
         bucket = self.bucket(self.buckets_of(name)).alias(BUCKET)
-        return sorted(r[0] for r in keys.select(bucket).distinct().collect())
-
-    def in_buckets(self, name: str, numbers: Sequence[int]) -> DataFrame:
-        return self.stored(name).filter(F.col(BUCKET).isin(list(numbers))).drop(BUCKET)
-
-    def _write(self, name: str, df: DataFrame, mode: str, dynamic: bool) -> None:
-        placed = df.withColumn(BUCKET, self.bucket(self.buckets_of(name)))
+        # Never more than the table has buckets.
+        numbers = sorted(r[0] for r in keys.select(bucket).distinct().collect())
+        return touched(self.read(name, numbers), keys, KEY)
+
+    def create(self, name: str, df: DataFrame, through: str | None, append: bool = False) -> None:
+        """Write a new base."""
+        path, buckets = self._new_part(name), self.buckets_of(name)
+        placed = df.withColumn(BUCKET, self.bucket(buckets))
         # Rebalancing groups each bucket into few files and splits one that is too large.
-        writer = placed.hint("rebalance", BUCKET).write.mode(mode).partitionBy(BUCKET)
-        writer = writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-        writer.option("compression", "zstd").parquet(self.path(name))
-
-    def create(self, name: str, df: DataFrame, through: str | None) -> None:
-        self._write(name, df, "overwrite", dynamic=False)
-        self.commit(name, df.schema, through, self.buckets_of(name))
+        writer = placed.hint("rebalance", BUCKET).write.partitionBy(BUCKET)
+        writer.option("compression", "zstd").parquet(self.path(path))
+        part = {"path": path, "rows": self._rows(path), "append": append}
+        self.commit(name, df.schema, through, buckets, [part])
+
+    def _add(self, name: str, delta: DataFrame, through: str | None) -> None:
+        """Write a delta; fold all of them into a new base when they have become large."""
+        path, parts = self._new_part(name), self.parts(name)
+        delta.hint("rebalance").write.option("compression", "zstd").parquet(self.path(path))
+        fields = {f.name: f for f in delta.schema.fields}
+        old = [fields.pop(f.name, f) for f in self.schema(name).fields]
+        new = {"path": path, "rows": self._rows(path)}
+        if new["rows"]:
+            parts = [*parts, new]
+        self.commit(name, T.StructType([*old, *fields.values()]), through, self.buckets_of(name), parts)
+        share = sum(p["rows"] for p in parts[1:])
+        if share > self.settings.compact_share * parts[0]["rows"] or len(parts) > self.settings.most_deltas:
+            self.create(name, self.read(name), through, parts[0]["append"])
 
     def upsert(
         self,
@@ -184,31 +274,20 @@ class Warehouse:
         """
         if not self.exists(name):
             return self.create(name, new, through)
-        target = self.in_buckets(name, self.touched_buckets(name, touched))
-        self._overwrite_buckets(name, merge_latest(target, new, keys, order), through)
+        self._add(name, merge_latest(self.rows_of(name, touched), new, keys, order), through)
 
     def replace_keys(
         self, name: str, new: DataFrame, touched: DataFrame, through: str | None
     ) -> None:
-        """Replace all rows of the touched keys by ``new``."""
+        """Replace all rows of the touched keys by ``new``, which has rows of each of them."""
         if not self.exists(name):
             return self.create(name, new, through)
-        target = self.in_buckets(name, self.touched_buckets(name, touched))
-        kept = target.join(touched.select(KEY), KEY, "left_anti")
-        merged = kept.unionByName(new, allowMissingColumns=True)
-        self._overwrite_buckets(name, merged, through)
-
-    def _overwrite_buckets(self, name: str, merged: DataFrame, through: str | None) -> None:
-        self._write(name, merged, "overwrite", dynamic=True)
-        self.commit(name, merged.schema, through, self.buckets_of(name))
+        self._add(name, new, through)
 
     def append_unseen(
         self, name: str, new: DataFrame, touched: DataFrame, keys: Sequence[str], through: str | None
     ) -> None:
         """Append the rows whose key the table lacks; nothing stored is rewritten."""
         if not self.exists(name):
-            return self.create(name, new, through)
-        target = self.in_buckets(name, self.touched_buckets(name, touched))
-        fresh = unseen(target, new, keys)
-        self._write(name, fresh, "append", dynamic=False)
-        self.commit(name, self.read(name).schema, through, self.buckets_of(name))
+            return self.create(name, new, through, append=True)
+        self._add(name, unseen(self.rows_of(name, touched), new, keys), through)

@@ -70,16 +70,22 @@ RUN_SCHEMA = T.StructType(
     ]
 )
 RUN_COLUMNS = RUN_SCHEMA.fieldNames()
-RUN_EVENT_SCHEMA = T.StructType([*RUN_SCHEMA.fields, T.StructField("event_seq", T.LongType())])
+RUN_EVENT_SCHEMA = T.StructType(
+    [
+        *RUN_SCHEMA.fields,
+        T.StructField("event_seq", T.LongType()),
+        T.StructField("generation", T.LongType()),
+    ]
+)
 
 
 @dataclass(frozen=True)
 class Settings:
     """Defaults of the pipeline; pass a changed copy (``dataclasses.replace``) to override."""
 
-    page_size: int = 50_000
     overlap_minutes: int = 15
     backfill_start: str = "2026-09-01T00:00:00"
+    # Hours after which data is late and stale.
     fresh_warn_hours: float = 36
     fresh_error_hours: float = 72
     max_hours_since_update: float = 72
@@ -87,7 +93,9 @@ class Settings:
     calendar_start: date = date(2010, 1, 1)
     # Hash buckets of the upserted tables: aim at roughly 1 GB of data per bucket.
     buckets: int = 64
-    # Groups with more rows than this are numbered by range slices, not in one window task.
-    hot_group_rows: int = 2_000_000
+    # Deltas of an upserted table are folded into its base beyond this share of the base's rows,
+    # or beyond this number.
+    compact_share: float = 0.2
+    most_deltas: int = 16
     # Files written by one landing task roll over at this many rows.
     rows_per_file: int = 1_000_000

@@ -1,17 +1,21 @@
+import os
+from contextlib import contextmanager
 from datetime import datetime
 
 import pytest
 from conftest import lines, record, rows, same_rows
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from caseflow.operators.incremental import latest_per_key, merge_latest, upsert
 from caseflow.operators.sequence import number_versions
 from caseflow.plans import build as b
 from caseflow.plans.core import fct_request_status_history, fct_service_requests
-from caseflow.plans.refresh import check_results, refresh
+from caseflow.plans import quality
+from caseflow.plans.refresh import Refresh, check_results, refresh, run_checks
 from caseflow.plans.staging import latest_requests, request_versions
-from caseflow.plans.store import Warehouse
-
+from caseflow.plans.store import MARK_FIELDS, Warehouse
+from caseflow.schema import Settings
 from caseflow.sources.landing import normalise, write_batch
 from caseflow.streaming.landing_stream import run_available
 
@@ -38,43 +42,82 @@ def build(wh, as_of=AS_OF):
     b.build_marts(wh, as_of)
 
 
+def reported(*numbers, **members):
+    """Requests seen at noon of their day, one a day from the third on."""
+    return [record(n, f"2026-09-{2 + n:02d}T12:00:00.000Z", **members) for n in numbers]
+
+
 def first_batch():
-    return [record(i, "2026-09-11T01:33:00.000Z") for i in range(3)]
+    return reported(1, 2, 3, 4, 5)
 
 
 def second_batch():
-    closed = {"status": "Closed", "closed_date": "2026-09-12T15:30:00.000"}
-    return [
-        record(1, "2026-09-13T01:33:00.000Z", **closed),
-        record(2, "2026-09-11T01:33:00.000Z"),
+    """Request 2 is closed long after it was made, 4 comes again as it was, the rest is untouched."""
+    late = {"status": "closed ", "closed_date": "2026-09-13T04:30:00.000"}
+    return [record(2, "2026-09-13T05:00:00.000Z", **late), *reported(4)]
+
+
+def test_a_late_close_and_an_overlap(spark, wh):
+    land(wh, "one", "2026-09-10T00:10:00", first_batch())
+    build(wh)
+    before = {r["unique_key"]: r for r in wh.read(b.FACT).collect()}
+    land(wh, "two", "2026-09-13T06:10:00", second_batch())
+    build(wh)
+    after = {r["unique_key"]: r for r in wh.read(b.FACT).collect()}
+    assert set(after) == set(before) == {str(50_000 + n) for n in range(1, 6)}
+    changed = {k for k in after if after[k] != before[k]}
+    assert changed == {"50002", "50004"}, "the copy only carries a newer stamp"
+    assert after["50004"].asDict() | {"_ingested_at": None} == before["50004"].asDict() | {"_ingested_at": None}
+    assert (after["50002"]["is_closed"], after["50002"]["hours_to_close"]) == (True, 66.5)
+    steps = wh.read(b.HISTORY).filter("unique_key in ('50002', '50004')")
+    assert rows(steps.select("unique_key", "version_no", "previous_status")) == [
+        ("50002", 1, None),
+        ("50002", 2, "Open"),
+        ("50004", 1, None),
     ]
+    assert wh.read(b.VERSIONS).count() == 6
+    assert wh.read(b.VOLUME).agg(F.sum("n_requests"), F.sum("n_closed")).first() == (5, 1)
+    assert wh.read(b.HEALTH).first()["last_successful_run_id"] == "two"
 
 
-def test_late_closure_is_merged(wh):
-    land(wh, "run1", "2026-09-11T02:00:00", first_batch())
+def test_a_failed_rebuild_keeps_the_table(spark, wh):
+    wh.replace(b.AGENCIES, spark.range(5))
+    broken = spark.range(5).select(F.raise_error(F.lit("boom")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="boom"):
+        wh.replace(b.AGENCIES, broken)
+    assert Warehouse(spark, wh.root, wh.settings).read(b.AGENCIES).count() == 5
+
+
+def test_a_lost_build_changes_nothing_and_a_reader_keeps_its_state(spark, wh):
+    land(wh, "run0", *BATCHES[0])
     build(wh)
-    fact = wh.read(b.FACT)
-    assert fact.count() == 3 and wh.read(b.HISTORY).count() == 3
-    before = fact.filter("unique_key = '50001'").first()
-    assert before["status"] == "Open" and before["closed_at"] is None
+    reader = Warehouse(spark, wh.root, wh.settings)
+    seen = rows(reader.read(b.FACT).select("unique_key", "status"))
+    held = reader.read(b.FACT).select("unique_key", "status")
+    # Half a build: files without a mark.
+    wh.read(b.REQUESTS).limit(2).write.parquet(wh.path(wh._new_part(b.REQUESTS)))
+    land(wh, "run1", *BATCHES[1])
+    build(wh)
+    assert rows(held) == seen == rows(reader.read(b.FACT).select("unique_key", "status"))
+    now = Warehouse(spark, wh.root, wh.settings)
+    assert same_rows(now.read(b.REQUESTS), latest_requests(now.raw()))
+    assert wh.vacuum() and same_rows(now.read(b.REQUESTS), latest_requests(now.raw()))
+
 
-    land(wh, "run2", "2026-09-13T02:00:00", second_batch())
+def test_an_increment_rewrites_nothing_until_deltas_are_large(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"), Settings(buckets=4, compact_share=0.3))
+    land(wh, "run0", "2026-09-11T02:00:00", many(10, range(40)))
     build(wh)
-    fact = wh.read(b.FACT)
-    assert fact.count() == 3
-    closed = fact.filter("unique_key = '50001'").first()
-    assert closed["status"] == "Closed" and closed["hours_to_close"] == pytest.approx(53.5)
-    stamps = {r["unique_key"]: r["_ingested_at"] for r in wh.read(b.REQUESTS).collect()}
-    assert stamps["50000"] == "2026-09-11T02:00:00" and stamps["50001"] == "2026-09-13T02:00:00"
-    assert wh.read(b.VERSIONS).count() == 4
-    history = wh.read(b.HISTORY).filter("unique_key = '50001'").orderBy("version_no")
-    assert [tuple(r) for r in history.select("version_no", "status", "previous_status").collect()] == [
-        (1, "Open", None),
-        (2, "Closed", "Open"),
-    ]
-    assert wh.read(b.VOLUME).agg(F.sum("n_closed")).first()[0] == 1
-    health = wh.read(b.HEALTH).first()
-    assert (health["n_successful_runs"], health["last_successful_run_id"]) == (2, "run2")
+    base = {t: wh.parts(t)[0]["path"] for t in (b.REQUESTS, b.VERSIONS, b.FACT, b.HISTORY)}
+    for n, keys in enumerate([range(3, 6), [4, 50], [], range(30)]):
+        land(wh, f"run{n + 1}", f"2026-09-1{n + 2}T02:00:00", many(11 + n, keys) or many(9, [1]))
+        build(wh)
+        folded = n == 3
+        assert all((wh.parts(t)[0]["path"] != base[t]) == folded for t in base), n
+        raw = wh.raw()
+        assert same_rows(wh.read(b.REQUESTS), latest_requests(raw))
+        assert same_rows(wh.read(b.HISTORY), fct_request_status_history(request_versions(raw)))
+        assert same_rows(wh.read(b.FACT), fct_service_requests(latest_requests(raw), AS_OF))
 
 
 def test_no_change_build_rewrites_only_the_clock_marts(wh):
@@ -115,15 +158,13 @@ def test_incremental_equals_full_rebuild(spark, wh):
 def test_interrupted_build_is_repeated(spark, wh):
     land(wh, "run0", *BATCHES[0])
     build(wh)
+    older = wh.builds().groupBy("table").agg(F.max_by(F.struct(*MARK_FIELDS), "build_no").alias("m"))
+    marks = {r["table"]: r["m"] for r in older.collect()}
     land(wh, "run1", *BATCHES[1])
-    marks = rows(wh.builds().select("table", "through"))
     b.build_staging(wh)
     # The marks of that build are lost: another writer starts from the older ones.
     again = Warehouse(spark, wh.root, wh.settings)
-    older = again.builds().filter(F.col("through") <= BATCHES[0][0]).collect()
-    again._marks = {
-        r["table"]: r for r in older if (r["table"], r["through"]) in marks
-    }
+    again._marks = marks
     build(again)
     assert same_rows(again.read(b.REQUESTS), latest_requests(again.raw()))
     assert same_rows(again.read(b.HISTORY), fct_request_status_history(request_versions(again.raw())))
@@ -160,7 +201,7 @@ def test_new_staging_columns_are_appended(spark, wh):
     wh.upsert(b.REQUESTS, new, new, ["unique_key"], b.NEWEST_FIRST, "2030-01-01")
     stored = Warehouse(spark, wh.root, wh.settings).read(b.REQUESTS)
     assert rows(stored.groupBy("added").count().fillna("", ["added"])) == [("", 11), ("n", 1)]
-    assert stored.schema["status"].metadata["comment"].startswith("Normalised status")
+    assert stored.schema["status"].metadata["comment"].startswith("One of the listed")
 
 
 def test_upsert_replaces_by_key_and_merge_keeps_the_newest(spark):
@@ -171,19 +212,31 @@ def test_upsert_replaces_by_key_and_merge_keeps_the_newest(spark):
     assert rows(merged) == [("a", 5, "old"), ("b", 1, "old"), ("c", 1, "new")]
 
 
-def test_a_hot_key_is_numbered_in_slices(spark, uncoalesced):
+def test_hot_and_null_keys_are_numbered_by_day(spark, uncoalesced):
     base = "timestamp_ntz'2026-01-01 00:00:00'"
+    hour = F.expr(f"{base} + make_dt_interval(0, cast(id * 7919 % 3001 as int))")
     df = spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 100).cast("string")).alias("k"),
-        F.expr(f"{base} + make_dt_interval(0, 0, cast(id * 7919 % 3001 as int), 0)")
-        .alias("source_updated_at"),
+        F.when(F.col("id") % 3 == 0, "hot")
+        .when(F.col("id") % 3 == 1, (F.col("id") % 100).cast("string"))
+        .alias("k"),
+        F.when(F.col("id") % 50 != 0, hour).alias("source_updated_at"),
         F.format_string("%06d", "id").alias("sys_updated_at"),
         (F.col("id") % 5).cast("string").alias("status"),
     )
-    plain = number_versions(df, "k", hot_rows=10_000)
-    sliced = number_versions(df, "k", hot_rows=100)
-    assert sliced.filter("k = 'hot'").agg(F.max("version_no")).first()[0] == 1000
-    assert same_rows(plain, sliced)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("sequence", "building the plan runs nothing")
+    numbered = number_versions(df, "k")
+    assert list(tracker.getJobIdsForGroup("sequence")) == []
+    w = Window.partitionBy("k").orderBy(F.col("source_updated_at").asc_nulls_last(), "sys_updated_at")
+    plain = df.withColumns(
+        {
+            "version_no": F.row_number().over(w).cast("long"),
+            "previous_status": F.lag("status").over(w),
+            "previous_updated_at": F.lag("source_updated_at").over(w),
+        }
+    )
+    assert numbered.groupBy("k").agg(F.max("version_no").alias("n")).filter("n = 1000").count() == 2
+    assert same_rows(plain, numbered)
 
 
 def test_dedupe_limits_ranks_before_the_shuffle(spark):
@@ -197,12 +250,36 @@ def test_dedupe_limits_ranks_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
+@contextmanager
+def unread(path):
+    """Reading the folder fails meanwhile: its files are away."""
+    os.rename(path, f"{path}-away")
+    try:
+        yield
+    finally:
+        os.rename(f"{path}-away", path)
+
+
+def refresh_checks(wh, now):
+    """All checks of a refresh, without its builds."""
+    state = Refresh("again")
+    for checks in (
+        quality.blocking_checks(now, wh.settings),
+        quality.raw_checks(),
+        quality.staging_checks(AS_OF),
+        quality.core_checks(),
+        quality.mart_checks(wh.settings),
+    ):
+        assert run_checks(wh, state, checks)
+    return state
+
+
 def feed(spark, records):
     return lambda lower, upper: lines(spark, records)
 
 
 def test_refresh_runs_every_layer(spark, wh):
-    now = datetime(2026, 9, 13, 3)
+    now = datetime(2026, 9, 14)
     state = refresh(wh, feed(spark, second_batch() + first_batch()[:1]), now=now, as_of=AS_OF,
                     start="2026-09-01T00:00:00")
     assert state.ok, state.blocked_by
@@ -210,15 +287,23 @@ def test_refresh_runs_every_layer(spark, wh):
     assert len(state.results) == 42
     assert wh.read(b.HEALTH).first()["n_requests"] == 3
     assert check_results(wh).count() == check_results(wh, state.build_id).count() == 42
+    details = check_results(wh).filter("test = 'few_repeated_versions'").first()["details"]
+    assert '"n_versions":3' in details
+    # Nothing has landed: outcomes are taken over, only what follows the clock is checked again.
+    with unread(wh.raw_path):
+        again = refresh_checks(wh, now)
+    assert [(r.check.name, r.failing_rows, r.status) for r in again.results] == [
+        (r.check.name, r.failing_rows, r.status) for r in state.results
+    ]
 
 
 def test_refresh_is_blocked_by_stale_raw_and_keeps_the_marts(spark, wh):
-    now = datetime(2026, 9, 13, 3)
-    refresh(wh, feed(spark, first_batch()), now=now, as_of=AS_OF, start="2026-09-01T00:00:00")
+    now = datetime(2026, 9, 10)
+    refresh(wh, feed(spark, first_batch()), now=now, as_of=now, start="2026-09-01T00:00:00")
     kept = rows(wh.read(b.BACKLOG))
     late = datetime(2026, 9, 30)
     state = refresh(wh, None, now=late, as_of=late)
-    assert state.blocked_by == ["raw_is_fresh"] and state.built == []
+    assert state.blocked_by == ["landing_is_recent"] and state.built == []
     assert rows(wh.read(b.BACKLOG)) == kept
 
 
