@@ -62,16 +62,20 @@ def days_from(start: date | Column, end: date | Column) -> Column:
     return F.when(first <= last, F.sequence(first, last, F.expr("interval 1 day")))
 
 
-def day_series(spark: SparkSession, start: date | Column, end: date | Column) -> DataFrame:
-    """One row per day of the closed range."""
-    return spark.range(1).select(F.explode(days_from(start, end)).alias("date_day"))
+def day_series(bounds: DataFrame, start: date | Column, end: date | Column) -> DataFrame:
+    """One row per day of the closed range of every row of ``bounds``."""
+    return bounds.select(F.explode(days_from(start, end)).alias("date_day"))
+
+
+def calendar(days: DataFrame) -> DataFrame:
+    """Attributes of the days in ``date_day``."""
+    return days.select("date_day", *[c.alias(name) for name, c in date_parts("date_day").items()])
 
 
 def dim_date(spark: SparkSession, as_of, start: date = Settings.calendar_start) -> DataFrame:
     """Calendar from ``start`` to one year after ``as_of``."""
     end = F.add_months(F.to_date(as_ntz(as_of)), 12)
-    parts = [c.alias(name) for name, c in date_parts("date_day").items()]
-    return day_series(spark, start, end).select("date_day", *parts)
+    return calendar(day_series(spark.range(1), start, end))
 
 
 def hours_to_close() -> Column:
@@ -125,9 +129,7 @@ def fct_service_requests(requests: DataFrame, as_of) -> DataFrame:
     )
 
 
-def fct_request_status_history(
-    versions: DataFrame, hot_rows: int = Settings.hot_group_rows
-) -> DataFrame:
+def fct_request_status_history(versions: DataFrame) -> DataFrame:
     """One row per observed version with its number and the state before it."""
     rows = versions.select(
         "unique_key",
@@ -138,7 +140,7 @@ def fct_request_status_history(
         "agency",
         "_ingested_at",
     )
-    return number_versions(rows, "unique_key", hot_rows).select(
+    return number_versions(rows, "unique_key").select(
         "unique_key",
         "sys_updated_at",
         "source_updated_at",
