@@ -102,12 +102,13 @@ def unexpected_key_list(raw: DataFrame) -> DataFrame:
     return keys.agg(F.array_sort(F.collect_set("key")).alias("unexpected_keys"))
 
 
-def local_batch_id(run_id: str, rows_per_file: int) -> Column:
-    """Batch id from the writing task and the file it rolls over to: no shuffle, stable on retry."""
+def local_batch_id(run_id: str, rows_per_file: int, frame: int = 0) -> Column:
+    """Batch id from the frame of the run, the writing task and the file it rolls over to: no
+    shuffle, stable on retry, and no two files of a run share one."""
     position = F.monotonically_increasing_id()
     in_task = position.bitwiseAND(F.lit((1 << 33) - 1))
     return F.format_string(
-        f"{run_id}-%05d-%04d",
+        f"{run_id}-{frame:04d}-%05d-%04d",
         F.shiftright(position, 33),
         F.floor(in_task / F.lit(rows_per_file)).cast("long"),
     )

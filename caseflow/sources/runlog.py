@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseflow.functions import parse_ts
 from caseflow.schema import RUN_COLUMNS, RUN_EVENT_SCHEMA, RUN_SCHEMA, Settings
-from caseflow.session import literal_rows
+from caseflow.session import literal_rows, materialise
 from caseflow.sources.landing import NO_FILES
 
 SUCCEEDED, FAILED, RUNNING = "succeeded", "failed", "running"
@@ -99,19 +99,30 @@ class RunLog:
         self.spark = spark
         self.path = path
 
-    def events(self) -> DataFrame:
+    def _stored(self) -> DataFrame:
         try:
-            return self.spark.read.schema(RUN_EVENT_SCHEMA).parquet(self.path)
+            found = self.spark.read.schema(RUN_EVENT_SCHEMA).parquet(self.path)
         except AnalysisException as e:
             if e.getCondition() in NO_FILES:
                 return self.spark.createDataFrame([], RUN_EVENT_SCHEMA)
             raise
+        return found.withColumn("generation", F.coalesce("generation", F.lit(0)))
+
+    def generation(self) -> int:
+        """How often the log has been replaced by an import."""
+        return self._stored().agg(F.max("generation")).first()[0] or 0
+
+    def events(self) -> DataFrame:
+        """The events of the newest generation."""
+        found = self._stored()
+        newest = found.agg(F.max("generation").alias("g")).scalar()
+        return found.filter(F.col("generation") == newest)
 
     def runs(self) -> DataFrame:
         return run_state(self.events())
 
     def _append(self, event_seq: int, **values) -> None:
-        row = tuple(values.get(c) for c in RUN_COLUMNS) + (event_seq,)
+        row = tuple(values.get(c) for c in RUN_COLUMNS) + (event_seq, self.generation())
         frame = literal_rows(self.spark, RUN_EVENT_SCHEMA, [row])
         frame.write.mode("append").parquet(self.path)
 
@@ -159,23 +170,39 @@ class RunLog:
         return self.spark.read.schema(RUN_SCHEMA).json(path).count()
 
     def import_json(self, path: str) -> int:
-        """Replace the whole log by an export; a missing export changes nothing."""
+        """Replace the whole log by an export; a missing export changes nothing.
+
+        A broken line or a run without id or status fails the import before anything is written.
+        The imported rows are appended as a new generation by one job; readers see the newest
+        generation, so the log is never without its rows.
+        """
         try:
-            runs = self.spark.read.schema(RUN_SCHEMA).json(path)
+            # One plan reads and checks: what was checked is what is appended.
+            runs = materialise(
+                self.spark.read.schema(RUN_SCHEMA).option("mode", "FAILFAST").json(path), "runs"
+            )
         except AnalysisException as e:
             if e.getCondition() in NO_FILES:
                 return 0
             raise
-        events = runs.withColumn("event_seq", F.lit(1).cast("long"))
-        events.coalesce(1).write.mode("overwrite").parquet(self.path)
-        return self.events().count()
+        known = F.col("status").isin(SUCCEEDED, FAILED, RUNNING)
+        broken = F.col("run_id").isNull() | ~F.coalesce(known, F.lit(False))
+        found = runs.agg(F.count_if(broken).alias("broken"), F.count("*").alias("n")).first()
+        if found["broken"]:
+            raise ValueError(f"{found['broken']} of {found['n']} runs have no id or no known status")
+        events = runs.withColumns(
+            {"event_seq": F.lit(1).cast("long"), "generation": F.lit(self.generation() + 1).cast("long")}
+        )
+        events.coalesce(1).write.mode("append").parquet(self.path)
+        return found["n"]
 
 
 # --- the run window --------------------------------------------------------------------
 
 
-def text_time(t: datetime) -> str:
-    return t.strftime("%Y-%m-%dT%H:%M:%S")
+def as_text(at: Column) -> Column:
+    """A time the way windows are written: whole seconds, no zone."""
+    return F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss")
 
 
 def read_watermark(raw: DataFrame, runs: DataFrame) -> str | None:
@@ -188,7 +215,17 @@ def read_watermark(raw: DataFrame, runs: DataFrame) -> str | None:
     return None
 
 
+def before_watermark(spark: SparkSession, watermark: str, minutes: int) -> str:
+    """The watermark moved back by the overlap; it is parsed like any time of the source."""
+    at = parse_ts(F.lit(watermark)) - F.make_dt_interval(mins=F.lit(minutes))
+    moved = spark.range(1).select(as_text(at)).first()[0]
+    if moved is None:
+        raise ValueError(f"not a time: {watermark}")
+    return moved
+
+
 def resolve_window(
+    spark: SparkSession,
     watermark: str | None,
     now: datetime,
     start: str | None = None,
@@ -196,14 +233,12 @@ def resolve_window(
     settings: Settings = Settings(),
 ) -> tuple[str, str]:
     """The run's ``(lower, upper]``: watermark minus overlap, or the start; up to the run start."""
-    upper = text_time(now)
-    if force_start:
-        if not start:
-            raise ValueError("force_start needs a start")
-        return start, upper
-    if watermark and start:
+    if force_start and not start:
+        raise ValueError("force_start needs a start")
+    if start and watermark and not force_start:
         raise WindowRefused(f"a watermark exists ({watermark}); force the start to override it")
-    if watermark:
-        newest = datetime.fromisoformat(watermark.replace("Z", ""))
-        return text_time(newest - timedelta(minutes=settings.overlap_minutes)), upper
-    return start or settings.backfill_start, upper
+    if watermark and not force_start:
+        lower = before_watermark(spark, watermark, settings.overlap_minutes)
+    else:
+        lower = start or settings.backfill_start
+    return lower, now.isoformat(timespec="seconds")

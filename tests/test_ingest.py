@@ -63,6 +63,26 @@ def test_unpaged_batches_name_task_and_file(spark, tmp_path):
     assert files.count() == files.select("_batch_id").distinct().count() == result.files
 
 
+def test_batches_of_several_frames_do_not_collide(spark, wh):
+    result = ingest(wh, ten(spark, per_frame=4), start=START, **at(0))
+    files = wh.raw().select("_batch_id", "_metadata.file_path").distinct()
+    assert result.rows == 10 and result.files >= 3
+    assert files.count() == files.select("_batch_id").distinct().count() == result.files
+
+
+def test_a_broken_export_is_refused(spark, wh, tmp_path):
+    ingest(wh, ten(spark), start=START, **at(0))
+    before = wh.runs.runs().collect()
+    whole = '{"run_id":"x","status":"succeeded"}'
+    for number, text in enumerate([f'{whole}\n{{"run_id":"y","sta', f'{whole}\n{{"status":"failed"}}']):
+        folder = tmp_path / f"export{number}"
+        folder.mkdir()
+        (folder / "part.json").write_text(text)
+        with pytest.raises(Exception):
+            wh.runs.import_json(str(folder))
+        assert wh.runs.runs().collect() == before
+
+
 def test_start_is_refused_once_a_watermark_exists(spark, wh):
     feed = Feed(spark, [record(1, "2026-09-02T00:00:00.000Z")])
     ingest(wh, feed, start=START, **at(0))
