@@ -44,7 +44,7 @@ class Policy:
 
 
 FAIL_ON_ANY = Policy()
-WARN_ON_ANY = Policy(warn_over=0, error_over=None)
+# Fixed value: so many requests may be closed before they were created.
 CLOSED_BEFORE_CREATED = Policy(warn_over=0, error_over=5000)
 
 
@@ -96,11 +96,6 @@ def within_range(df: DataFrame, column: str, low: Any, high: Any) -> DataFrame:
     return df.filter(is_outside(column, low, high)).select(column)
 
 
-def matches(df: DataFrame, column: str, regex: str) -> DataFrame:
-    """Non-null values that do not match; anchor with ``\\z``, not ``$``."""
-    return df.filter(F.col(column).isNotNull() & ~F.col(column).rlike(regex)).select(column)
-
-
 def zip_is_5_digits(df: DataFrame, column: str) -> DataFrame:
     return df.filter(is_not_zip(column)).select(column)
 
@@ -187,6 +182,8 @@ class Check:
     ``predicate`` marks the failing rows of a row check; all row checks of a table are counted in
     one scan. ``failing`` gives the failing rows as a frame of its own (with a predicate as well, it
     is only asked for when the scan has found some). ``reports`` gives one row with a status.
+    ``inputs`` are the other tables it reads; ``clock`` marks a check whose outcome changes with
+    time, so that it is evaluated even if no table has changed.
     """
 
     name: str
@@ -197,6 +194,8 @@ class Check:
     failing: Callable[[Tables], DataFrame] | None = None
     weight: str | None = None
     reports: Callable[[Tables], DataFrame] | None = None
+    inputs: tuple[str, ...] = ()
+    clock: bool = False
 
     def failing_rows(self, tables: Tables) -> DataFrame:
         if self.reports is not None:
@@ -216,6 +215,7 @@ class Result:
     check: Check
     failing_rows: int
     status: str
+    details: str | None = None
 
 
 def scan_rows(checks: Sequence[Check], df: DataFrame) -> dict[str, int]:
@@ -234,8 +234,9 @@ def evaluate(spark: SparkSession, checks: Sequence[Check], tables: Tables) -> li
 
     def result(check: Check) -> Result:
         if check.reports is not None:
-            status = check.reports(tables).first()["status"]
-            return Result(check, int(status != PASS), status)
+            report = check.reports(tables)
+            row = report.select("status", F.to_json(F.struct(*report.columns)).alias("d")).first()
+            return Result(check, int(row["status"] != PASS), row["status"], row["d"])
         failing = marked.get(check.name)
         if failing is None or (failing and check.failing is not None):
             failing = check.count_failing(tables)

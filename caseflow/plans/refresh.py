@@ -8,7 +8,7 @@ from datetime import datetime
 from functools import partial
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +27,10 @@ RESULT_SCHEMA = T.StructType(
         T.StructField("test", T.StringType()),
         T.StructField("failing_rows", T.LongType()),
         T.StructField("status", T.StringType()),
+        # What a whole-table check reported, as JSON.
+        T.StructField("details", T.StringType()),
+        # State of the checked tables; an outcome holds until it changes.
+        T.StructField("state", T.StringType()),
     ]
 )
 
@@ -57,32 +61,74 @@ def tables_of(wh: Warehouse):
     return table
 
 
+def table_state(wh: Warehouse, name: str) -> str:
+    """Changes whenever the table does: its build, or what the runs have landed."""
+    if name in (quality.RAW, quality.RUNS):
+        landed = wh.runs.runs().filter("rows_fetched > 0")
+        row = landed.agg(F.count("*").alias("n"), F.max("run_id").alias("last")).first()
+        # Without a log nothing is known about the landing zone.
+        return f"{row['n']} runs to {row['last']}" if row["n"] else f"unknown {uuid.uuid4().hex}"
+    return f"build {wh.build_no(name)}"
+
+
+def last_results(wh: Warehouse) -> dict[str, Row]:
+    """The newest outcome of every check: one row each."""
+    newest = F.max_by(F.struct("failing_rows", "status", "details", "state"), "checked_at")
+    return {r["test"]: r["r"] for r in stored_results(wh).groupBy("test").agg(newest.alias("r")).collect()}
+
+
 def run_checks(wh: Warehouse, state: Refresh, checks: list[Check]) -> bool:
-    """Evaluate, record and store failing rows; false when the build must stop here."""
-    results = evaluate(wh.spark, checks, tables_of(wh))
+    """Evaluate, record and store failing rows; false when the build must stop here.
+
+    The outcome of a check whose tables have not changed since is taken over, unless it depends
+    on the clock. Of a check's failing rows the newest copy is kept.
+    """
+    last = last_results(wh)
+    names = {name for c in checks for name in (c.table, *c.inputs)}
+    states = {name: table_state(wh, name) for name in names}
+    reads = {c.name: "; ".join(states[name] for name in (c.table, *c.inputs)) for c in checks}
+
+    def holds(c: Check) -> bool:
+        return not c.clock and c.name in last and last[c.name]["state"] == reads[c.name]
+
+    known = {
+        c.name: Result(c, last[c.name]["failing_rows"], last[c.name]["status"], last[c.name]["details"])
+        for c in checks
+        if holds(c)
+    }
+    new = {r.check.name: r for r in evaluate(wh.spark, [c for c in checks if not holds(c)], tables_of(wh))}
+    results = [known.get(c.name) or new[c.name] for c in checks]
     now = utc_now()
-    rows = [(state.build_id, now, r.check.name, r.failing_rows, r.status) for r in results]
+    rows = [
+        (state.build_id, now, r.check.name, r.failing_rows, r.status, r.details, reads[r.check.name])
+        for r in results
+    ]
     frame = literal_rows(wh.spark, RESULT_SCHEMA, rows)
     frame.write.mode("append").parquet(wh.path("dq/results"))
 
     def store(check: Check) -> None:
         failing = check.failing_rows(tables_of(wh))
         failing.write.parquet(wh.path(f"dq/{check.name}/build={state.build_id}"))
+        wh.keep_only(f"dq/{check.name}", {f"build={state.build_id}"}, "build=")
 
-    together(wh.spark, [partial(store, r.check) for r in results if r.failing_rows])
+    together(wh.spark, [partial(store, r.check) for r in new.values() if r.failing_rows])
     state.results += results
     state.blocked_by += [r.check.name for r in results if r.status == ERROR]
     return state.ok
 
 
-def check_results(wh: Warehouse, build_id: str | None = None) -> DataFrame:
-    """Recorded results of one build, by default the latest."""
+def stored_results(wh: Warehouse) -> DataFrame:
     try:
-        results = wh.spark.read.schema(RESULT_SCHEMA).parquet(wh.path("dq/results"))
+        return wh.spark.read.schema(RESULT_SCHEMA).parquet(wh.path("dq/results"))
     except AnalysisException as e:
         if e.getCondition() in NO_FILES:
             return wh.spark.createDataFrame([], RESULT_SCHEMA)
         raise
+
+
+def check_results(wh: Warehouse, build_id: str | None = None) -> DataFrame:
+    """Recorded results of one build, by default the latest."""
+    results = stored_results(wh)
     if build_id is None:
         newest = results.agg(F.max_by("build_id", "checked_at").alias("b")).scalar()
         return results.filter(F.col("build_id") == newest)
