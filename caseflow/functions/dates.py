@@ -13,19 +13,35 @@ from pyspark.sql import functions as F
 
 from caseflow.functions.text import ColumnLike, column
 
-# What the source may send: a full date, then optionally hour:minute[:second[.fraction]][offset].
+# What the source sends: a full date, then optionally hour:minute[:second[.fraction]][offset].
 TIMESTAMP_TEXT = (
     r"^\d{4}-\d{1,2}-\d{1,2}([T ]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d*)?)?([+-]\d{2}:\d{2})? *)?\z"
 )
+# Rarer spellings: one other separator throughout, more blanks, short offsets, UTC, midnight as 24.
+RARE_TEXT = (
+    r"^ *(\d{4})([-/ \\])(\d{1,2})\2(\d{1,2})"
+    r"(?:(?:T| +)(\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d*)?)?)(?: ?[+-]\d{2}(?::?\d{2})?| +(?i:utc))? *)?\z"
+)
+MIDNIGHT = r" 24:00(:00(\.0*)?)?\z"
 
 
 def parse_ts(c: ColumnLike) -> Column:
-    """Naive timestamp from source text, every ``Z`` dropped; null where it does not parse.
+    """Naive timestamp from source text, every ``Z`` and offset dropped; null where it does not parse.
 
-    The guard refuses the spellings only Spark reads: a bare year or month, ``now``, padding.
+    The guards refuse the spellings only Spark reads: a bare year or month, ``now``, padding.
     """
-    text = F.translate(column(c), "/Z", "-")
-    return F.when(text.rlike(TIMESTAMP_TEXT), text.try_cast("timestamp_ntz"))
+    text = F.translate(column(c), "Z", "")
+    rare = F.regexp_replace(text, RARE_TEXT, "$1-$3-$4 $5")
+    midnight = F.regexp_replace(rare, MIDNIGHT, "").try_cast("timestamp_ntz")
+    return (
+        F.when(text.rlike(TIMESTAMP_TEXT) & ~text.contains("24:00"), text.try_cast("timestamp_ntz"))
+        .when(
+            text.rlike(RARE_TEXT),
+            F.when(rare.rlike(MIDNIGHT), midnight + F.expr("interval 1 day")).otherwise(
+                rare.try_cast("timestamp_ntz")
+            ),
+        )
+    )
 
 
 def as_ntz(value: Column | datetime | date | str) -> Column:

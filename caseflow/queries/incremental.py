@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import datetime
 from functools import lru_cache
 
 from pyspark.sql import functions as F
@@ -132,7 +133,7 @@ def d7(spark, sf_dir):
     seq = inc.touched(rows, changed).withColumn(
         "source_updated_at", F.translate("sys_updated_at", "Z", "").cast("timestamp_ntz")
     )
-    return number_versions(seq, "unique_key", Settings.hot_group_rows).select(
+    return number_versions(seq, "unique_key").select(
         "unique_key", "sys_updated_at", "version_no", "previous_status"
     )
 
@@ -149,6 +150,59 @@ D7_SQL = from_log(
 )
 
 
+def late_partition(spark, sf_dir):
+    """The log landed under the day before its stamp, as by a run that began before midnight."""
+    root = scratch_path(spark, "landing")
+    day = F.date_sub(F.substring("_ingested_at", 1, 10).cast("date"), 2)
+    log(spark, sf_dir).withColumn("ingest_date", day).write.partitionBy("ingest_date").parquet(root)
+    return spark.read.parquet(root).drop("ingest_date")
+
+
+def d1_partitions(spark, sf_dir):
+    """The stamp alone decides, whatever partition a file lies in."""
+    return inc.increment(late_partition(spark, sf_dir), CUT)
+
+
+def d5_replayed(spark, sf_dir):
+    """Stored versions after a replay: users divisible by 7 have lost their key, every fifth
+    event its stamp, and null is a value like any other."""
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"), SMALL)
+    rows = log(spark, sf_dir).withColumns(
+        {
+            "unique_key": F.when(F.col("unique_key").cast("int") % 7 != 0, F.col("unique_key")),
+            "sys_updated_at": F.when(F.col("sys_id").cast("int") % 5 != 0, F.col("sys_updated_at")),
+        }
+    )
+    keys = ["unique_key", "sys_updated_at"]
+    for part in (rows.filter(F.col("_ingested_at") <= CUT), rows, rows):
+        new = inc.first_per_version(part)
+        wh.append_unseen(b.VERSIONS, new, new, keys, None)
+    return wh.read(b.VERSIONS).groupBy(*keys).agg(F.count("*").alias("n"))
+
+
+D5_REPLAYED_SQL = from_log(
+    """select case when unique_key::int % 7 <> 0 then unique_key end as unique_key,
+    case when sys_id::int % 5 <> 0 then sys_updated_at end as sys_updated_at, 1::bigint as n
+    from log group by 1, 2"""
+)
+
+
+def d11_same_stamp(spark, sf_dir):
+    """Two micro-batches of one stamp with a core and mart build after each."""
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"), SMALL)
+    raw = fixed_columns(t.raw_requests(spark, sf_dir))
+    stamped = raw.withColumn("_ingested_at", F.lit("2001-12-01T00:00:00"))
+    as_of = datetime.fromisoformat(t.REQUESTS_AS_OF)
+    checkpoint = scratch_path(spark, "stream")
+    for number in (0, 1):
+        half = F.pmod(F.xxhash64("unique_key"), F.lit(2)) == number
+        write_batch(stamped.filter(half), wh.raw_path, "2001-12-01", 1_000_000)
+        run_available(wh, as_of, checkpoint)
+        b.build_core(wh, as_of)
+        b.build_marts(wh, as_of)
+    return wh.read(b.AGENCIES)
+
+
 def d9(spark, sf_dir):
     return t.requests(spark, sf_dir)
 
@@ -212,7 +266,7 @@ def d12(spark, sf_dir):
     wh = Warehouse(spark, scratch_path(spark, "warehouse"), SMALL)
     staged = b.documented(t.requests(spark, sf_dir), b.REQUEST_COMMENTS)
     wh.create(b.REQUESTS, staged, None)
-    stored = spark.read.parquet(wh.path(b.REQUESTS))
+    stored = spark.read.parquet(wh.path(wh.parts(b.REQUESTS)[0]["path"]))
     comment = stored.schema["status"].metadata["comment"]
     return stored.groupBy("status").agg(F.count("*").alias("n")).withColumn(
         "comment", F.lit(comment)
@@ -221,7 +275,7 @@ def d12(spark, sf_dir):
 
 D12_SQL = t.over_staged(
     """select status, count(*) as n,
-    'Normalised status; anything unrecognised becomes ''Unspecified''.' as comment
+    'One of the listed states, Unspecified for any other spelling.' as comment
     from requests group by all"""
 )
 
@@ -233,6 +287,9 @@ QUERIES = {
     "d4_upsert": (d4, D4_SQL),
     "d4_merge_latest": (d4_newest, D2_SQL),
     "d4_upsert_stored": (d4_stored, t.over_staged("select * from requests")),
+    "d1_increment_pruned": (d1_partitions, from_log(f"select * from log where _ingested_at > '{CUT}'")),
+    "d5_replayed": (d5_replayed, D5_REPLAYED_SQL),
+    "d11_same_stamp": (d11_same_stamp, t.over_core("select * from agencies")),
     "d5_upsert_versions": (d5, D5_SQL),
     "d5_versions_stored": (
         d5_stored,

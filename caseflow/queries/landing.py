@@ -203,7 +203,7 @@ def b5(spark, sf_dir):
     """The next window after the log: watermark less the overlap."""
     watermark = r.last_successful_watermark(t.request_runs(spark, sf_dir))
     newest = watermark.first()["watermark"]
-    lower, upper = r.resolve_window(newest, datetime(2001, 12, 1))
+    lower, upper = r.resolve_window(spark, newest, datetime(2001, 12, 1))
     return watermark.select("watermark", F.lit(lower).alias("lower"), F.lit(upper).alias("upper"))
 
 

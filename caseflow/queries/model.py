@@ -5,9 +5,25 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from caseflow.plans import marts as m
+from caseflow.plans.core import calendar, day_series
 from caseflow.queries import tables as t
 
 
+def e4(spark, sf_dir):
+    """The calendar of the days the orders span, and a year more."""
+    days = F.to_date("o_orderdate")
+    bounds = t.table(spark, sf_dir, "orders").agg(
+        F.min(days).alias("first"), F.add_months(F.max(days), 12).alias("last")
+    )
+    return calendar(day_series(bounds, F.col("first"), F.col("last")))
+
+
+E4_SQL = t.CALENDAR_SELECT_SQL.format(
+    """(select unnest(generate_series(min(o_orderdate)::date::timestamp,
+        max(o_orderdate)::date + interval 1 year, interval 1 day))::date as date_day from orders)"""
+)
+
+
 def e7(spark, sf_dir):
     """Fact with its type (inner), its day (left) and its agency (inner)."""
     fact = t.fact(spark, sf_dir).select(
@@ -56,7 +72,7 @@ QUERIES = {
     "e1_dim_agency": (t.agencies, t.over_core("select * from agencies")),
     "e2_dim_location": (t.locations, t.over_core("select * from locations")),
     "e3_dim_complaint_type": (t.complaint_types, t.over_core("select * from complaint_types")),
-    "e4_dim_date": (t.calendar, t.over_core("select * from calendar")),
+    "e4_dim_date": (e4, E4_SQL),
     "e5_fct_service_requests": (t.fact, t.over_core("select * from fact")),
     "e6_fct_status_history": (t.history, t.over_history("select * from history")),
     "e7_star_joins": (e7, E7_SQL),

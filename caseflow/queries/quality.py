@@ -48,15 +48,15 @@ H3_SQL = t.with_ctes(
 
 
 def h4(spark, sf_dir):
-    """Line items against the orders of 1998 and later only, so that orphans exist."""
-    orders = t.table(spark, sf_dir, "orders").filter(F.year("o_orderdate") >= 1998)
-    return c.relationships(lineitem(spark, sf_dir), "l_orderkey", orders, "o_orderkey")
+    """Line items whose last line points past the orders, so that orphans exist."""
+    lost = F.when(F.col("l_linenumber") == 7, -F.col("l_orderkey")).otherwise(F.col("l_orderkey"))
+    child = lineitem(spark, sf_dir).withColumn("l_orderkey", lost)
+    return c.relationships(child, "l_orderkey", t.table(spark, sf_dir, "orders"), "o_orderkey")
 
 
 H4_SQL = """
-select l_orderkey as from_field, count(*) as n_records from lineitem
-where not exists (select 1 from orders where o_orderkey = l_orderkey and year(o_orderdate) >= 1998)
-group by all"""
+select -l_orderkey as from_field, count(*) as n_records from lineitem
+where l_linenumber = 7 group by all"""
 
 
 def h4_holds(spark, sf_dir):

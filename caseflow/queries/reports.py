@@ -6,10 +6,9 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from caseflow.plans import build as b
-from caseflow.plans import quality as q
 from caseflow.plans import reports as r
-from caseflow.queries import model
+from caseflow.plans.refresh import check_results
+from caseflow.queries import model, quality
 from caseflow.queries import tables as t
 from caseflow.sources.runlog import coverage_start
 
@@ -176,16 +175,9 @@ G11_SQL = t.with_ctes(
 
 
 def dq_results(spark, sf_dir):
-    """Outcome of the row checks of the staged requests, one row per check."""
-    requests = t.requests(spark, sf_dir)
-    checks = [
-        c
-        for c in q.staging_checks(t.REQUESTS_AS_OF)
-        if c.table == b.REQUESTS and c.predicate is not None and c.failing is None
-    ]
-    counts = requests.agg(*[F.count_if(c.predicate).alias(c.name) for c in checks])
-    names = [c.name for c in checks]
-    return counts.unpivot([], names, "test", "failing_rows")
+    """The recorded outcome of every check of a stored build."""
+    wh, _ = quality.checked(spark, sf_dir)
+    return check_results(wh)
 
 
 def g12(spark, sf_dir):
@@ -208,7 +200,18 @@ results as (
         count_if(source_updated_at is null) as not_null_service_requests_source_updated_at,
         count_if(closed_at < created_at) as closed_not_before_created,
         count_if(created_at > timestamp '{t.REQUESTS_AS_OF}' + interval 1 day)
-            as no_future_created_at
+            as no_future_created_at,
+        (select count(*) from (select unique_key from requests group by 1 having count(*) > 1))
+            as unique_service_requests_unique_key,
+        count(distinct status) filter (status not in (
+            'Closed', 'Open', 'In Progress', 'Assigned', 'Pending', 'Unspecified'))
+            as accepted_values_service_requests_status,
+        count(distinct borough) filter (borough not in (
+            'BRONX', 'BROOKLYN', 'MANHATTAN', 'QUEENS', 'STATEN ISLAND'))
+            as accepted_values_service_requests_borough,
+        (select count(*) from (select 1 from versions group by unique_key, sys_updated_at
+            having count(*) > 1)) as unique_request_versions_version,
+        (select count_if(unique_key is null) from versions) as not_null_request_versions_unique_key
         from requests)
     on columns(*) into name test value failing_rows
 )"""
@@ -286,7 +289,13 @@ QUERIES = {
     "g11_late_closures": (g11, G11_SQL),
     "g12_dq_summary": (
         g12,
-        t.with_ctes("select test, failing_rows from results", t.RAW_SQL, t.STAGED_SQL, DQ_SQL),
+        t.with_ctes(
+            "select test, failing_rows from results",
+            t.RAW_SQL,
+            t.STAGED_SQL,
+            t.VERSIONS_SQL,
+            DQ_SQL,
+        ),
     ),
     "g12_dq_headline": (
         g12_headline,
@@ -294,6 +303,7 @@ QUERIES = {
             "select count(*) as n_tests, count_if(failing_rows > 0)::bigint as n_failing from results",
             t.RAW_SQL,
             t.STAGED_SQL,
+            t.VERSIONS_SQL,
             DQ_SQL,
         ),
     ),

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from caseflow import functions as fn
 from caseflow.functions.dates import as_ntz
+from caseflow.functions.rules import STATUS_NAMES
 from caseflow.operators.quantiles import round1
-from caseflow.plans.core import hours_to_close, open_age_days, request_flags
+from caseflow.plans.core import day_series, hours_to_close, open_age_days, request_flags
 from caseflow.queries import tables as t
 
 # Fixed instant between the events, so that differences to it have both signs.
@@ -34,8 +35,18 @@ def order_times(spark, sf_dir):
         F.concat(F.substring(plain, 1, 10), F.lit("T")),
         F.concat(F.substring(plain, 1, 10), F.lit(" 10")),
         F.lit("1995-02-30"),
+        F.lit("1995/02-03"),
+        F.concat(F.substring(plain, 1, 10), F.lit("T24:00:00")),
+        F.concat(plain, F.lit(" UTC")),
+        F.concat(plain, F.lit("+02")),
+        F.concat(plain, F.lit("-0230")),
+        F.concat(F.substring(plain, 1, 10), F.lit("  10:00:00")),
+        F.translate(F.substring(plain, 1, 10), "-", " "),
+        F.translate(F.substring(plain, 1, 10), "-", "\\"),
+        F.concat(F.lit("  "), F.substring(plain, 1, 10)),
+        F.concat(F.substring(plain, 1, 10), F.lit(" 24:00:01")),
     ]
-    return o.select("o_orderkey", F.get(F.array(*spellings), F.col("o_orderkey").cast("int") % 15)
+    return o.select("o_orderkey", F.get(F.array(*spellings), F.col("o_orderkey").cast("int") % 25)
                     .alias("txt"))
 
 
@@ -51,7 +62,10 @@ s as (
     select o_orderkey, [replace(p, ' ', 'T') || 'Z', substr(p, 1, 4), substr(p, 1, 7),
         substr(p, 1, 10), ' ' || substr(p, 1, 10) || ' ', p || '.123456', 'now', substr(p, 1, 16),
         'Z' || p, p || '.1234567Z', replace(substr(p, 1, 10), '-', '/'), substr(p, 1, 10) || 'T',
-        substr(p, 1, 10) || ' 10', '1995-02-30'][o_orderkey % 15 + 1] as txt
+        substr(p, 1, 10) || ' 10', '1995-02-30', '1995/02-03', substr(p, 1, 10) || 'T24:00:00',
+        p || ' UTC', p || '+02', p || '-0230', substr(p, 1, 10) || '  10:00:00',
+        replace(substr(p, 1, 10), '-', ' '), replace(substr(p, 1, 10), '-', chr(92)),
+        '  ' || substr(p, 1, 10), substr(p, 1, 10) || ' 24:00:01'][o_orderkey % 25 + 1] as txt
     from o)
 select o_orderkey, txt, try_cast(replace(txt, 'Z', '') as timestamp) as parsed from s"""
 
@@ -78,10 +92,10 @@ def c3(spark, sf_dir):
     return raw.select("sys_id", fn.normalise_status("status").alias("status"))
 
 
+STATUS_SQL = ", ".join(f"'{k}': '{v}'" for k, v in STATUS_NAMES.items())
 C3_SQL = t.with_ctes(
-    """select sys_id, coalesce(map {'CLOSED': 'Closed', 'OPEN': 'Open', 'IN PROGRESS': 'In Progress',
-    'STARTED': 'In Progress', 'ASSIGNED': 'Assigned', 'PENDING': 'Pending'}[upper(trim(status))],
-    'Unspecified') as status from raw_requests""",
+    f"""select sys_id, coalesce(map {{{STATUS_SQL}}}[upper(trim(status))], 'Unspecified') as status
+    from raw_requests""",
     t.RAW_SQL,
 )
 
@@ -287,8 +301,8 @@ def c18(spark, sf_dir):
         "o_orderkey", F.to_date("o_orderdate").alias("d0")
     )
     until = F.date_add("d0", (F.col("o_orderkey") % 5).cast("int"))
-    days = F.explode(F.sequence("d0", until, F.expr("interval 1 day"))).alias("day")
-    return o.select("o_orderkey", days).groupBy("day").agg(F.count("*").alias("n"))
+    days = day_series(o, F.col("d0"), until).withColumnRenamed("date_day", "day")
+    return days.groupBy("day").agg(F.count("*").alias("n"))
 
 
 C18_SQL = """

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseflow.functions import iso_text
+from caseflow.functions.rules import COMPLAINT_FAMILIES, OTHER_FAMILY
 from caseflow.plans.core import (
     dim_agency,
     dim_complaint_type,
@@ -404,19 +405,24 @@ fact as (
     from requests
 )"""
 
-FAMILY_SQL = """
-case when lower(complaint_type) like 'noise%' then 'Noise'
-     when regexp_matches(lower(complaint_type), 'heat|hot water') then 'Heat / Hot Water'
-     when regexp_matches(lower(complaint_type), 'parking|vehicle') then 'Parking / Vehicles'
-     when regexp_matches(lower(complaint_type), 'water|sewer') then 'Water / Sewer'
-     when regexp_matches(lower(complaint_type), 'street|sidewalk') then 'Street / Sidewalk'
-     when regexp_matches(lower(complaint_type), 'sanitation|dirty|litter|graffiti') then 'Sanitation'
-     when regexp_matches(lower(complaint_type), 'unsanitary|rodent|pest') then 'Pests / Unsanitary'
-     when regexp_matches(lower(complaint_type), 'plumbing|paint|door|electric')
-         then 'Housing Maintenance'
-     when regexp_matches(lower(complaint_type), 'homeless|encampment') then 'Homeless Assistance'
-     when lower(complaint_type) like '%tree%' then 'Trees / Parks'
-     else 'Other' end"""
+def hits_sql(patterns: list[str]) -> str:
+    return " or ".join(f"lower(complaint_type) like '{p}'" for p in patterns)
+
+
+# The rules are stated once, in functions/rules.py; what is compared is how they are applied.
+FAMILY_SQL = (
+    "case "
+    + " ".join(f"when {hits_sql(patterns)} then '{name}'" for name, patterns in COMPLAINT_FAMILIES)
+    + f" else '{OTHER_FAMILY}' end"
+)
+
+CALENDAR_SELECT_SQL = """
+    select date_day, year(date_day)::int as year, quarter(date_day)::int as quarter,
+        month(date_day)::int as month, strftime(date_day, '%Y-%m') as year_month,
+        weekofyear(date_day)::int as iso_week, date_trunc('week', date_day)::date as week_start,
+        dayofweek(date_day)::int as day_of_week, strftime(date_day, '%a') as day_name,
+        dayofweek(date_day) in (0, 6) as is_weekend
+    from {}"""
 
 DIMS_SQL = f"""
 agency_names as (
@@ -450,14 +456,7 @@ days as (
     select unnest(generate_series(timestamp '{CALENDAR_START}',
         timestamp '{REQUESTS_AS_OF}' + interval 1 year, interval 1 day))::date as date_day
 ),
-calendar as (
-    select date_day, year(date_day)::int as year, quarter(date_day)::int as quarter,
-        month(date_day)::int as month, strftime(date_day, '%Y-%m') as year_month,
-        weekofyear(date_day)::int as iso_week, date_trunc('week', date_day)::date as week_start,
-        dayofweek(date_day)::int as day_of_week, strftime(date_day, '%a') as day_name,
-        dayofweek(date_day) in (0, 6) as is_weekend
-    from days
-)"""
+calendar as ({CALENDAR_SELECT_SQL.format('days')})"""
 
 MARTS_SQL = f"""
 volume as (
@@ -492,8 +491,8 @@ backlog as (
         max(open_age_days) as max_age_days, timestamp '{REQUESTS_AS_OF}' as as_of
     from fact where not is_closed group by all
 ),
-last_ok as (select * from runs where status = 'succeeded' order by started_at desc, run_id limit 1),
-last_any as (select * from runs order by started_at desc, run_id limit 1),
+last_ok as (select * from runs where status = 'succeeded' order by started_at desc, run_id desc limit 1),
+last_any as (select * from runs order by started_at desc, run_id desc limit 1),
 health as (
     select count(*) as n_requests, max(source_updated_at) as newest_source_update,
         date_diff('hour', max(source_updated_at), timestamp '{REQUESTS_AS_OF}')

@@ -18,6 +18,10 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+# The training-data queries are compared in tests/llm.
+NAMES = [n for n in entry.queries() if n in SQL and not n.startswith("op") and n != "pipeline"]
+
+
+@pytest.mark.parametrize("name", NAMES)
 def test_query_agrees_with_sql(spark, con, name):
     assert difference(entry.queries()[name](spark, SF_DIR), con, SQL[name]) is None
