@@ -39,11 +39,13 @@ FORMATS = re.compile(
   | (?P<address>(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d))
   | (?P<phone>(?<!\w)(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-]))
   | (?P<social>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))
-  | (?P<card>(?<![\w.])(?:\d[ -]?){12,60}\d(?!\w))
+  | (?P<card>(?<![\w.])
+      (?:\d{13,19}|\d{4}(?P<gap>[ -])\d{4}(?:(?P=gap)\d{1,4}){2,3}|\d{4}(?P<wide>[ -])\d{6}(?P=wide)\d{4,5})(?!\w))
     """,
     re.VERBOSE,
 )
-HINT = re.compile(r"[0-9@]|(?i:password|passwd|secret|token|key)")
+HINT = re.compile(r"[0-9@]|AKIA|(?i:password|passwd|secret|token|key)")
+KINDS = ("email", "iban", "access", "secret", "iso", "slashed", "address", "phone", "social", "card")
 DIGITS = "0123456789"
 LOWERS = "abcdefghijklmnopqrstuvwxyz"
 UPPERS = LOWERS.upper()
@@ -227,7 +229,7 @@ class Pseudonyms:
         kinds: list[str] = []
 
         def one(match: re.Match) -> str:
-            kind = match.lastgroup if match["hidden"] is None else "secret"
+            kind = next(k for k in KINDS if match[k] is not None)
             value = match[0]
             if kind == "secret":
                 new = value[: -len(match["hidden"])] + self.hidden(match["hidden"])
