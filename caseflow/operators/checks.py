@@ -157,6 +157,13 @@ def schema_stable(runs: DataFrame) -> DataFrame:
     )
 
 
+def none_quarantined(lines: DataFrame, runs: DataFrame) -> DataFrame:
+    """Warns while the latest run left lines in quarantine."""
+    latest = _newest_run(runs, "run_id").select("run_id").scalar()
+    counted = lines.filter(F.col("run_id") == latest).agg(F.count("*").alias("n_lines"))
+    return counted.withColumn("status", F.when(F.col("n_lines") > 0, WARN).otherwise(PASS))
+
+
 def last_run_succeeded(runs: DataFrame) -> DataFrame:
     """Fails when the latest run did not succeed, and when there is none."""
     latest = _newest_run(runs, "run_id", F.col("status").alias("run_status"), "error", "rows_fetched")

@@ -13,7 +13,7 @@ from caseflow.operators.checks import Check
 from caseflow.plans import build as b
 from caseflow.schema import Settings
 
-RAW, RUNS = "raw", "meta/ingest_runs"
+RAW, RUNS, QUARANTINE = "raw", "meta/ingest_runs", "meta/quarantine"
 
 # Bounding box of the covered area and the accepted durations.
 LATITUDE_RANGE = (40.49, 40.92)
@@ -88,6 +88,13 @@ def raw_checks() -> list[Check]:
         Check(
             "few_repeated_versions", RAW, reports=lambda tables: c.duplicate_rate(tables(RAW))
         ),
+        Check(
+            "no_quarantined_lines",
+            QUARANTINE,
+            reports=lambda tables: c.none_quarantined(tables(QUARANTINE), tables(RUNS)),
+            inputs=(RUNS,),
+            clock=True,
+        ),
         Check(
             "no_undeclared_keys",
             RUNS,

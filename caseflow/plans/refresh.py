@@ -56,6 +56,8 @@ def tables_of(wh: Warehouse):
             return wh.raw()
         if name == quality.RUNS:
             return wh.runs.runs()
+        if name == quality.QUARANTINE:
+            return wh.quarantined()
         return wh.read(name)
 
     return table
@@ -63,7 +65,7 @@ def tables_of(wh: Warehouse):
 
 def table_state(wh: Warehouse, name: str) -> str:
     """Changes whenever the table does: its build, or what the runs have landed."""
-    if name in (quality.RAW, quality.RUNS):
+    if name in (quality.RAW, quality.RUNS, quality.QUARANTINE):
         landed = wh.runs.runs().filter("rows_fetched > 0")
         row = landed.agg(F.count("*").alias("n"), F.max("run_id").alias("last")).first()
         # Without a log nothing is known about the landing zone.

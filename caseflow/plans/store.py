@@ -63,6 +63,7 @@ class Warehouse:
         self.root = root.rstrip("/")
         self.settings = settings
         self.raw_path = f"{self.root}/raw"
+        self.quarantine = f"{self.root}/meta/quarantine"
         self.runs = RunLog(spark, f"{self.root}/meta/ingest_runs")
         self._marks: dict[str, Row] | None = None
         self._uncommitted: list[tuple] = []
@@ -76,6 +77,16 @@ class Warehouse:
         """The landing zone; ``merge_schema`` gives columns beyond the declared ones as well."""
         return read_landing(self.spark, self.raw_path, merge_schema)
 
+    def quarantined(self) -> DataFrame:
+        """Lines that could not be landed, with their run."""
+        schema = "value string, run_id string"
+        try:
+            return self.spark.read.schema(schema).parquet(self.quarantine)
+        except AnalysisException as e:
+            if e.getCondition() in NO_FILES:
+                return self.spark.createDataFrame([], schema)
+            raise
+
     # --- build marks -------------------------------------------------------------------
 
     def builds(self) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date, datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,6 +65,33 @@ def parse_records(
     return parsed.select(*(keep or []), "_r.*", "_extra").withColumnsRenamed(renamed)
 
 
+def _tolerant(lines: DataFrame, line: str) -> DataFrame:
+    """The line, its record ``_r`` and whether it is ``_broken``: text that is no JSON object."""
+    schema = T.StructType([*RECORD_SCHEMA.fields, T.StructField("_text", T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_text"}
+    parsed = lines.select(line, F.from_json(F.col(line), schema, options).alias("_r"))
+    empty = F.col("_r").isNull() & F.col(line).isNotNull()
+    return parsed.withColumn("_broken", F.col("_r._text").isNotNull() | empty)
+
+
+def split_records(lines: DataFrame, line: str = "value") -> tuple[DataFrame, Observation]:
+    """Like ``parse_records``, but broken lines are left out and counted: the observation gives
+    their number as ``broken`` once the frame has been written."""
+    seen = Observation()
+    counted = _tolerant(lines, line).observe(seen, F.count_if("_broken").alias("broken"))
+    known = RECORD_SCHEMA.fieldNames()
+    records = counted.filter(~F.col("_broken")).select(
+        *[F.col("_r").getField(f).alias(landed_name(f)) for f in known],
+        drift_json(F.col(line), known).alias("_extra"),
+    )
+    return records, seen
+
+
+def broken_lines(lines: DataFrame, line: str = "value") -> DataFrame:
+    """The lines that ``split_records`` leaves out."""
+    return _tolerant(lines, line).filter("_broken").select(line)
+
+
 def stamp(
     df: DataFrame, run_id: str | Column, batch_id: str | Column, ingested_at: str | Column
 ) -> DataFrame:

@@ -284,9 +284,9 @@ def test_refresh_runs_every_layer(spark, wh):
                     start="2026-09-01T00:00:00")
     assert state.ok, state.blocked_by
     assert state.built == ["raw", "staging", "core", "marts"]
-    assert len(state.results) == 42
+    assert len(state.results) == 43
     assert wh.read(b.HEALTH).first()["n_requests"] == 3
-    assert check_results(wh).count() == check_results(wh, state.build_id).count() == 42
+    assert check_results(wh).count() == check_results(wh, state.build_id).count() == 43
     details = check_results(wh).filter("test = 'few_repeated_versions'").first()["details"]
     assert '"n_versions":3' in details
     # Nothing has landed: outcomes are taken over, only what follows the clock is checked again.

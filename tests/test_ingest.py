@@ -4,6 +4,7 @@ import pytest
 from conftest import lines, record
 from pyspark.sql import functions as F
 
+from caseflow.operators import checks
 from caseflow.plans.ingest import ingest
 from caseflow.plans.store import Warehouse
 from caseflow.schema import Settings
@@ -70,6 +71,19 @@ def test_batches_of_several_frames_do_not_collide(spark, wh):
     assert files.count() == files.select("_batch_id").distinct().count() == result.files
 
 
+def test_broken_lines_go_to_quarantine(spark, wh):
+    good = lines(spark, [record(1, "2026-09-02T00:00:00.000Z"), record(2, "2026-09-03T00:00:00.000Z", novel=1)])
+    bad = spark.createDataFrame([('{"unique_key":',), ("[1]",), ("",), ("nope",)], "value string")
+    result = ingest(wh, lambda lower, upper: [good.unionByName(bad), good.limit(0)], start=START, **at(0))
+    assert (result.rows, result.broken, result.unexpected_keys) == (2, 4, ["novel"])
+    assert sorted(r.value for r in wh.quarantined().collect()) == ["", "[1]", "nope", '{"unique_key":']
+    assert {r.run_id for r in wh.quarantined().collect()} == {result.run_id}
+    warned = checks.none_quarantined(wh.quarantined(), wh.runs.runs()).first()
+    assert (warned["n_lines"], warned["status"]) == (4, "WARN")
+    ingest(wh, lambda lower, upper: good, **at(1))
+    assert checks.none_quarantined(wh.quarantined(), wh.runs.runs()).first()["status"] == "PASS"
+
+
 def test_a_broken_export_is_refused(spark, wh, tmp_path):
     ingest(wh, ten(spark), start=START, **at(0))
     before = wh.runs.runs().collect()
