@@ -24,6 +24,7 @@ from caseflow.plans.core import (
     fct_service_requests,
 )
 from caseflow.plans.staging import latest_requests, request_versions
+from caseflow.schema import RECORD_FIELDS, landed_name
 
 # Clocks the queries are run at, after the newest row of the tables they look at.
 REQUESTS_AS_OF = "2001-12-01 00:00:00"
@@ -535,6 +536,13 @@ def over_marts(select: str) -> str:
     return with_ctes(select, RAW_SQL, RUNS_SQL, STAGED_SQL, FACT_SQL, DIMS_SQL, MARTS_SQL)
 
 
+def request_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw requests as JSON records of the source (column ``value``)."""
+    raw = raw_requests(spark, sf_dir)
+    fields = [F.col(landed_name(f)).alias(f) for f in RECORD_FIELDS if landed_name(f) in raw.columns]
+    return raw.select(F.to_json(F.struct(*fields)).alias("value"))
+
+
 # --- events as landed JSON records -------------------------------------------------------
 
 
