@@ -63,14 +63,16 @@ def tables_of(wh: Warehouse):
     return table
 
 
-def table_state(wh: Warehouse, name: str) -> str:
-    """Changes whenever the table does: its build, or what the runs have landed."""
-    if name in (quality.RAW, quality.RUNS, quality.QUARANTINE):
+def table_states(wh: Warehouse, names: set[str]) -> dict[str, str]:
+    """For each table a text that changes whenever it does: its build, or what the runs landed."""
+    states = {name: f"build {wh.build_no(name)}" for name in names}
+    if landing := names & {quality.RAW, quality.RUNS, quality.QUARANTINE}:
         landed = wh.runs.runs().filter("rows_fetched > 0")
         row = landed.agg(F.count("*").alias("n"), F.max("run_id").alias("last")).first()
         # Without a log nothing is known about the landing zone.
-        return f"{row['n']} runs to {row['last']}" if row["n"] else f"unknown {uuid.uuid4().hex}"
-    return f"build {wh.build_no(name)}"
+        state = f"{row['n']} runs to {row['last']}" if row["n"] else f"unknown {uuid.uuid4().hex}"
+        states |= dict.fromkeys(landing, state)
+    return states
 
 
 def last_results(wh: Warehouse) -> dict[str, Row]:
@@ -86,8 +88,7 @@ def run_checks(wh: Warehouse, state: Refresh, checks: list[Check]) -> bool:
     on the clock. Of a check's failing rows the newest copy is kept.
     """
     last = last_results(wh)
-    names = {name for c in checks for name in (c.table, *c.inputs)}
-    states = {name: table_state(wh, name) for name in names}
+    states = table_states(wh, {name for c in checks for name in (c.table, *c.inputs)})
     reads = {c.name: "; ".join(states[name] for name in (c.table, *c.inputs)) for c in checks}
 
     def holds(c: Check) -> bool:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from datetime import datetime
-from functools import lru_cache
 
 from pyspark.sql import functions as F
 
@@ -211,7 +210,6 @@ def d10(spark, sf_dir):
     return t.versions(spark, sf_dir)
 
 
-@lru_cache(maxsize=1)
 def built(spark, sf_dir) -> Warehouse:
     """Land and build the requests in two overlapping batches."""
     wh = Warehouse(spark, scratch_path(spark, "warehouse"), SMALL)

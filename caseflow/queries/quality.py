@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
 
 from pyspark.sql import functions as F
 
@@ -158,7 +157,6 @@ H14_SQL = t.over_staged(
 )
 
 
-@lru_cache(maxsize=1)
 def checked(spark, sf_dir):
     """Store the staged tables and run their checks; returns the warehouse and the outcome."""
     wh = Warehouse(spark, scratch_path(spark, "warehouse"), Settings(buckets=8))

@@ -25,3 +25,31 @@ NAMES = [n for n in entry.queries() if n in SQL and not n.startswith("op") and n
 @pytest.mark.parametrize("name", NAMES)
 def test_query_agrees_with_sql(spark, con, name):
     assert difference(entry.queries()[name](spark, SF_DIR), con, SQL[name]) is None
+
+
+@pytest.fixture
+def generated(spark):
+    """Run with generated code, as a cluster does; the other tests interpret their plans."""
+    off = {k: spark.conf.get(k) for k in ("spark.sql.codegen.wholeStage", "spark.sql.codegen.factoryMode")}
+    spark.conf.set("spark.sql.codegen.wholeStage", "true")
+    spark.conf.set("spark.sql.codegen.factoryMode", "CODEGEN_ONLY")
+    yield spark
+    for key, value in off.items():
+        spark.conf.set(key, value)
+
+
+GENERATED = [
+    "a2_normalise",
+    "c1_parse_ts",
+    "d2_latest_per_key",
+    "d9_staged_requests",
+    "e5_fct_service_requests",
+    "e6_fct_status_history",
+    "f2_resolution_time",
+    "h9_duplicate_rate",
+]
+
+
+@pytest.mark.parametrize("name", GENERATED)
+def test_generated_code_agrees_with_sql(generated, con, name):
+    assert difference(entry.queries()[name](generated, SF_DIR), con, SQL[name]) is None
