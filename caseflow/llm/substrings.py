@@ -161,14 +161,27 @@ def repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
         .agg(F.collect_set("lo").alias("shared")),
         "seeds",
     )
-    occurrences = settle(_contexts(source.join(seeds, ["_id", "_key"])), "contexts")
+    occurrences = settle(
+        _contexts(source.join(seeds, ["_id", "_key"])).withColumns(
+            {"context": F.xxhash64("windows"), "size": F.size("windows")}
+        ),
+        "contexts",
+    )
     classes = settle(
-        occurrences.groupBy("anchor", "windows")
-        .agg(F.min("_id").alias("least"))
-        .withColumn("class", F.monotonically_increasing_id()),
+        occurrences.groupBy("anchor", "context", "windows").agg(F.min("_id").alias("least")),
         "classes",
     )
-    each = classes.select("class", "anchor", "least", F.posexplode("windows").alias("at", "window"))
+    # Classes that may share windows with another one of their anchor.
+    several = classes.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    contested = settle(
+        classes.join(several, "anchor", "left_semi").withColumn(
+            "class", F.monotonically_increasing_id()
+        ),
+        "contested",
+    )
+    each = contested.select(
+        "class", "anchor", "least", F.posexplode("windows").alias("at", "window")
+    )
     across = (
         each.groupBy("anchor", "window")
         .agg(F.min("least").alias("before"), F.max("least").alias("most"))
@@ -181,10 +194,13 @@ def repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
         .groupBy("class")
         .agg(F.bit_or(F.expr("shiftleft(1, at)")).alias("part"))
     )
-    named = classes.join(parts, "class", "left").drop("class")
-    whole = F.expr("shiftleft(1, size(windows)) - 1")
+    shared_parts = contested.select("anchor", "context", "class").join(parts, "class").drop("class")
+    # From here on a class is known by the hashes of its anchor and of its windows.
+    named = classes.drop("windows").join(shared_parts, ["anchor", "context"], "left")
+    whole = F.expr("shiftleft(1, size) - 1")
     hits = (
-        occurrences.join(named, ["anchor", "windows"])
+        occurrences.drop("windows")
+        .join(named, ["anchor", "context"])
         .withColumn("mask", F.when(F.col("_id") > F.col("least"), whole).otherwise(F.col("part")))
         .filter("mask is not null")
     )
