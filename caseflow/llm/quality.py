@@ -33,45 +33,39 @@ RULES = BASE_RULES | {
 }
 
 
-def _repeat_words(words: Column) -> Column:
-    """How many words lie in a window of three that occurs twice or more in the array."""
+def _triples(words: Column) -> Column:
+    """A hash of every window of three words; none for three words or fewer, which repeat nothing."""
     count = F.size(words)
-    grams = F.when(
-        count >= 4,
-        F.transform(
-            F.sequence(F.lit(0), count - 3),
-            lambda i: F.xxhash64(words[i], words[i + 1], words[i + 2]),
-        ),
-    ).otherwise(F.array().cast("array<bigint>"))
-    return grams
+    hashes = F.transform(
+        F.sequence(F.lit(0), count - 3), lambda i: F.xxhash64(words[i], words[i + 1], words[i + 2])
+    )
+    return F.when(count >= 4, hashes).otherwise(F.array().cast("array<bigint>"))
 
 
 def measured(docs: DataFrame, text: str, columns: list[Column]) -> DataFrame:
     """``columns`` and the measures of every text; a null text has none of anything."""
-    step = docs.select(*columns, F.coalesce(docs[text].cast("string"), F.lit("")).alias("_t"))
-    step = step.withColumn("_words", F.array_remove(F.split("_t", WHITE), ""))
-    step = step.withColumn("_grams", _repeat_words(F.col("_words")))
-    step = step.withColumn("_lines", F.filter(F.split("_t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
-    sorted_ = F.array_sort(F.transform("_grams", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    # Most texts repeat nothing and need no sorting.
-    step = step.withColumn(
-        "_sorted",
-        F.when(F.size(F.array_distinct("_grams")) < F.size("_grams"), sorted_).otherwise(
-            F.array().cast("array<struct<h:bigint,i:int>>")
-        ),
-    )
-
-    def same(k: Column, step: int) -> Column:
-        here, there = F.get("_sorted", k)["h"], F.get("_sorted", k + step)["h"]
+    df = docs.select(*columns, F.coalesce(docs[text].cast("string"), F.lit("")).alias("_t"))
+    names = [c for c in df.columns if c != "_t"]
+    df = df.withColumn("_words", F.array_remove(F.split("_t", WHITE), ""))
+    df = df.withColumn("_triples", _triples(F.col("_words")))
+    has_word = lambda line: line.rlike(r"[^\x20\x09-\x0D]")
+    df = df.withColumn("_lines", F.filter(F.split("_t", "\n"), has_word))
+    # Equal windows stand side by side once sorted. Most texts repeat nothing and skip that.
+    placed = F.transform("_triples", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+    repeats = F.size(F.array_distinct("_triples")) < F.size("_triples")
+    nothing = F.array().cast("array<struct<h:bigint,i:int>>")
+    df = df.withColumn("_sorted", F.when(repeats, F.array_sort(placed)).otherwise(nothing))
+
+    def equals(k: Column, other: Column) -> Column:
+        here, there = F.get("_sorted", k)["h"], F.get("_sorted", other)["h"]
         return F.coalesce(here == there, F.lit(False))
 
-    twice = F.filter("_sorted", lambda x, k: same(k, -1) | same(k, 1))
-    step = step.withColumn("_starts", F.transform(twice, lambda x: x["i"]))
+    twice = F.filter("_sorted", lambda x, k: equals(k, k - 1) | equals(k, k + 1))
+    df = df.withColumn("_starts", F.transform(twice, lambda x: x["i"]))
     covered = F.concat(
         "_starts", F.transform("_starts", lambda i: i + 1), F.transform("_starts", lambda i: i + 2)
     )
-    names = [c for c in step.columns if c not in ("_t", "_words", "_grams", "_lines", "_sorted", "_starts")]
-    return step.select(
+    return df.select(
         *names,
         F.size("_words").cast("long").alias("n_words"),
         F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
