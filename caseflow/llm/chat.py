@@ -105,18 +105,19 @@ def format_chats(
     system = (F.col("place") == 0) & (F.col("role") == "system")
     back = F.sequence(F.greatest(F.col("first") - history, F.lit(0)), F.col("first") - 1)
     earlier = later.select("_conv", "_window", F.explode(back).alias("_place")) if history else None
+    again = F.col("_window").alias("window")
     shown = [
         placed.select("conv", "window", F.lit(2).alias("kind"), "place", "role", "text"),
         placed.filter(system)
         .join(later, F.col("conv").eqNullSafe(F.col("_conv")))
-        .select("conv", F.col("_window").alias("window"), F.lit(0).alias("kind"), "place", "role", "text"),
+        .select("conv", again, F.lit(0).alias("kind"), "place", "role", "text"),
     ]
     if earlier is not None:
         at = F.col("conv").eqNullSafe(F.col("_conv")) & (F.col("place") == F.col("_place"))
         shown.append(
             placed.filter(~system)
             .join(earlier, at)
-            .select("conv", F.col("_window").alias("window"), F.lit(1).alias("kind"), "place", "role", "text")
+            .select("conv", again, F.lit(1).alias("kind"), "place", "role", "text")
         )
     entries = shown[0]
     for more in shown[1:]:
@@ -139,9 +140,8 @@ def format_chats(
     def marked(t: Column) -> Column:
         return F.concat(F.lit(BEGIN), t["role"], F.lit(MIDDLE), t["text"], F.lit(END))
 
-    nothing = F.struct(
-        F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans")
-    )
+    spans = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    nothing = F.struct(F.lit(0).cast("long").alias("at"), spans.alias("spans"))
 
     def add(state: Column, t: Column) -> Column:
         start = state["at"] + len(BEGIN) + F.length(t["role"]) + len(MIDDLE)
@@ -177,6 +177,9 @@ def read_turns(formatted: Column, n_repeated: Column) -> Column:
 
 def read_loss(formatted: Column, loss: Column) -> Column:
     """The texts under the loss mask, unescaped, in order."""
-    return F.transform(
-        loss, lambda s: unescape(F.substr(formatted, (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")))
-    )
+
+    def said(span: Column) -> Column:
+        size = (span["end"] - span["start"]).cast("int")
+        return unescape(F.substr(formatted, (span["start"] + 1).cast("int"), size))
+
+    return F.transform(loss, said)

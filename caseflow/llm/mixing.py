@@ -41,7 +41,7 @@ def uniform(key: Column, seed: str) -> Column:
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") + 0.5) / F.lit(float(1 << 52))
 
 
-def targets(sizes: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
+def targets(sizes: DataFrame, most: int) -> DataFrame:
     """``target`` for each row of ``source, source_size, weight``: the weights' shares of all words,
     none above ``most`` times its source, the excess shared again by weight until none is."""
     capped = F.col("source_size") * most
@@ -83,12 +83,13 @@ def mix(
     gives no rows. Reruns draw the same keys.
     """
     column = docs[text].cast("string")
+    weight = symbol_quality(column) if quality is None else quality
     stored = settle(
         docs.select(
             F.struct(*(keep or ["*"])).alias("row"),
             docs[source].alias("_source"),
             word_count(column).alias("size"),
-            (-F.log(uniform(docs[doc_id], seed)) / (symbol_quality(column) if quality is None else quality)).alias("_key"),
+            (-F.log(uniform(docs[doc_id], seed)) / weight).alias("_key"),
             F.struct(docs[doc_id].alias("id"), F.xxhash64(column).alias("text")).alias("_tie"),
         ).withColumn(
             # Monotone in the key and about even over the buckets.
@@ -101,13 +102,14 @@ def mix(
     sizes = heaps.groupBy("_source").agg(F.sum("words").alias("source_size"))
     ranked = settle(number_rows(sizes, ["_source"], "_rank", unique=True), "sources")
     turn = F.array(*map(F.lit, weights))[(F.col("_rank") % len(weights)).cast("int")]
-    plan = targets(ranked.withColumn("weight", turn), weights, most).withColumn(
-        "_epochs",
-        F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"),
+    times = F.floor(F.col("target") / F.col("source_size"))
+    plan = targets(ranked.withColumn("weight", turn), most).withColumn(
+        "_epochs", F.when(F.col("source_size") > 0, times).otherwise(0).cast("long")
     )
     plan = plan.withColumn("_left", F.col("target") - F.col("_epochs") * F.col("source_size"))
-    before = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    heaps = heaps.withColumn("_before", F.coalesce(F.sum("words").over(before), F.lit(0)))
+    in_order = Window.partitionBy("_source").orderBy("_bucket")
+    before = F.sum("words").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    heaps = heaps.withColumn("_before", F.coalesce(before, F.lit(0)))
     # The bucket in which the prefix sum passes what is left; buckets before it are taken whole.
     cut = (
         heaps.alias("h")
@@ -142,9 +144,8 @@ def mix(
     )
     both = sorted_.drop("_prefix").unionByName(whole)
     epochs = F.col("_epochs") + (F.col("_part") & (F.col("size") > 0)).cast("long")
-    return both.select(
-        "row", "size", "source_size", "target", epochs.alias("epochs"), (epochs * F.col("size")).alias("taken")
-    )
+    taken = (epochs * F.col("size")).alias("taken")
+    return both.select("row", "size", "source_size", "target", epochs.alias("epochs"), taken)
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:

@@ -86,7 +86,8 @@ def domain_verdicts(stats: DataFrame, domain: str, most_rate: float = MOST_RATE)
     domains = settle(stats.groupBy(domain).agg(F.count("*").alias("n"), *fails), "domains")
     moments = []
     for name in RULES:
-        moments += [F.sum(name).alias(f"{name}_k"), F.sum(F.col(name) * F.col(name) / F.col("n")).alias(f"{name}_q")]
+        square = F.col(name) * F.col(name) / F.col("n")
+        moments += [F.sum(name).alias(f"{name}_k"), F.sum(square).alias(f"{name}_q")]
     row = domains.agg(F.sum("n").alias("n"), *moments).first()
     total = row["n"] or 0
     rejected = F.lit(False)

@@ -132,7 +132,8 @@ def near_groups(
     shingle: int = 3,
     keep: list[str] | None = None,
 ) -> DataFrame:
-    """One row per document: ``row`` (the input row, or its columns ``keep``), ``uid``, ``fingerprint``, ``component_id``, ``leads``.
+    """One row per document: ``row`` (the input row, or its columns ``keep``), ``uid``,
+    ``fingerprint``, ``component_id``, ``leads``.
 
     Documents whose fingerprints differ in at most two bits are linked; ``component_id`` is the
     smallest id reachable and ``leads`` is true for one document of each component: that id's
