@@ -45,7 +45,8 @@ def related(table: str, column: str, parent: str) -> Check:
     rows = lambda tables: c.relationships(
         tables(table), column, tables(parent), column
     )
-    return Check(_named("relationships", table, column), table, failing=rows, weight="n_records", inputs=(parent,))
+    name = _named("relationships", table, column)
+    return Check(name, table, failing=rows, weight="n_records", inputs=(parent,))
 
 
 def in_range(table: str, column: str, low: float, high: float) -> Check:
