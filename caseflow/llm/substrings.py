@@ -82,9 +82,8 @@ def blocks(batch: pa.RecordBatch, text: str) -> tuple[np.ndarray, ...]:
 def _anchors(source: DataFrame) -> DataFrame:
     """``anchor, _id, _key, lo`` of every block."""
     fields = source.schema
-    schema = T.StructType(
-        [T.StructField("anchor", T.LongType()), fields["_id"], fields["_key"], T.StructField("lo", T.LongType())]
-    )
+    anchor, lo = T.StructField("anchor", T.LongType()), T.StructField("lo", T.LongType())
+    schema = T.StructType([anchor, fields["_id"], fields["_key"], lo])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "_text"):
@@ -149,11 +148,13 @@ def repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
         F.xxhash64(docs[text].cast("string")).alias("_key"),
     ).filter("_id is not null")
     found = _anchors(source)
-    shared = (
+    # Written, so that the join deals both sides anew and may split the rows of a hot anchor.
+    shared = settle(
         found.groupBy("anchor")
         .agg(F.min("_id").alias("least"), F.max("_id").alias("most"))
         .filter("least < most")
-        .select("anchor")
+        .select("anchor"),
+        "anchors",
     )
     seeds = settle(
         found.join(shared, "anchor", "left_semi")
@@ -182,11 +183,12 @@ def repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
     each = contested.select(
         "class", "anchor", "least", F.posexplode("windows").alias("at", "window")
     )
-    across = (
+    across = settle(
         each.groupBy("anchor", "window")
         .agg(F.min("least").alias("before"), F.max("least").alias("most"))
         .filter("before < most")
-        .drop("most")
+        .drop("most"),
+        "windows",
     )
     parts = (
         each.join(across, ["anchor", "window"])
@@ -196,7 +198,9 @@ def repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
     )
     shared_parts = contested.select("anchor", "context", "class").join(parts, "class").drop("class")
     # From here on a class is known by the hashes of its anchor and of its windows.
-    named = classes.drop("windows").join(shared_parts, ["anchor", "context"], "left")
+    named = settle(
+        classes.drop("windows").join(shared_parts, ["anchor", "context"], "left"), "named"
+    )
     whole = F.expr("shiftleft(1, size) - 1")
     hits = (
         occurrences.drop("windows")
