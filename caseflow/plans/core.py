@@ -62,11 +62,16 @@ def days_from(start: date | Column, end: date | Column) -> Column:
     return F.when(first <= last, F.sequence(first, last, F.expr("interval 1 day")))
 
 
-def day_series(bounds: DataFrame, start: date | Column, end: date | Column) -> DataFrame:
+def days_of(bounds: DataFrame, start: date | Column, end: date | Column) -> DataFrame:
     """One row per day of the closed range of every row of ``bounds``."""
     return bounds.select(F.explode(days_from(start, end)).alias("date_day"))
 
 
+def day_series(spark: SparkSession, start: date | Column, end: date | Column) -> DataFrame:
+    """One row per day of the closed range."""
+    return days_of(spark.range(1), start, end)
+
+
 def calendar(days: DataFrame) -> DataFrame:
     """Attributes of the days in ``date_day``."""
     return days.select("date_day", *[c.alias(name) for name, c in date_parts("date_day").items()])
@@ -75,7 +80,7 @@ def calendar(days: DataFrame) -> DataFrame:
 def dim_date(spark: SparkSession, as_of, start: date = Settings.calendar_start) -> DataFrame:
     """Calendar from ``start`` to one year after ``as_of``."""
     end = F.add_months(F.to_date(as_ntz(as_of)), 12)
-    return calendar(day_series(spark.range(1), start, end))
+    return calendar(day_series(spark, start, end))
 
 
 def hours_to_close() -> Column:

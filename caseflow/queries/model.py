@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from caseflow.plans import marts as m
-from caseflow.plans.core import calendar, day_series
+from caseflow.plans.core import calendar, days_of
 from caseflow.queries import tables as t
 
 
@@ -15,7 +15,7 @@ def e4(spark, sf_dir):
     bounds = t.table(spark, sf_dir, "orders").agg(
         F.min(days).alias("first"), F.add_months(F.max(days), 12).alias("last")
     )
-    return calendar(day_series(bounds, F.col("first"), F.col("last")))
+    return calendar(days_of(bounds, F.col("first"), F.col("last")))
 
 
 E4_SQL = t.CALENDAR_SELECT_SQL.format(

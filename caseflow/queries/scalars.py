@@ -9,7 +9,7 @@ from caseflow import functions as fn
 from caseflow.functions.dates import as_ntz
 from caseflow.functions.rules import STATUS_NAMES
 from caseflow.operators.quantiles import round1
-from caseflow.plans.core import day_series, hours_to_close, open_age_days, request_flags
+from caseflow.plans.core import days_of, hours_to_close, open_age_days, request_flags
 from caseflow.queries import tables as t
 
 # Fixed instant between the events, so that differences to it have both signs.
@@ -301,7 +301,7 @@ def c18(spark, sf_dir):
         "o_orderkey", F.to_date("o_orderdate").alias("d0")
     )
     until = F.date_add("d0", (F.col("o_orderkey") % 5).cast("int"))
-    days = day_series(o, F.col("d0"), until).withColumnRenamed("date_day", "day")
+    days = days_of(o, F.col("d0"), until).withColumnRenamed("date_day", "day")
     return days.groupBy("day").agg(F.count("*").alias("n"))
 
 
