@@ -27,25 +27,40 @@ from caseflow.llm.common import chunks
 EXAMPLE_KEY = b"caseflow example key"
 ROUNDS = 8
 
-# Formats.
-FORMATS = re.compile(
-    r"""
-    (?P<email>(?<![\w.%+-])[\w.%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})
-  | (?P<iban>(?<!\w)[A-Z]{2}\d{2}(?:\ ?[A-Z0-9]{4}){2,7}(?:\ ?[A-Z0-9]{1,3})?(?!\w))
-  | (?P<access>(?<!\w)AKIA[0-9A-Z]{16}(?!\w))
-  | (?P<secret>(?i:password|passwd|secret|token|api_?key)\s{0,3}[=:]\s{0,3}["']?(?P<hidden>[0-9A-Za-z+/_-]{12,}))
-  | (?P<iso>(?<![\w-])\d{4}-\d{2}-\d{2}(?![\w-]))
-  | (?P<slashed>(?<![\w/])\d{1,2}/\d{1,2}/\d{4}(?![\w/]))
-  | (?P<address>(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d))
-  | (?P<phone>(?<!\w)(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-]))
-  | (?P<social>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))
-  | (?P<card>(?<![\w.])
-      (?:\d{13,19}|\d{4}(?P<gap>[ -])\d{4}(?:(?P=gap)\d{1,4}){2,3}|\d{4}(?P<wide>[ -])\d{6}(?P=wide)\d{4,5})(?!\w))
-    """,
-    re.VERBOSE,
-)
+# Formats, in the order in which they are tried at one place.
+PATTERNS = {
+    "email": r"(?<![\w.%+-])[\w.%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
+    "iban": r"(?<!\w)[A-Z]{2}\d{2}(?:\ ?[A-Z0-9]{4}){2,7}(?:\ ?[A-Z0-9]{1,3})?(?!\w)",
+    "access": r"(?<!\w)AKIA[0-9A-Z]{16}(?!\w)",
+    "secret": r"""(?i:password|passwd|secret|token|api_?key)\s{0,3}[=:]\s{0,3}["']?
+      (?P<hidden>[0-9A-Za-z+/_-]{12,})""",
+    "iso": r"(?<![\w-])\d{4}-\d{2}-\d{2}(?![\w-])",
+    "slashed": r"(?<![\w/])\d{1,2}/\d{1,2}/\d{4}(?![\w/])",
+    "address": r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d)",
+    "phone": r"""(?<!\w)(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}
+      (?![\w-])""",
+    "social": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
+    "card": r"""(?<![\w.])(?:\d{13,19}|\d{4}(?P<gap>[ -])\d{4}(?:(?P=gap)\d{1,4}){2,3}
+      |\d{4}(?P<wide>[ -])\d{6}(?P=wide)\d{4,5})(?!\w)""",
+}
+KINDS = tuple(PATTERNS)
+FORMATS = re.compile("|".join(f"(?P<{k}>{v})" for k, v in PATTERNS.items()), re.VERBOSE)
+ONE_FORMAT = {k: re.compile(v, re.VERBOSE) for k, v in PATTERNS.items()}
+# Characters behind a value that a match starting in front of it can still read.
+REACH = 64
+# Lengths of the account numbers of countries (ISO 13616).
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+        21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+        24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+        27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
 HINT = re.compile(r"[0-9@]|AKIA|(?i:password|passwd|secret|token|key)")
-KINDS = ("email", "iban", "access", "secret", "iso", "slashed", "address", "phone", "social", "card")
 DIGITS = "0123456789"
 LOWERS = "abcdefghijklmnopqrstuvwxyz"
 UPPERS = LOWERS.upper()
@@ -209,38 +224,73 @@ class Pseudonyms:
         return refill(value, f"{self.feistel.within('social', 10**9, number, valid):09d}")
 
     def card(self, value: str) -> str | None:
-        """Every run of digit groups that is a valid card number, longest first from the left."""
-        groups = list(re.finditer(r"\d+", value))
-        out, at, first = [], 0, 0
-        while first < len(groups):
-            for last in reversed(range(first, min(len(groups), first + 19))):
-                piece = value[groups[first].start() : groups[last].end()]
-                digits = re.sub(r"\D", "", piece)
-                if is_card(digits):
-                    new = self.feistel.text("card", digits[:-1], (DIGITS,))
-                    out += [value[at : groups[first].start()], refill(piece, new + luhn_digit(new))]
-                    at, first = groups[last].end(), last
-                    break
-            first += 1
-        return "".join([*out, value[at:]]) if out else None
+        digits = re.sub(r"\D", "", value)
+        if not is_card(digits):
+            return None
+        new = self.feistel.text("card", digits[:-1], (DIGITS,))
+        return refill(value, new + luhn_digit(new))
+
+    def secret(self, value: str) -> str:
+        hidden = ONE_FORMAT["secret"].match(value)["hidden"]
+        return value[: -len(hidden)] + self.hidden(hidden)
+
+    def spans(self, kind: str, match: re.Match) -> Iterator[tuple[int, int]]:
+        """Where in a match the value may be: an iban has its country's length, or else is the whole
+        match; a card is a run of digit groups, longest first from the left."""
+        start, value = match.start(), match[0]
+        if kind == "iban":
+            places = [at for at, c in enumerate(value) if c != " "]
+            length = IBAN_LENGTHS.get(value[:2], len(places))
+            if length < len(places) and value[places[length - 1] + 1] == " ":
+                yield start, start + places[length - 1] + 1
+        if kind == "card":
+            groups = [m.span() for m in re.finditer(r"\d+", value)]
+            for first, (begin, _) in enumerate(groups):
+                for _, end in reversed(groups[first:]):
+                    yield start + begin, start + end
+        else:
+            yield match.span()
+
+    def first(self, text: str, at: int) -> tuple[str, int, int, str, int | None] | None:
+        """Kind, start, end and pseudonym of the first valid value from ``at`` on, and the start of
+        the earliest other reading of its characters, if any, that was not valid."""
+        rejected: list[tuple[int, int]] = []
+        while match := FORMATS.search(text, at):
+            at = match.start()
+            rejected = [span for span in rejected if span[1] > at]
+            for kind in KINDS[KINDS.index(match.lastgroup) :]:
+                if not (found := ONE_FORMAT[kind].match(text, at)):
+                    continue
+                several = kind in ("iban", "card") and not found[0].isalnum()
+                for start, end in self.spans(kind, found):
+                    new = getattr(self, kind)(text[start:end])
+                    if new is not None:
+                        others = [s for s, e in rejected if e > start] + [at] * several
+                        return kind, start, end, new, min(others, default=None)
+                rejected.append(found.span())
+            at += 1
+        return None
 
     def replace(self, text: str) -> tuple[str, list[str]]:
         """The text with pseudonyms and the kinds of the values replaced, in order."""
         kinds: list[str] = []
-
-        def one(match: re.Match) -> str:
-            kind = next(k for k in KINDS if match[k] is not None)
-            value = match[0]
-            if kind == "secret":
-                new = value[: -len(match["hidden"])] + self.hidden(match["hidden"])
-            else:
-                new = getattr(self, kind)(value)
-            if new is None:
-                return value
+        if not HINT.search(text):
+            return text, kinds
+        out, at = [], 0
+        while value := self.first(text, at):
+            kind, start, end, new, other = value
+            # A pseudonym must not make another reading valid, or the key would not undo it.
+            while other is not None:
+                begin = max(other - 1, 0)
+                around = text[begin:start] + new + text[end : end + REACH]
+                again = self.first(around, other - begin)
+                if again and again[:3] == (kind, start - begin, end - begin):
+                    break
+                new = getattr(self, kind)(new)
+            out += [text[at:start], new]
             kinds.append(kind)
-            return new
-
-        return (FORMATS.sub(one, text), kinds) if HINT.search(text) else (text, kinds)
+            at = end
+        return "".join([*out, text[at:]]), kinds
 
 
 def real_date(year: int, month: int, day: int) -> dt.date | None:

@@ -217,6 +217,35 @@ def test_neighbouring_numbers():
     assert pii.Pseudonyms(b"k").replace("3782 822463 10005")[1] == ["card"]
 
 
+@pytest.mark.parametrize(
+    ("text", "kind", "value"),
+    [
+        ("x ES9121000418450200051332 A b", "iban", "ES9121000418450200051332"),
+        ("x AT61 1904 3002 3457 3201 NOW", "iban", "AT61 1904 3002 3457 3201"),
+        ("x AT61 1904 3002 3457 3201 APRIL 5", "iban", "AT61 1904 3002 3457 3201"),
+        ("ref AB12 4111 1111 1111 1111", "card", "4111 1111 1111 1111"),
+        ("ref AT12 4111 1111 1111 1111", "card", "4111 1111 1111 1111"),
+        ("ref AB12 CDEF GHIJ 70.123.182.155", "address", "70.123.182.155"),
+        ("1234 5678 9012 3456 555-867-5309", "phone", "555-867-5309"),
+    ],
+)
+def test_values_next_to_and_inside_other_matches(text, kind, value):
+    before, after = text.split(value)
+    for key in map(str, range(300)):
+        new, kinds = pii.Pseudonyms(key.encode()).replace(text)
+        assert kinds == [kind] and value not in new
+        assert new.startswith(before) and new.endswith(after) and len(new) == len(text)
+        assert pii.Pseudonyms(key.encode(), backwards=True).replace(new) == (text, kinds)
+
+
+def test_values_behind_cards_and_ibans():
+    for text, expected in [
+        ("4451 7180 2488 7799 555-867-5309", ["card", "phone"]),
+        ("ES91 2100 0418 4502 0005 1332 GB82 WEST 1234 5698 7654 32", ["iban", "iban"]),
+    ]:
+        assert pii.Pseudonyms(b"k").replace(text)[1] == expected
+
+
 def test_permutations_are_bijections():
     perm = pii.Permutation(b"k")
     for size in (1, 2, 3, 10, 97, 256):
