@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -29,21 +30,35 @@ ROUNDS = 8
 
 # Formats, in the order in which they are tried at one place.
 PATTERNS = {
-    "email": r"(?<![\w.%+-])[\w.%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
+    "email": r"(?<![\w.%+-])[\w.%+-]+@(?:[\w-]+\.)+[^\W0-9_]{2,}",
     "iban": r"(?<!\w)[A-Z]{2}\d{2}(?:\ ?[A-Z0-9]{4}){2,7}(?:\ ?[A-Z0-9]{1,3})?(?!\w)",
     "access": r"(?<!\w)AKIA[0-9A-Z]{16}(?!\w)",
-    "secret": r"""(?i:password|passwd|secret|token|api_?key)\s{0,3}[=:]\s{0,3}["']?
-      (?P<hidden>[0-9A-Za-z+/_-]{12,})""",
-    "iso": r"(?<![\w-])\d{4}-\d{2}-\d{2}(?![\w-])",
+    "secret": r"""(?i:password|passwd|secret|token|api_?key)["']?\s{0,3}[=:]\s{0,3}
+      (?:"(?P<double>[^"\n]{4,200})"|'(?P<single>[^'\n]{4,200})'
+      |["']?(?P<hidden>(?:[^\s"'<>,;&]|[,;&](?!\w+=|\s))+(?<=[^\W_])))""",
+    "iso": r"(?<![\w-])\d{4}-\d{2}-\d{2}(?:(?=T\d\d)|(?![\w-]))",
     "slashed": r"(?<![\w/])\d{1,2}/\d{1,2}/\d{4}(?![\w/])",
+    "dotted": r"(?<![\w.])\d{1,2}\.\d{1,2}\.\d{4}(?!\w|\.\d)",
     "address": r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d)",
     "phone": r"""(?<!\w)(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}
       (?![\w-])""",
     "social": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "card": r"""(?<![\w.])(?:\d{13,19}|\d{4}(?P<gap>[ -])\d{4}(?:(?P=gap)\d{1,4}){2,3}
       |\d{4}(?P<wide>[ -])\d{6}(?P=wide)\d{4,5})(?!\w)""",
+    "abroad": r"""(?<!\w)\+[1-9](?:\d{6,14}|\d{0,5}(?:[ .-]?\(\d{1,5}\)\d{0,8})?[ ./-]?(?<!\d)\d{1,8}
+      (?:(?P<bar>[ ./-])\d{1,8}(?:(?P=bar)\d{1,8}){0,5})?(?:-\d{1,5})?)(?![\w-]|[./]\d)""",
+    "national": r"""(?<![\w+./-])(?!\d{3}-\d{2}-\d{4}(?!\w))(?:0[1-9](?:\.\d{2}){4}
+      |[6-9]\d{2}(?:\ \d{2}){3}|9\d\ \d{3}(?:\ \d{2}){2}
+      |(?:\(0[1-9]\d{0,3}\)[ ./-]?|0[1-9]\d{0,3}[ /-])\d{2,8}
+      (?:(?P<rail>[ -])\d{2,8}(?:(?P=rail)\d{2,8}){0,3})?(?:-\d{1,4})?)(?![\w-]|[./]\d)""",
 }
+# Digits are ASCII digits.
+PATTERNS = {k: v.replace(r"\d", "[0-9]") for k, v in PATTERNS.items()}
 KINDS = tuple(PATTERNS)
+# Kinds that are reported under another name.
+NAMES = {"abroad": "phone", "national": "phone"}
+# Country codes of one and two digits; all others have three.
+SHORT_CODES = re.compile(r"[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]")
 FORMATS = re.compile("|".join(f"(?P<{k}>{v})" for k, v in PATTERNS.items()), re.VERBOSE)
 ONE_FORMAT = {k: re.compile(v, re.VERBOSE) for k, v in PATTERNS.items()}
 # Characters behind a value that a match starting in front of it can still read.
@@ -67,8 +82,28 @@ UPPERS = LOWERS.upper()
 ACCENTED = "àáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿß"
 CLASSES = (DIGITS, LOWERS, UPPERS, ACCENTED, ACCENTED[:-2].upper())
 HEX = "0123456789abcdef"
+# Dates of these years are permuted among themselves, and all others among themselves.
 FIRST_DAY = dt.date(1900, 1, 1).toordinal()
 DAYS = dt.date(2100, 1, 1).toordinal() - FIRST_DAY
+ALL_DAYS = dt.date.max.toordinal()
+# Longer values are permuted in pieces of so many characters.
+PIECE = 128
+
+
+@lru_cache(1 << 14)
+def alphabet(char: str) -> str:
+    """The letters or digits beyond ``CLASSES`` of a character's script, case and block; else none."""
+
+    def script(c: str) -> tuple[str, str]:
+        return unicodedata.category(c), unicodedata.name(c, "").split(" ")[0]
+
+    first = ord(char) & ~127
+    block = [c for c in map(chr, range(first, first + 128)) if c.isalnum()]
+    if char not in block or any(char in c for c in CLASSES):
+        return ""
+    return "".join(
+        c for c in block if script(c) == script(char) and not any(c in k for k in CLASSES)
+    )
 
 
 class Permutation:
@@ -108,16 +143,22 @@ class Permutation:
         return value
 
     def text(self, name: str, text: str, classes: tuple[str, ...]) -> str:
-        """Permute the characters that are in a class, each within its class, as one number."""
+        """Permute the characters that are in a class, each within its class, as one number.
+        With ``CLASSES``, letters and digits beyond them are permuted within their alphabet."""
+        if len(text) > PIECE:
+            pieces = range(0, len(text), PIECE)
+            return "".join(self.text(f"{name} {at}", text[at : at + PIECE], classes) for at in pieces)
         number, size, places = 0, 1, []
         for at, char in enumerate(text):
             members = next((c for c in classes if char in c), None)
+            if not members and classes is CLASSES:
+                members = alphabet(char)
             if members:
                 places.append((at, members))
                 number, size = number * len(members) + members.index(char), size * len(members)
         if size < 2:
             return text
-        shape = "".join(str(classes.index(m)) for _, m in places)
+        shape = "".join(str(classes.index(m)) if m in classes else f"<{m[0]}>" for _, m in places)
         number, out = self.permute(f"{name}/{shape}", size, number), list(text)
         for at, members in reversed(places):
             number, digit = divmod(number, len(members))
@@ -138,6 +179,11 @@ def is_card(digits: str) -> bool:
     return 13 <= len(digits) <= 19 and len(set(digits)) > 1 and luhn_digit(digits[:-1]) == digits[-1]
 
 
+def enough(phone: str) -> bool:
+    """Whether a national or foreign phone number has enough digits."""
+    return len(re.sub(r"\D", "", phone)) >= (7 if phone[0] in "+(" else 9)
+
+
 def iban_check(country: str, account: str) -> str:
     number = "".join(str(int(c, 36)) for c in account + country + "00")
     return f"{98 - int(number) % 97:02d}"
@@ -170,14 +216,31 @@ class Pseudonyms:
     def access(self, value: str) -> str:
         return value[:4] + self.feistel.text("access", value[4:], (DIGITS + UPPERS,))
 
-    def hidden(self, value: str) -> str:
-        hexadecimal = all(c in HEX for c in value)
-        return self.feistel.text("secret", value, (HEX,) if hexadecimal else CLASSES)
+    def secret(self, value: str) -> str | None:
+        match = ONE_FORMAT["secret"].match(value)
+        part = next(k for k in ("double", "single", "hidden") if match[k] is not None)
+        start, end = match.span(part)
+        hidden = value[start:end]
+        if part == "hidden":
+            told = len(hidden) >= 12 or value[start - 1] == "=" or re.search(r"[0-9!@#$%^&*+=~?]", hidden)
+            if len(hidden) < 4 or not told or re.match(r"\w+://", hidden):
+                return None
+        hexadecimal = lambda v: len(v) >= 12 and all(c in HEX for c in v)
+        classes = (HEX,) if hexadecimal(hidden) else CLASSES
+        new = self.feistel.text("secret", hidden, classes)
+        while hexadecimal(new) != hexadecimal(hidden):
+            new = self.feistel.text("secret", new, classes)
+        return value[:start] + new + value[end:]
 
     def day(self, name: str, date: dt.date, valid: Callable[[dt.date], bool]) -> dt.date:
-        back = lambda n: dt.date.fromordinal(FIRST_DAY + n)
+        near = lambda d: 0 <= d.toordinal() - FIRST_DAY < DAYS
+        first, size, name = (FIRST_DAY, DAYS, name) if near(date) else (1, ALL_DAYS, f"{name} far")
+        back = lambda n: dt.date.fromordinal(first + n)
+        own = near(date)
         return back(
-            self.feistel.within(name, DAYS, date.toordinal() - FIRST_DAY, lambda n: valid(back(n)))
+            self.feistel.within(
+                name, size, date.toordinal() - first, lambda n: near(back(n)) == own and valid(back(n))
+            )
         )
 
     def iso(self, value: str) -> str | None:
@@ -185,19 +248,36 @@ class Pseudonyms:
         return date and self.day("iso", date, lambda d: True).isoformat()
 
     def slashed(self, value: str) -> str | None:
-        one, two, year = map(int, value.split("/"))
-        wide = all(len(part) == 2 for part in value.split("/")[:2])
-        write = (lambda a, b, y: f"{a:02d}/{b:02d}/{y}") if wide else (lambda a, b, y: f"{a}/{b}/{y}")
-
-        def narrow(d: dt.date) -> bool:
-            return wide or min(d.day, d.month) < 10
-
-        if date := real_date(year, one, two):
-            new = self.day(f"month first {wide}", date, narrow)
-            return write(new.month, new.day, new.year)
-        if date := real_date(year, two, one):
-            new = self.day(f"day first {wide}", date, lambda d: d.day > 12 and narrow(d))
-            return write(new.day, new.month, new.year)
+        return self.parts(value, "/", "", "month", "day")
+
+    def dotted(self, value: str) -> str | None:
+        return self.parts(value, ".", "dotted ", "day", "month")
+
+    def parts(self, value: str, sign: str, name: str, *usual: str) -> str | None:
+        """A date by its usual order of day and month, else by the other one."""
+        one, two, year = value.split(sign)
+        wide = len(one) == len(two) == 2
+        # One part with a zero in front, the other of one digit.
+        mixed = not wide and "0" in (one[0], two[0])
+
+        def fits(d: dt.date) -> bool:
+            least, most = sorted((d.day, d.month))
+            return wide or (most if mixed else least) < 10
+
+        for first, second in (usual, usual[::-1]):
+            read = {first: int(one), second: int(two)}
+            date = real_date(int(year), **read)
+            if date and fits(date):
+                usually = first == usual[0]
+                new = self.day(
+                    f"{name}{first} first {'mixed' if mixed else wide}{len(one) if mixed else ''}",
+                    date,
+                    lambda d: fits(d) and (usually or d.day > 12),  # noqa: B023
+                )
+                a, b = (str(getattr(new, part)) for part in (first, second))
+                if wide or mixed:
+                    a, b = a.zfill(len(one)), b.zfill(len(two))
+                return f"{a}{sign}{b}{sign}{new.year:04d}"
         return None
 
     def address(self, value: str) -> str | None:
@@ -213,6 +293,21 @@ class Pseudonyms:
         own = country[0] if country else ""
         return own + self.feistel.text("phone", value[len(own) :], (DIGITS,))
 
+    def abroad(self, value: str) -> str | None:
+        digits = re.sub(r"\D", "", value)
+        if not enough(value) or len(digits) > 15:
+            return None
+        code = SHORT_CODES.match(digits)
+        own = 1 + (code.end() if code else 3)
+        own += len(re.match(r"(?:[ .-]?\(0\))?", value[own:])[0])
+        return value[:own] + self.feistel.text("abroad", value[own:], (DIGITS,))
+
+    def national(self, value: str) -> str | None:
+        if not enough(value) or len(re.sub(r"\D", "", value)) > 12:
+            return None
+        own = re.match(r"\(?0[1-9]|\d", value).end()
+        return value[:own] + self.feistel.text("national", value[own:], (DIGITS,))
+
     def social(self, value: str) -> str | None:
         def valid(n: int) -> bool:
             area, group, serial = n // 1_000_000, n // 10_000 % 100, n % 10_000
@@ -230,13 +325,10 @@ class Pseudonyms:
         new = self.feistel.text("card", digits[:-1], (DIGITS,))
         return refill(value, new + luhn_digit(new))
 
-    def secret(self, value: str) -> str:
-        hidden = ONE_FORMAT["secret"].match(value)["hidden"]
-        return value[: -len(hidden)] + self.hidden(hidden)
-
     def spans(self, kind: str, match: re.Match) -> Iterator[tuple[int, int]]:
         """Where in a match the value may be: an iban has its country's length, or else is the whole
-        match; a card is a run of digit groups, longest first from the left."""
+        match; a card is a run of digit groups, longest first from the left; a phone number ends before
+        a card, and where it would have too many digits."""
         start, value = match.start(), match[0]
         if kind == "iban":
             places = [at for at, c in enumerate(value) if c != " "]
@@ -248,9 +340,26 @@ class Pseudonyms:
             for first, (begin, _) in enumerate(groups):
                 for _, end in reversed(groups[first:]):
                     yield start + begin, start + end
+        elif kind in NAMES:
+            groups = [m.span() for m in re.finditer(r"\d+", value)]
+            card = ONE_FORMAT["card"]
+            cards = [at for at, _ in groups[1:] if card.match(match.string, start + at)]
+            # By shape where enough digits are in front, so that pseudonyms are read alike.
+            stop = next((at for at in cards if enough(value[:at])), None) or next(
+                (at for at in cards if self.starts_card(match.string, start + at)), len(value)
+            )
+            for _, end in reversed(groups):
+                if end <= stop:
+                    yield start, start + end
         else:
             yield match.span()
 
+    def starts_card(self, text: str, at: int) -> bool:
+        match = ONE_FORMAT["card"].match(text, at)
+        return bool(match) and any(
+            begin == at and self.card(text[begin:end]) for begin, end in self.spans("card", match)
+        )
+
     def first(self, text: str, at: int) -> tuple[str, int, int, str, int | None] | None:
         """Kind, start, end and pseudonym of the first valid value from ``at`` on, and the start of
         the earliest other reading of its characters, if any, that was not valid."""
@@ -261,10 +370,10 @@ class Pseudonyms:
             for kind in KINDS[KINDS.index(match.lastgroup) :]:
                 if not (found := ONE_FORMAT[kind].match(text, at)):
                     continue
-                several = kind in ("iban", "card") and not found[0].isalnum()
+                several = kind in ("iban", "card", *NAMES) and not found[0].isalnum()
                 for start, end in self.spans(kind, found):
                     new = getattr(self, kind)(text[start:end])
-                    if new is not None:
+                    if new not in (None, text[start:end]):
                         others = [s for s, e in rejected if e > start] + [at] * several
                         return kind, start, end, new, min(others, default=None)
                 rejected.append(found.span())
@@ -288,17 +397,16 @@ class Pseudonyms:
                     break
                 new = getattr(self, kind)(new)
             out += [text[at:start], new]
-            kinds.append(kind)
+            kinds.append(NAMES.get(kind, kind))
             at = end
         return "".join([*out, text[at:]]), kinds
 
 
 def real_date(year: int, month: int, day: int) -> dt.date | None:
     try:
-        date = dt.date(year, month, day)
+        return dt.date(year, month, day)
     except ValueError:
         return None
-    return date if 0 <= date.toordinal() - FIRST_DAY < DAYS else None
 
 
 def pseudonymise(
@@ -311,8 +419,9 @@ def pseudonymise(
     """One row per document: ``row`` (the input row, or its columns ``keep``), ``_text`` with
     pseudonyms and ``kinds``, the kinds of the values replaced, in order.
 
-    Kinds: email (local part), iban, access (keys), secret (the value only), iso and slashed dates,
-    address (IPv4), phone (country code kept), social, card. Invalid values stay. ``backwards``
+    Kinds: email (local part), iban, access (keys), secret (the value only), iso, slashed and dotted
+    dates, address (IPv4), phone (country code, or trunk zero and the digit behind it, kept),
+    social, card. Invalid values stay, and values without a character to permute. ``backwards``
     with the same key restores the input. A null text stays null, an empty one empty; rows are
     neither dropped nor merged; an empty table gives no rows.
     """

@@ -238,6 +238,67 @@ def test_values_next_to_and_inside_other_matches(text, kind, value):
         assert pii.Pseudonyms(key.encode(), backwards=True).replace(new) == (text, kinds)
 
 
+@pytest.mark.parametrize(
+    ("text", "kind", "value"),
+    [
+        *(
+            (f"tel. {v}, x", "phone", v)
+            for v in (
+                "+44 20 7946 0958", "+33 1 23 45 67 89", "+49 30 123456", "(020) 7946 0958", "+15551234567",
+                "+44 (0)20 7946 0958", "+49 30/123456-78", "+49 (30) 123456", "020 7946 0958", "030/123456",
+                "01 23 45 67 89", "01.23.45.67.89", "0171 1234567", "91 234 56 78", "612 34 56 78", "+4420 79460958",
+            )
+        ),
+        *((f"on {v}, x", "dotted", v) for v in ("12.03.1980", "1.3.1980", "03.21.1980", "01.3.1980", "1.03.1980")),
+        ("at 2020-01-02T10:00:00", "iso", "2020-01-02"),
+        ("in 1789-07-14.", "iso", "1789-07-14"),
+        ("in 9999-12-31.", "iso", "9999-12-31"),
+        ("in 7/14/0789.", "slashed", "7/14/0789"),
+        ("in 03/1/1980.", "slashed", "03/1/1980"),
+        ("password: hunter2!", "secret", "hunter2"),
+        ("password=Abc!defgh123456", "secret", "Abc!defgh123456"),
+        ("password=letmein, x", "secret", "letmein"),
+        ('{"password": "open sesame"}', "secret", "open sesame"),
+        ("?token=abc123&user=joe", "secret", "abc123"),
+        ("token=" + "aB3!" * 2_000, "secret", "aB3!" * 2_000),
+        ("mail иван@mail.ru", "email", "иван"),
+        ("mail Ωμέγα@почта.рф", "email", "Ωμέγα"),
+    ],
+)
+def test_more_formats(text, kind, value):
+    before, after = text.split(value)
+    for key in map(str, range(5 if len(text) > 1_000 else 60)):
+        new, kinds = pii.Pseudonyms(key.encode()).replace(text)
+        assert kinds == [kind] and value not in new
+        assert new.startswith(before) and new.endswith(after)
+        assert len(new) == len(text) or kind in ("slashed", "dotted")
+        assert pii.Pseudonyms(key.encode(), backwards=True).replace(new) == (text, kinds)
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["password: required", "secret: https://example.com/a1", "078-00-1120", "0.123456789", "+12 34", "32.13.1980",
+     "token: x", "0000-01-01", "%+@mail.ru", "03/32/1999", "١٩٨٧-٠٣-٢١ ٥٥٥-٨٦٧-٥٣٠٩"],
+)
+def test_other_texts_stay(text):
+    assert pii.Pseudonyms(b"k").replace(text) == (text, [])
+
+
+def test_phones_beside_other_values():
+    for text, expected in [
+        ("+44 20 7946 0958 2020-01-02", ["phone", "iso"]),
+        ("+49 30 123456 555-867-5309", ["phone", "phone"]),
+        ("030 123456 12.03.1980", ["phone", "dotted"]),
+        ("030 12345 4111 1111 1111 1111", ["card"]),
+        ("020 7946 0958 4111 1111 1111 1111", ["phone", "card"]),
+        ("+33 1 23 45 67 89 4111111111111111", ["phone", "card"]),
+    ]:
+        for key in map(str, range(100)):
+            new, kinds = pii.Pseudonyms(key.encode()).replace(text)
+            assert kinds == expected, text
+            assert pii.Pseudonyms(key.encode(), backwards=True).replace(new) == (text, kinds)
+
+
 def test_values_behind_cards_and_ibans():
     for text, expected in [
         ("4451 7180 2488 7799 555-867-5309", ["card", "phone"]),
