@@ -10,6 +10,8 @@ cut are ever sorted: no source is gathered, however large. DataFrame functions o
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -150,12 +152,20 @@ def mix(
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every document as often as it is taken, numbered by ``mix_epoch`` from 1,
-    with ``mix_size``, ``mix_source_size``, ``mix_target``; documents not taken are gone."""
+    with ``mix_size``, ``mix_source_size``, ``mix_target``; documents not taken are gone.
+
+    If the documents have a column of one of these names, in any case, all four get the smallest
+    ending from ``_2`` on with which none clashes; the documents' own columns stay as they are.
+    """
     taken = mix(docs, **options).filter("epochs > 0")
-    return taken.select(
-        "row.*",
-        F.col("size").alias("mix_size"),
-        F.col("source_size").alias("mix_source_size"),
-        F.col("target").alias("mix_target"),
-        F.explode(F.sequence(F.lit(1).cast("long"), "epochs")).alias("mix_epoch"),
-    )
+    epoch = F.explode(F.sequence(F.lit(1).cast("long"), "epochs"))
+    added = {
+        "mix_size": F.col("size"),
+        "mix_source_size": F.col("source_size"),
+        "mix_target": F.col("target"),
+        "mix_epoch": epoch,
+    }
+    given = {c.lower() for c in docs.columns}
+    endings = ("" if n == 1 else f"_{n}" for n in count(1))
+    ending = next(e for e in endings if not given & {name + e for name in added})
+    return taken.select("row.*", *(value.alias(name + ending) for name, value in added.items()))

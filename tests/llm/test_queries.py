@@ -11,11 +11,13 @@ from brute import (
     words,
 )
 from oracle import connect, difference
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from caseflow.llm import decontaminate, pii, tokens
 from caseflow.llm.oracles import ORACLES
 from caseflow.llm.queries import all_queries, table
+from caseflow.session import materialise
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -136,3 +138,19 @@ def test_stages_on_odd_documents(spark):
         assert stage(spark, docs.limit(0), SF_DIR).collect() == []
         docs = stage(spark, docs, SF_DIR)
     docs.collect()
+
+
+def test_all_stages_on_documents_of_an_earlier_run(spark):
+    extra = [(100 + i, " ".join(f"w{i}x{j}" for j in range(60 + i)), "big") for i in range(20)]
+    marks = {"mix_size": -1, "mix_source_size": -2, "MIX_Target": -3, "mix_epoch": -4, "mix_epoch_2": -5}
+    docs = edge_docs(spark, extra).withColumns({name: F.lit(value) for name, value in marks.items()})
+    for given in (docs, docs.limit(0)):
+        mixed = given
+        for name, stage in corpus_pipeline.STAGES:
+            mixed = materialise(stage(spark, mixed, SF_DIR), name)
+        added = ["mix_size_3", "mix_source_size_3", "mix_target_3", "mix_epoch_3"]
+        assert mixed.columns == docs.columns + added
+        rows = mixed.collect()
+        assert bool(rows) == (given is docs)
+        assert all(r[name] == value for r in rows for name, value in marks.items())
+        assert all(r.mix_size_3 == len(words(r.text)) and r.mix_epoch_3 > 0 for r in rows)
