@@ -5,7 +5,7 @@ SimHash (no seeded XXH64), token counts, pseudonyms and the pipeline are tested
 
 from __future__ import annotations
 
-from caseflow.llm import chat, quality
+from caseflow.llm import chat, licences, quality
 
 LOWER_AZ = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -203,6 +203,64 @@ select w.conv_id, n_turns, turns_sha256, loss_chars, loss_sha256,
 from whole w left join again a on w.conv_id is not distinct from a.conv_id
 """
 
+def op11() -> str:
+    """Every file's votes and phrases by plain joins; phrases are compared with slices of the text."""
+    quoted = lambda words: str(list(words))
+    words = [t.text.split() for t in licences.TEMPLATES]
+    templates, rules = [], []
+    for t, template in enumerate(licences.TEMPLATES):
+        need = 1 if template.base else min(licences.RARE, len(set(words[t])))
+        templates.append(f"({t}, '{template.label}', {template.base}, {need}, {quoted(words[t])})")
+        for phrase in template.phrases:
+            p = phrase.split()
+            offset = next(i for i in range(len(words[t])) if words[t][i : i + len(p)] == p)
+            slack = 0 if template.base else licences.SLACK
+            rules.append(f"({t}, {quoted(p)}, {offset}, {slack})")
+    return f"""
+with templates(t, label, base, need, words) as (values {", ".join(templates)}),
+rules(t, phrase, shift, slack) as (values {", ".join(rules)}),
+posts as (select t, unnest(words) as word, generate_subscripts(words, 1) - 1 as shift from templates),
+docs as (select row_number() over () as r, doc_id, {ALNUM_WORDS} as w from documents),
+places as (select r, unnest(w) as word, generate_subscripts(w, 1) - 1 as pos from docs),
+hits as (select * from places semi join posts using (word)),
+seen as (select word, count(distinct r) as df from hits group by word),
+ranked as (
+  select r, t, word, row_number() over (partition by r, t order by df, word) as k
+  from (select distinct r, word from hits) join (select distinct t, word from posts) using (word) join seen using (word)
+),
+chosen as (select r, t, word from ranked join templates using (t) where k <= need),
+enough as (select r, t from chosen join templates using (t) group by r, t, need having count(*) = need),
+totals as (select r, t, count(*) as total from chosen join posts using (t, word) group by r, t),
+votes as (
+  select r, t, pos - shift as start, count(*) as agree
+  from chosen semi join enough using (r, t) join hits using (r, word) join posts using (t, word) group by r, t, start
+),
+candidates as (select * from votes join totals using (r, t) where agree * 2 >= total),
+said as (
+  select distinct h.r, h.pos, phrase from hits h join rules on h.word = phrase[1] join docs using (r)
+  where w[h.pos + 1:h.pos + len(phrase)] = phrase
+),
+stands as (
+  select r, t, start, any_value(agree) as agree, any_value(total) as total
+  from candidates join rules using (t) join said using (r, phrase)
+  where said.pos between start + shift - slack and start + shift + slack
+  group by r, t, start
+  having count(distinct phrase) = (select count(*) from rules x where x.t = candidates.t)
+),
+verdicts as (
+  select r, count(*) filter (where base) as n_base, min(start) filter (where base) as first_word,
+    max(start) filter (where base) as last_word,
+    string_agg(distinct label, ',' order by label) filter (where base) as base_labels,
+    string_agg(distinct label, ',' order by label) as labels, max(agree / total) as score
+  from stands join templates using (t) group by r
+)
+select doc_id, len(w)::bigint as n_words, coalesce(n_base, 0)::bigint as n_base, first_word::bigint as first_word,
+  last_word::bigint as last_word, coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels,
+  coalesce(score, 0)::double as score
+from docs left join verdicts using (r)
+"""
+
+
 ORACLES = {
     "op1_mix_sources": OP1,
     "op2_decontaminate": OP2,
@@ -211,4 +269,5 @@ ORACLES = {
     "op7_quality_rules": OP7,
     "op9_warc": OP9,
     "op10_chat_windows": OP10,
+    "op11_licence_scan": op11(),
 }

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from caseflow.llm import (
     chat,
     decontaminate,
+    licences,
     mixing,
     pii,
     quality,
@@ -163,6 +164,20 @@ def op10_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = licences.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return scanned.select(
+        "row.doc_id",
+        "n_words",
+        "n_base",
+        "first_word",
+        "last_word",
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -176,6 +191,7 @@ QUERIES = {
         op8_pseudonyms,
         op9_warc,
         op10_chat_windows,
+        op11_licence_scan,
     )
 }
 
