@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseflow.llm import (
+    alignment,
     chat,
     decontaminate,
     licences,
@@ -13,6 +14,7 @@ from caseflow.llm import (
     pii,
     quality,
     simhash,
+    spelling,
     substrings,
     tokens,
     urls,
@@ -178,6 +180,53 @@ def op11_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    done = alignment.align_tokenizers(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path(alignment.VOCABULARY_A),
+        public_tokenizers.path(alignment.VOCABULARY_B),
+        keep=["doc_id"],
+    )
+    return done.select(
+        "row.doc_id",
+        "n_a",
+        "n_b",
+        "n_groups",
+        "n_links",
+        "n_best",
+        "count_sum",
+        "groups_sha256",
+    )
+
+
+def with_slips(runs: DataFrame) -> DataFrame:
+    """The contract's slips of the pen: a letter is lost where 31 divides the hash of id and run."""
+    key = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run"))
+    return (
+        runs.withColumn("h", F.crc32(key.cast("binary")))
+        .withColumn("at", F.pmod("h", F.length("run").cast("long")).cast("int"))
+        .select(
+            F.when(
+                F.col("h") % 31 == 0,
+                F.concat(
+                    F.substr("run", F.lit(1), F.col("at")),
+                    F.substr("run", F.col("at") + 2, F.length("run")),
+                ),
+            )
+            .otherwise(F.col("run"))
+            .alias("word")
+        )
+    )
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A slip only shortens a run, so shorter ones never become words.
+    runs = spelling.runs(table(spark, sf_dir, "documents"), least_letters=spelling.LEAST_LETTERS)
+    return spelling.variants(with_slips(runs))
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -192,6 +241,8 @@ QUERIES = {
         op9_warc,
         op10_chat_windows,
         op11_licence_scan,
+        op12_token_alignment,
+        op13_spelling_variants,
     )
 }
 
