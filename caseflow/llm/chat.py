@@ -1,9 +1,13 @@
 """Chat formatting in budgeted windows of whole turns, with a loss mask over each target once.
 
-Prefix sums of turn tokens cut a conversation into spans of turns: a span holds the turns that
-begin within one stretch of ``budget`` tokens. A window is the conversation's system turn, a
-limited number of turns before the span as history, and the span itself. Only assistant turns of the
-span are targets: in later windows, where they are history, they are masked.
+A window is the conversation's system turn, some turns before its span as history, and the span
+itself, and all of it fits the budget. What the system turn leaves of the budget is the room of a
+window; three quarters of it is a stretch. Prefix sums of turn tokens lay the stretches over the
+conversation: the turns inside one stretch are a span, and a turn that crosses into the next one is
+a span of its own. History takes the turns right before the span, a limited number and as many as
+the room still holds. So a window passes the budget only if its span is a single turn too large for
+the room. Only assistant turns of the span are targets: in later windows, where they are history,
+they are masked.
 
 Prefix sums are taken over slices of a conversation first and then inside a slice, and windows are
 bounded by the budget, so a conversation of any length is spread over tasks. DataFrame functions
@@ -19,6 +23,7 @@ from caseflow.llm.common import settle
 
 BUDGET = 512
 HISTORY = 2
+KEPT_FOR_HISTORY = 4  # one part in so many of a window's room
 OVERHEAD = 4  # tokens of a turn's marks
 SLICE = 64
 
@@ -63,7 +68,7 @@ def _placed(turns: DataFrame) -> DataFrame:
         turns.join(slices, same)
         .withColumn("place", F.col("turns_before") + F.row_number().over(inside) - 1)
         .withColumn("start", F.col("tokens_before") + F.coalesce(F.sum("tokens").over(upto), F.lit(0)))
-        .select("conv", "place", "start", "role", "text")
+        .select("conv", "place", "start", "tokens", "role", "text")
     )
 
 
@@ -79,8 +84,9 @@ def format_chats(
     """One row per window: ``conv_id, window, formatted, n_repeated, loss``.
 
     ``n_repeated`` turns in front are the system turn and history; ``loss`` lists start and end of
-    every target text in code points of ``formatted``. A span's tokens (words and marks) pass the
-    budget by less than its last turn; no turn is ever cut. A null role or text is empty; turns of
+    every target text in code points of ``formatted``. ``window`` numbers grow along a conversation,
+    with gaps. No turn is ever cut: a window's tokens (words and marks) pass the budget only if the
+    span is one turn that does so with the system turn. A null role or text is empty; turns of
     equal number are in the order of role and text; a null number comes last; a null conversation
     is one of its own; repeated rows are repeated turns. An empty table gives no rows.
     """
@@ -95,16 +101,40 @@ def format_chats(
             "slice": F.floor(F.col("turn") / SLICE),
         }
     )
-    placed = settle(
-        _placed(turns).withColumn("window", F.floor(F.col("start") / budget).cast("long")), "turns"
+    whole = settle(_placed(turns), "turns")
+    system = (F.col("place") == 0) & (F.col("role") == "system")
+    leading = whole.filter(system).select(F.col("conv").alias("_conv"), F.col("tokens").alias("_led"))
+    room = F.greatest(F.lit(budget) - F.col("led"), F.lit(1))
+    stretch = F.greatest(room - F.floor(room / KEPT_FOR_HISTORY), F.lit(1))
+    number = F.floor(F.col("at") / F.col("stretch"))
+    crosses = F.floor((F.col("at") + F.col("tokens") - 1) / F.col("stretch")) > number
+    placed = (
+        whole.join(leading, F.col("conv").eqNullSafe(F.col("_conv")), "left")
+        .withColumn("led", F.coalesce("_led", F.lit(0)))
+        .withColumns({"room": room, "stretch": stretch, "at": F.col("start") - F.col("led")})
+        .withColumn(
+            "window",
+            F.when(system, F.lit(0)).otherwise(number * 2 + crosses.cast("int")).cast("long"),
+        )
+        .drop("_conv", "_led", "led", "start", "stretch")
     )
-    windows = placed.groupBy("conv", "window").agg(F.min("place").alias("first"))
-    later = windows.filter("first > 0").select(
-        F.col("conv").alias("_conv"), F.col("window").alias("_window"), "first"
+    placed = settle(placed, "placed")
+    # The system turn lies in the first window; those after it show it again.
+    later = (
+        placed.filter(~system)
+        .groupBy("conv", "window")
+        .agg(
+            F.min("place").alias("first"),
+            F.min("at").alias("from"),
+            (F.max("room") - F.sum("tokens")).alias("left"),
+        )
+        .filter("first > 0 and window > 0")
+        .select(
+            F.col("conv").alias("_conv"), F.col("window").alias("_window"), "first", "from", "left"
+        )
     )
-    system = (F.col("place") == 0) & (F.col("role") == "system")
     back = F.sequence(F.greatest(F.col("first") - history, F.lit(0)), F.col("first") - 1)
-    earlier = later.select("_conv", "_window", F.explode(back).alias("_place")) if history else None
+    earlier = later.withColumn("_place", F.explode(back)) if history else None
     again = F.col("_window").alias("window")
     shown = [
         placed.select("conv", "window", F.lit(2).alias("kind"), "place", "role", "text"),
@@ -114,15 +144,17 @@ def format_chats(
     ]
     if earlier is not None:
         at = F.col("conv").eqNullSafe(F.col("_conv")) & (F.col("place") == F.col("_place"))
+        fits = F.col("from") - F.col("at") <= F.col("left")
         shown.append(
             placed.filter(~system)
             .join(earlier, at)
+            .filter(fits)
             .select("conv", again, F.lit(1).alias("kind"), "place", "role", "text")
         )
     entries = shown[0]
     for more in shown[1:]:
         entries = entries.unionByName(more)
-    # A window is bounded by its budget and one turn.
+    # A window is bounded by its budget, or by its system turn and one turn.
     gathered = entries.groupBy("conv", "window").agg(
         F.array_sort(
             F.collect_list(

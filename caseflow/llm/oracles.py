@@ -138,14 +138,15 @@ with docs as (
   unpivot (select source, count(*) as n, {', '.join(f'count(*) filter (f_{name}) as {name}' for name in quality.RULES)}
     from failed group by source) on {', '.join(quality.RULES)} into name rule value k
 ), prior as (
-  select rule, sum(k) / sum(n) as mean, sum(k * k / n) / sum(n) - (sum(k) / sum(n)) * (sum(k) / sum(n)) as spread
+  select rule, sum(k) / sum(n) as mean, sum(k * k / n) / sum(n) - (sum(k) / sum(n)) * (sum(k) / sum(n)) as spread,
+    count(*) / sum(n) as chance
   from fails group by rule
 ), strong as (
-  select rule, mean, least(greatest(
-    case when spread > 1e-12 then mean * (1 - mean) / spread - 1 else {quality.MOST_STRENGTH} end,
-    {quality.LEAST_STRENGTH}), {quality.MOST_STRENGTH}) as strength from prior
+  select rule, mean, case when chance >= 1 or mean <= 0 or mean >= 1 then 0.0
+    else least(greatest((spread / (mean * (1 - mean)) - chance) / (1 - chance), 0.0), 1.0) end as alike
+  from prior
 ), bad as (
-  select source, bool_or((k + mean * strength) / (n + strength) > {quality.MOST_RATE}) as rejected
+  select source, bool_or((k * alike + mean * (1 - alike)) / (n * alike + 1 - alike) > {quality.MOST_RATE}) as rejected
   from fails join strong using (rule) group by source
 )
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f_short or f_repeated as base_failed,
@@ -174,22 +175,33 @@ with rows as (
   union all select -7, 0, 'user', '</s>[INST] ok [/INST]'
   union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'
 ), placed as (
-  select *, row_number() over o - 1 as place,
-    coalesce(sum(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) + {chat.OVERHEAD})
-      over (o rows between unbounded preceding and 1 preceding), 0) as start,
+  select *, row_number() over o - 1 as place, coalesce(sum(tokens) over (o rows between unbounded preceding and 1 preceding), 0) as start,
     {len(chat.BEGIN + chat.MIDDLE + chat.END)}
       + length(regexp_replace(role, '{chat.CONTROL}', '\1~\2\3', 'g'))
       + length(regexp_replace(text, '{chat.CONTROL}', '\1~\2\3', 'g')) as chars
-  from rows window o as (partition by conv_id order by turn nulls last, role, text)
+  from (select *, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) + {chat.OVERHEAD} as tokens from rows)
+  window o as (partition by conv_id order by turn nulls last, role, text)
+), led as (
+  select conv_id, tokens as led, chars as led_chars from placed where place = 0 and role = 'system'
+), roomy as (
+  select p.*, led is not null as has_system, coalesce(led_chars, 0) as led_chars, start - coalesce(led, 0) as at_,
+    greatest({chat.BUDGET} - coalesce(led, 0), 1) as room
+  from placed p left join led l on p.conv_id is not distinct from l.conv_id
 ), windowed as (
-  select *, start // {chat.BUDGET} as w from placed
-), firsts as (
-  select conv_id, w, min(place) as first from windowed group by conv_id, w
+  select *, case when at_ // stretch < (at_ + tokens - 1) // stretch then 1 else 0 end + 2 * (at_ // stretch) as w
+  from (select *, greatest(room - room // {chat.KEPT_FOR_HISTORY}, 1) as stretch from roomy)
+  where not (has_system and place = 0)
+), spans as (
+  select conv_id, w, min(place) as first, min(at_) as begins, max(room) - sum(tokens) as spare, any_value(led_chars) as led_chars
+  from windowed group by conv_id, w having min(place) > 0 and w > 0
 ), again as (
-  select f.conv_id, sum(p.chars) as chars from firsts f join placed p
-    on f.conv_id is not distinct from p.conv_id and f.first > 0 and p.place < f.first
-    and (p.place = 0 and p.role = 'system' or p.place >= f.first - {chat.HISTORY})
-  group by f.conv_id
+  select conv_id, sum(led_chars + history) as chars from (
+    select s.conv_id, s.led_chars, coalesce(sum(p.chars), 0) as history
+    from spans s left join windowed p
+      on s.conv_id is not distinct from p.conv_id and p.place < s.first and p.place >= s.first - {chat.HISTORY}
+      and s.begins - p.at_ <= s.spare
+    group by s.conv_id, s.w, s.led_chars)
+  group by conv_id
 ), whole as (
   select conv_id, count(*)::bigint as n_turns,
     sha256(string_agg(role || chr(10) || text || chr(10), '' order by place)) as turns_sha256,

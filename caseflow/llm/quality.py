@@ -1,10 +1,13 @@
 """Quality rules: failures of every rule by domain, shrunk by an empirical beta prior.
 
 Each document is measured once. For every rule, a domain's failures out of its documents are
-shrunk towards all domains by a beta prior fitted to the domains' rates by moments, so that a domain
-of few documents is judged by the others' rate and a large one by its own. A domain is rejected if
-a shrunk rate passes the limit; its verdict is joined back to the documents. Counts are
-pre-aggregated, so a hot domain costs one row per task. DataFrame functions only.
+shrunk towards all domains by a beta prior, so that a domain of few documents is judged by the
+others' rate and a large one by its own. The prior is fitted by the moments of the beta-binomial:
+of the spread of the domains' rates, what drawing so few documents per domain explains by itself is
+taken off first, and only the rest speaks for real differences. Where nothing is left (domains of
+one document each, or rates no further apart than chance) all domains share the common rate. A
+domain is rejected if a shrunk rate passes the limit; its verdict is joined back to the documents.
+Counts are pre-aggregated, so a hot domain costs one row per task. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -19,7 +22,6 @@ SYMBOLS = "#*$%&|<>"
 LEAST_WORDS = 50
 MOST_REPEATED = 50  # per cent of the words
 MOST_RATE = 0.5
-LEAST_STRENGTH, MOST_STRENGTH = 1.0, 10_000.0
 
 # What a rule counts against a document. The first two reject it by themselves.
 BASE_RULES = {
@@ -80,6 +82,18 @@ def base_failed() -> Column:
     return F.expr(" or ".join(f"({rule})" for rule in BASE_RULES.values()))
 
 
+def likeness(n: int, domains: int, mean: float, spread: float) -> float:
+    """How alike two documents of one domain are in a rule (0: no more than any two, 1: equal).
+
+    ``spread`` is the variance of the domains' rates, weighted by their ``n`` documents in all. By
+    the moments of the beta-binomial it is ``mean * (1 - mean) * (r + (1 - r) * domains / n)``.
+    """
+    if domains >= n or mean <= 0 or mean >= 1:
+        return 0.0
+    chance = domains / n
+    return min(max((spread / (mean * (1 - mean)) - chance) / (1 - chance), 0.0), 1.0)
+
+
 def domain_verdicts(stats: DataFrame, domain: str, most_rate: float = MOST_RATE) -> DataFrame:
     """``domain`` and ``rejected`` for each domain of the measured documents."""
     fails = [F.sum(F.expr(rule).cast("long")).alias(name) for name, rule in RULES.items()]
@@ -88,15 +102,14 @@ def domain_verdicts(stats: DataFrame, domain: str, most_rate: float = MOST_RATE)
     for name in RULES:
         square = F.col(name) * F.col(name) / F.col("n")
         moments += [F.sum(name).alias(f"{name}_k"), F.sum(square).alias(f"{name}_q")]
-    row = domains.agg(F.sum("n").alias("n"), *moments).first()
+    row = domains.agg(F.sum("n").alias("n"), F.count("*").alias("domains"), *moments).first()
     total = row["n"] or 0
     rejected = F.lit(False)
     for name in RULES if total else ():
         mean = row[f"{name}_k"] / total
-        spread = row[f"{name}_q"] / total - mean * mean
-        strength = mean * (1 - mean) / spread - 1 if spread > 1e-12 else MOST_STRENGTH
-        strength = min(max(strength, LEAST_STRENGTH), MOST_STRENGTH)
-        rate = (F.col(name) + mean * strength) / (F.col("n") + strength)
+        alike = likeness(total, row["domains"], mean, row[f"{name}_q"] / total - mean * mean)
+        # The prior weighs as much as 1 / alike - 1 documents: both sides times alike.
+        rate = (F.col(name) * alike + mean * (1 - alike)) / (F.col("n") * alike + (1 - alike))
         rejected = rejected | (rate > most_rate)
     return domains.select(domain, rejected.alias("rejected"))
 

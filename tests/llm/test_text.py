@@ -6,6 +6,7 @@ import random
 import re
 
 import pyarrow.fs as pafs
+import numpy as np
 import pytest
 from brute import ROLLING, edge_docs, measures, mix_taken, triples, words
 from pyspark.sql import functions as F
@@ -175,6 +176,52 @@ def test_domains_are_shrunk(spark):
     assert not kept & {1_000, 3_001, 4_000}
 
 
+def test_hosts_of_one_document_share_the_common_rate(spark):
+    """One in ten fails a soft rule: with a document each, hosts cannot be told apart."""
+    good = " ".join(f"word{i}" for i in range(80))
+    odd = good + " #####" * 10
+    rows = [(i, good if i % 10 else odd, f"host{i}") for i in range(1_000)]
+    rows += [(2_000 + i, good if i % 10 else odd, f"pair{i // 2}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert quality.keep_good(docs).count() == 1_400
+    assert quality.keep_good(docs.filter("doc_id < 1000")).count() == 1_000
+    # Large hosts are still known by their own rate, among many small ones, and no document without
+    # a failure goes because its host is small.
+    more = [(5_000 + i, odd if i % 8 else good, "bad") for i in range(300)]
+    more += [(6_000 + i, good if i % 8 else odd, "fine") for i in range(300)]
+    both = docs.unionByName(spark.createDataFrame(more, docs.schema))
+    kept = {r.doc_id for r in quality.keep_good(both).collect()}
+    assert not any(5_000 <= i < 6_000 for i in kept)
+    assert {6_000 + i for i in range(300)} <= kept
+    assert {r.doc_id for r in docs.filter(~F.col("text").contains("#")).collect()} <= kept
+
+
+@pytest.mark.parametrize(
+    ("n", "domains", "mean", "spread", "alike"),
+    [
+        (1_000, 1_000, 0.1, 0.09, 0.0),  # a document each
+        (1_000, 10, 0.1, 0.09, 1.0),  # domains wholly of one kind
+        (1_000, 10, 0.1, 0.0009, 0.0),  # no more than chance
+        (1_000, 10, 0.0, 0.0, 0.0),
+        (1_000, 10, 1.0, 0.0, 0.0),
+        (1_000, 500, 0.5, 0.5 * 0.25 + 0.5 * 0.25 * 0.2, 0.2),
+        (1, 1, 0.5, 0.0, 0.0),
+    ],
+)
+def test_likeness_of_a_domain(n, domains, mean, spread, alike):
+    assert quality.likeness(n, domains, mean, spread) == pytest.approx(alike, abs=1e-9)
+
+
+def test_domain_rates_are_recovered():
+    """Rates drawn from a known beta: the fit finds its likeness, whatever the domains' size."""
+    rng = np.random.default_rng(4)
+    for a, b, size in [(1, 9, 2), (1, 9, 30), (20, 20, 5)]:
+        rates = rng.beta(a, b, 40_000)
+        fails = rng.binomial(size, rates) / size
+        found = quality.likeness(40_000 * size, 40_000, fails.mean(), fails.var())
+        assert found == pytest.approx(1 / (a + b + 1), abs=0.01)
+
+
 # --- pseudonyms ------------------------------------------------------------------------------
 
 VALUES = [
@@ -395,9 +442,9 @@ def chat_rows(spark):
     return spark.createDataFrame(clash, "conv_id long, turn long, role string, text string, window int, place string")
 
 
-def test_chats_are_read_back(spark):
+@pytest.mark.parametrize("budget", [512, 40, 1])
+def test_chats_are_read_back(spark, budget):
     rows = chat_rows(spark)
-    budget = 512
     windows = chat.format_chats(rows, budget=budget).withColumns(
         {
             "turns": chat.read_turns(F.col("formatted"), F.col("n_repeated")),
@@ -416,18 +463,24 @@ def test_chats_are_read_back(spark):
         mine = found[conv]
         assert [(t.role, t.text) for w in mine for t in w.turns] == turns
         assert [t for w in mine for t in w.targets] == [t for role, t in turns if role == "assistant"]
+        size = lambda t: len(words(t[1])) + chat.OVERHEAD
+        led = size(turns[0]) if turns[0][0] == "system" else 0
         at = 0
         for w in mine:
             everything = spark_free_turns(w.formatted)
-            new = len(w.turns)
-            shown = turns[:1] * (at > 0 and turns[0][0] == "system")
-            back = turns[max(at - chat.HISTORY, 0) : at]
-            if shown and at <= chat.HISTORY:
-                back = back[1:]
-            assert everything == shown + back + turns[at : at + new]
-            at += new
-            sizes = [len(words(t.text)) + chat.OVERHEAD for t in w.turns]
-            assert sum(sizes[:-1]) <= budget or len(sizes) == 1
+            span = turns[at : at + len(w.turns)]
+            shown = turns[:1] * (at > 0 and led > 0)
+            left = max(budget - led, 1) - sum(map(size, span))
+            back = []
+            for t in reversed(turns[max(at - chat.HISTORY, led > 0) : at]):
+                if sum(map(size, [*back, t])) > left:
+                    break
+                back.insert(0, t)
+            assert everything == shown + back + span
+            at += len(w.turns)
+            # The whole window: system turn, history and span.
+            fits = sum(map(size, everything)) <= budget
+            assert fits or len(span) == 1 and not back and size(span[0]) + led > budget
     assert chat.format_chats(rows.limit(0)).collect() == []
 
 
