@@ -5,8 +5,9 @@ moves the counts by two at most in Manhattan distance, and by one if the length
 searched per length pair (L, L) and (L, L + 1) in a K-d tree over all words: its upper part, fitted
 to a bounded sample of them, deals the words to cells; a word visits every cell whose box its search
 can reach. Within a cell the tree goes on down to small leaves, with boxes drawn tight around their
-points; what is left is verified letter by letter. No pairs are written: a cell gives every word the
-number of its near words there and the best of them.
+points; what is left is verified letter by letter. A pair is met once: words of one length search
+from their own cell on, by number, and the longer word does not search. No pairs are written: a cell
+gives every word the number of its near words there and the best of them.
 
 A cell that holds more words or visitors than fit one task is worked on as a grid of blocks, every
 part of its words against every part of its visitors.
@@ -35,9 +36,12 @@ HASH_SHARES = 1 << 20
 LEAST_SAMPLE = 16  # words of the sample in a cell
 CELL_WORDS = 1 << 12
 BLOCK_ROWS = 1 << 15  # words or visitors of a cell that one task takes
-LEAF = 32
-AT_ONCE = 1 << 11
-OWN, SAME, LONGER = 1, 2, 4  # why a word is in a cell: it lies there, it searches there
+LEAF = 128
+AT_ONCE = 1 << 12
+LEVELS = 8  # of a letter's count
+LONGEST = 1 << 14
+SIDE_BY_SIDE = 64  # longer words are compared one by one
+OWN, SAME, LONGER, HOME = 1, 2, 4, 8  # why a word is in a cell: it lies or searches there, or both
 
 
 def runs(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", least_letters: int = 1) -> DataFrame:
@@ -54,15 +58,25 @@ def runs(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", least_lett
 
 
 def points(words: list[str]) -> np.ndarray:
-    """Length and letter counts; letters beyond a-z share 64 counts, which keeps distances low."""
+    """Length and letter counts; letters beyond a-z share 64 counts, and a count ends at ``LEVELS``.
+
+    Both only bring points nearer, so no near word is missed; letters are compared in the end.
+    """
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     codes = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.int64)
     letter = np.where((codes >= 97) & (codes <= 122), codes - 96, 27 + codes % 64)
     row = np.repeat(np.arange(len(words)), sizes)
     counts = np.bincount(row * 91 + letter, minlength=len(words) * 91).reshape(len(words), 91)
-    counts[:, 0] = sizes
-    largest = int(sizes.max(initial=0))
-    return counts.astype(np.int8 if largest < 64 else np.int16 if largest < 1 << 14 else np.int64)
+    np.minimum(counts, LEVELS, out=counts)
+    counts[:, 0] = np.minimum(sizes, LONGEST)
+    return counts.astype(np.int16)
+
+
+def one_longer(v: np.ndarray) -> np.ndarray:
+    """The points of words of the same letters and one more place."""
+    longer = v.copy()
+    longer[:, 0] = np.minimum(longer[:, 0] + 1, LONGEST)
+    return longer
 
 
 def _axis(v: np.ndarray) -> tuple[int, int] | None:
@@ -140,7 +154,7 @@ class Tree(NamedTuple):
 
 
 def one_edit(x: str, y: str) -> bool:
-    """Whether one inserted or replaced letter makes ``y`` of ``x``, which is not the longer one."""
+    """Whether one inserted or replaced letter makes ``y`` of ``x``."""
     at = 0
     for a, b in zip(x, y, strict=False):
         if a != b:
@@ -148,7 +162,45 @@ def one_edit(x: str, y: str) -> bool:
         at += 1
     if len(x) == len(y):
         return at < len(x) and x[at + 1 :] == y[at + 1 :]
-    return x[at:] == y[at + 1 :]
+    return len(x) + 1 == len(y) and x[at:] == y[at + 1 :]
+
+
+class Letters:
+    """The letters of the words side by side, for comparing many pairs at once."""
+
+    def __init__(self, words: list[str]):
+        self.words = words
+        self.sizes = np.fromiter(map(len, words), np.int64, len(words))
+        short = [w if len(w) <= SIDE_BY_SIDE else "" for w in words]
+        width = max(map(len, short), default=0) + 2
+        self.codes = np.array(short, f"<U{width}").view("<u4").reshape(len(words), width)
+
+    def one_edit(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Of pairs of words: whether one inserted or replaced letter makes the second."""
+        more = self.sizes[y] - self.sizes[x]
+        out = np.zeros(len(x), bool)
+        long = self.sizes[y] > SIDE_BY_SIDE
+        for i in np.flatnonzero(long & ((more == 0) | (more == 1))):
+            out[i] = one_edit(self.words[x[i]], self.words[y[i]])
+        same, longer = np.flatnonzero(~long & (more == 0)), np.flatnonzero(~long & (more == 1))
+        out[same] = (self.codes[x[same]] != self.codes[y[same]]).sum(axis=1) == 1
+        a, b = self.codes[x[longer]], self.codes[y[longer]]
+        # Equal up to some place, and from there on equal one place further.
+        upto = (a != b).argmax(axis=1)
+        beyond = a[:, :-1] != b[:, 1:]
+        last = beyond.shape[1] - 1 - beyond[:, ::-1].argmax(axis=1)
+        out[longer] = ~beyond.any(axis=1) | (last < upto)
+        return out
+
+
+def _in_bits(v: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """Counts as bits, one for each of a letter's levels: distances become numbers of unequal bits."""
+    bits = np.concatenate([v[:, i : i + 1] > np.arange(n) for i, n in enumerate(levels)], axis=1)
+    packed = np.packbits(bits, axis=1)
+    room = -(-max(packed.shape[1], 1) // 8) * 8
+    out = np.zeros((len(v), room), np.uint8)
+    out[:, : packed.shape[1]] = packed
+    return out.view(np.uint64)
 
 
 def range_search(
@@ -159,13 +211,21 @@ def range_search(
     The K-d tree over the words is grown where queries go: a node whose box no query reaches is
     never split.
     """
-    todo = [(np.arange(len(words)), np.arange(len(asked)))]
+    # Letters that no word has are as far from all of them.
+    used = np.flatnonzero(words.max(axis=0) > 0)
+    foreign = asked[:, words.max(axis=0) == 0].sum(axis=1)
+    words, asked, radius = words[:, used], asked[:, used], radius - foreign
+    levels = np.maximum(words[:, 1:].max(axis=0), asked[:, 1:].max(axis=0))
+    bits, asked_bits = _in_bits(words[:, 1:], levels), _in_bits(asked[:, 1:], levels)
+    todo = [(np.arange(len(words)), np.flatnonzero(radius >= 0))]
     while todo:
         mine, who = todo.pop()
         box = words[mine]
+        low, high = box.min(axis=0), box.max(axis=0)
         near = []
         for part in np.array_split(who, len(who) // AT_ONCE + 1):
-            gap = np.maximum(np.maximum(box.min(axis=0) - asked[part], asked[part] - box.max(axis=0)), 0)
+            some = asked[part]
+            gap = np.maximum(np.maximum(low - some, some - high), 0)
             near.append(part[(gap[:, 0] == 0) & (gap[:, 1:].sum(axis=1) <= radius[part])])
         who = np.concatenate(near)
         if not len(who):
@@ -178,8 +238,10 @@ def range_search(
             continue
         for some in np.array_split(mine, (len(mine) - 1) // LEAF + 1):
             for part in np.array_split(who, len(who) // AT_ONCE + 1):
-                gap = np.abs(asked[part][:, None, :] - words[some][None, :, :])
-                hit = (gap[:, :, 0] == 0) & (gap[:, :, 1:].sum(axis=2) <= radius[part][:, None])
+                far = np.zeros((len(part), len(some)), np.uint16)
+                for own, other in zip(asked_bits[part].T, bits[some].T, strict=True):
+                    far += np.bitwise_count(own[:, None] ^ other[None, :])
+                hit = (far <= radius[part, None]) & (asked[part, :1] == words[some, 0])
                 q, w = np.nonzero(hit)
                 yield part[q], some[w]
 
@@ -196,34 +258,41 @@ FOUND = T.StructType(
 
 def search_block(block: pa.Table) -> pa.Table:
     """The near words that one block of a cell knows: per word their number and the best."""
-    words, counts = block["word"].to_pylist(), block["n"].to_pylist()
+    words, counts = block["word"].to_pylist(), block["n"].to_numpy()
     why = block["why"].to_numpy()
-    v = points(words)
+    v, letters = points(words), Letters(words)
     own, same, longer = (np.flatnonzero(why & bit) for bit in (OWN, SAME, LONGER))
-    asked = np.concatenate((v[same], v[longer]))
-    asked[len(same) :, 0] += 1
-    radius = np.repeat([2, 1], [len(same), len(longer)])
-    who = np.concatenate((same, longer))
-    near: dict[str, int] = {}
-    best: dict[str, tuple[int, str]] = {}
-
-    def add(word: str, other: int) -> None:
-        near[word] = near.get(word, 0) + 1
-        best[word] = min(best.get(word, (1, "")), (-counts[other], words[other]))
-
-    for q, w in range_search(v[own], asked, radius) if len(own) and len(who) else ():
-        for i, x, y in zip(q.tolist(), who[q].tolist(), own[w].tolist(), strict=True):
-            if one_edit(words[x], words[y]):
-                add(words[x], y)
-                if i >= len(same):  # the longer word does not search among shorter ones
-                    add(words[y], x)
-    names = list(near)
+    near = np.zeros(len(words), np.int64)
+    # The words by how good a form they make: of the larger count, of the smaller letters.
+    order = sorted(range(len(words)), key=lambda i: (-counts[i], words[i]))
+    rank = np.empty(len(words), np.int64)
+    rank[order] = np.arange(len(words))
+    best = np.full(len(words), len(words))
+
+    def add(of: np.ndarray, others: np.ndarray) -> None:
+        np.add.at(near, of, 1)
+        np.minimum.at(best, of, rank[others])
+
+    if len(own) and len(same) + len(longer):
+        asked = np.concatenate((v[same], one_longer(v[longer])))
+        who = np.concatenate((same, longer))
+        radius = np.repeat([2, 1], [len(same), len(longer)])
+        for q, w in range_search(v[own], asked, radius):
+            x, y = who[q], own[w]
+            longer_pair = q >= len(same)
+            once = longer_pair | (why[x] & HOME == 0) | (rank[x] < rank[y])
+            hit = np.flatnonzero(once & (letters.sizes[y] - letters.sizes[x] == longer_pair))
+            hit = hit[letters.one_edit(x[hit], y[hit])]
+            add(x[hit], y[hit])
+            add(y[hit], x[hit])
+    found = np.flatnonzero(near)
+    first = np.array(order, np.int64)[best[found]]
     return pa.table(
         [
-            pa.array(names, pa.string()),
-            pa.array([near[w] for w in names], pa.int64()),
-            pa.array([-best[w][0] for w in names], pa.int64()),
-            pa.array([best[w][1] for w in names], pa.string()),
+            pa.array([words[i] for i in found], pa.string()),
+            pa.array(near[found]),
+            pa.array(counts[first].astype(np.int64)),
+            pa.array([words[i] for i in first], pa.string()),
         ],
         names=FOUND.names,
     )
@@ -242,14 +311,17 @@ def _sorted_to_cells(words: DataFrame, tree: Tree) -> DataFrame:
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             v = points(batch.column("word").to_pylist())
-            longer = v.copy()
-            longer[:, 0] += 1
+            own_rows, own = tree.reach(v, 0)
+            home = np.empty(len(v), np.int64)
+            home[own_rows] = own
+            same_rows, same = tree.reach(v, 2)
+            onward = same >= home[same_rows]
             found = [
                 (rows * (1 << 32) + cells, np.full(len(rows), bit))
                 for bit, (rows, cells) in (
-                    (OWN, tree.reach(v, 0)),
-                    (SAME, tree.reach(v, 2)),
-                    (LONGER, tree.reach(longer, 1)),
+                    (OWN | HOME, (own_rows, own)),
+                    (SAME, (same_rows[onward], same[onward])),
+                    (LONGER, tree.reach(one_longer(v), 1)),
                 )
             ]
             keys, at = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
@@ -280,14 +352,14 @@ def near_words(words: DataFrame, cell_words: int = CELL_WORDS, block_rows: int =
     own = F.col("why").bitwiseAND(F.lit(OWN))
     parts = lambda some: F.greatest(F.ceil(F.count_if(some) / block_rows), F.lit(1)).cast("int")
     grid = dealt.groupBy("cell").agg(
-        parts(own > 0).alias("across"), parts(F.col("why") > OWN).alias("down")
+        parts(own > 0).alias("across"), parts(F.col("why").bitwiseAND(F.lit(SAME | LONGER)) > 0).alias("down")
     )
     blocks = (
         dealt.join(F.broadcast(grid), "cell")
         .withColumns(
             {
                 "own": own,
-                "asks": F.col("why").bitwiseAND(F.lit(SAME | LONGER)),
+                "asks": F.col("why").bitwiseAND(F.lit(SAME | LONGER | HOME)),
                 "col": F.pmod(F.xxhash64("word"), F.col("across").cast("long")).cast("int"),
                 "row": F.pmod(F.xxhash64("word"), F.col("down").cast("long")).cast("int"),
             }

@@ -153,3 +153,21 @@ def test_boxes_lose_no_neighbour():
             same = len(words[x]) == len(words[y])
             if same and np.abs(v[x, 1:].astype(int) - v[y, 1:]).sum() <= 2:
                 assert (x, cell[y]) in visits
+
+
+def test_points_of_long_words_stay_near():
+    words = ["a" * n for n in (1, 7, 8, 9, 64, 65, 66, 16_383, 16_384, 16_385, 40_000)]
+    v = spelling.points(words)
+    longer = spelling.one_longer(v)
+    for x, y in zip(range(len(words)), range(1, len(words)), strict=False):
+        if len(words[y]) - len(words[x]) == 1:
+            assert longer[x, 0] == v[y, 0] and np.abs(v[x, 1:] - v[y, 1:]).sum() <= 1
+
+
+def test_letters_are_compared_like_one_by_one():
+    random = np.random.default_rng(9)
+    words = ["".join(random.choice(list("abé"), random.integers(1, 7))) for _ in range(300)] + ["a" * 70, "a" * 71]
+    letters = spelling.Letters(words)
+    x, y = (a.ravel() for a in np.meshgrid(np.arange(len(words)), np.arange(len(words))))
+    found = letters.one_edit(x, y)
+    assert found.tolist() == [spelling.one_edit(words[i], words[j]) for i, j in zip(x, y, strict=True)]
