@@ -56,6 +56,47 @@ def a2(spark, sf_dir):
     return landed(spark, sf_dir).select(*SHOWN)
 
 
+ODD_LINES = {
+    0: ("", ',"x":{"a":1,"a":2}}'),
+    1: ("", ',"due_date":{"a":[{"b":1,"b":1}]}}'),
+    2: ("", "} trailing"),
+    3: ("", '},{"unique_key":"1"}'),
+    4: ("", ',"unique_key":"2"}'),
+    5: ("", ""),
+    6: ("[", "}]"),
+    7: ("  ", ',"descriptor":"{\\"a\\"}[1"} '),
+    8: ("", ',"odd":[{"n":1.5},{"n":null}]}'),
+}
+
+
+def a2_odd(spark, sf_dir):
+    """Lines with repeated names, with more or less than one object: each is landed or set aside."""
+    kind = F.col("event_id") % 11
+    body, value = F.expr("substring(value, 1, length(value) - 1)"), F.col("value")
+    for n, (front, back) in ODD_LINES.items():
+        value = F.when(kind == n, F.concat(F.lit(front), body, F.lit(back))).otherwise(value)
+    lines = t.event_lines(spark, sf_dir).select("event_id", value.alias("value"))
+    read = zone.read_lines(lines, keep=["event_id"])
+    good = F.when(~F.col("_broken"), F.col("_r.unique_key"))
+    return read.select(
+        "event_id",
+        F.col("_broken").alias("broken"),
+        good.alias("unique_key"),
+        F.when(~F.col("_broken"), F.col("_r.descriptor")).alias("descriptor"),
+        F.when(kind == 8, F.col("_extra")).alias("_extra"),
+    )
+
+
+A2_ODD_SQL = from_landed(
+    """select event_id, event_id % 11 < 7 as broken, case when event_id % 11 >= 7 then unique_key end
+        as unique_key,
+    case when event_id % 11 = 7 then '{"a"}[1' end as descriptor,
+    case when event_id % 11 = 8
+        then coalesce(left(_extra, -1) || ',', '{') || '"odd":[{"n":1.5},{"n":null}]}' end as _extra
+    from landed"""
+)
+
+
 def a3(spark, sf_dir):
     return landed(spark, sf_dir).select("sys_id", "_extra")
 
@@ -276,6 +317,7 @@ QUERIES = {
         ),
     ),
     "a2_normalise": (a2, from_landed(f"select {SHOWN_SQL} from landed")),
+    "a2_odd_lines": (a2_odd, A2_ODD_SQL),
     "a3_capture_drift": (a3, from_landed("select sys_id, _extra from landed")),
     "a4_unexpected_keys": (
         a4,

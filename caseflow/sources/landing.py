@@ -37,59 +37,96 @@ def read_landing(spark: SparkSession, root: str, merge_schema: bool = False) ->
         raise
 
 
-def drift_json(line: Column, known: list[str]) -> Column:
-    """JSON object of the members whose key is not known, value types kept; null when none."""
-    members = F.from_json(line, "map<string,variant>", {"mode": "FAILFAST"})
-    unknown = F.map_filter(members, lambda key, _: ~key.isin(known))
-    return F.nullif(F.to_json(unknown), F.lit("{}"))
+# Options beyond the default also keep Catalyst from splitting a parse into one per column.
+STRICT_JSON = {
+    "mode": "PERMISSIVE",
+    "allowSingleQuotes": "false",
+    "allowNonNumericNumbers": "false",
+}
+END = "end of line"
 
 
-def parse_records(
+def _whole_record(line: Column, schema: T.StructType) -> Column:
+    """The members of the one JSON object that a line is, as text; null if it is anything else.
+
+    The parser stops where a value ends, so the line is put into an array in front of a mark of its
+    own: only if the array has just these two has the line been read to its end.
+    """
+    mark = F.xxhash64(line).cast("string")
+    text = F.concat(F.lit("["), line, F.lit(f',{{"{END}":"'), mark, F.lit('"}]'))
+    closed = T.ArrayType(T.StructType([*schema.fields, T.StructField(END, T.StringType())]))
+    return F.transform(
+        F.array(F.from_json(text, closed, STRICT_JSON)),
+        lambda found: F.when(
+            (F.size(found) == 2) & (F.get(found, F.lit(1))[END] == mark), F.get(found, F.lit(0))
+        ),
+    )[0]
+
+
+def read_lines(
     lines: DataFrame,
     line: str = "value",
     schema: T.StructType = RECORD_SCHEMA,
     keep: list[str] | None = None,
 ) -> DataFrame:
-    """JSON object lines to text columns plus ``_extra``; absent keys become null.
+    """Every line with its record ``_r``, its drift ``_extra`` and whether it is ``_broken``.
 
-    Nested values stay JSON text. A broken line fails the job instead of landing as nulls, so the
-    run is logged as failed and its window is fetched again. ``keep`` carries columns through.
+    A line is broken if it is not one JSON object and nothing else (null is not), or if an object
+    in it has two members of one name, of which only one could be kept. Nothing makes the job fail.
+    Lines are parsed once; those with undeclared members or nested values once more, with types.
     """
-    # The non-default mode also keeps Catalyst from splitting the parse into one per column.
-    record = F.from_json(F.col(line), schema, {"mode": "FAILFAST"})
     known = schema.fieldNames()
-    parsed = lines.select(
-        *(keep or []), record.alias("_r"), drift_json(F.col(line), known).alias("_extra")
+    c = F.col(line)
+    read = lines.select(
+        *(keep or []), c, _whole_record(c, schema).alias("_r"), F.json_object_keys(c).alias("_keys")
     )
-    renamed = {f: landed_name(f) for f in known if landed_name(f) != f}
-    return parsed.select(*(keep or []), "_r.*", "_extra").withColumnsRenamed(renamed)
+    undeclared = F.exists("_keys", lambda k: ~k.isin(known))
+    rest = F.substr(c, F.lit(2))
+    nested = F.contains(rest, F.lit("{")) | F.contains(rest, F.lit("["))
+    typed = F.when(undeclared | nested, F.from_json(c, "map<string,variant>", STRICT_JSON))
+    read = read.withColumns({"_typed": typed, "_asked": undeclared | nested})
+    twice = F.size(F.array_distinct("_keys")) < F.size("_keys")
+    lost = F.col("_asked") & F.col("_typed").isNull()
+    whole = F.col("_r").isNotNull() & F.col("_keys").isNotNull()
+    broken = ~F.coalesce(whole & ~twice & ~lost, F.lit(False))
+    drift = F.map_filter("_typed", lambda k, _: ~k.isin(known))
+    extra = F.nullif(F.to_json(drift), F.lit("{}"))
+    return read.withColumns({"_broken": broken, "_extra": extra}).drop("_keys", "_typed", "_asked")
 
 
-def _tolerant(lines: DataFrame, line: str) -> DataFrame:
-    """The line, its record ``_r`` and whether it is ``_broken``: text that is no JSON object."""
-    schema = T.StructType([*RECORD_SCHEMA.fields, T.StructField("_text", T.StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_text"}
-    parsed = lines.select(line, F.from_json(F.col(line), schema, options).alias("_r"))
-    empty = F.col("_r").isNull() & F.col(line).isNotNull()
-    return parsed.withColumn("_broken", F.col("_r._text").isNotNull() | empty)
+def _fields(schema: T.StructType) -> list[Column]:
+    names = schema.fieldNames()
+    return [F.col("_r").getField(f).alias(landed_name(f)) for f in names] + [F.col("_extra")]
+
+
+def parse_records(
+    lines: DataFrame,
+    line: str = "value",
+    schema: T.StructType = RECORD_SCHEMA,
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """JSON object lines to text columns plus ``_extra``; absent keys become null.
+
+    Nested values stay JSON text. For trusted lines: a broken one fails the job instead of landing
+    as nulls. ``keep`` carries columns through.
+    """
+    read = read_lines(lines, line, schema, keep)
+    message = F.concat(F.lit("malformed record: "), F.col(line))
+    checked = read.withColumn("_r", F.when(F.col("_broken"), F.raise_error(message)).otherwise(F.col("_r")))
+    return checked.select(*(keep or []), *_fields(schema))
 
 
 def split_records(lines: DataFrame, line: str = "value") -> tuple[DataFrame, Observation]:
     """Like ``parse_records``, but broken lines are left out and counted: the observation gives
     their number as ``broken`` once the frame has been written."""
     seen = Observation()
-    counted = _tolerant(lines, line).observe(seen, F.count_if("_broken").alias("broken"))
-    known = RECORD_SCHEMA.fieldNames()
-    records = counted.filter(~F.col("_broken")).select(
-        *[F.col("_r").getField(f).alias(landed_name(f)) for f in known],
-        drift_json(F.col(line), known).alias("_extra"),
-    )
-    return records, seen
+    counted = read_lines(lines, line).observe(seen, F.count_if("_broken").alias("broken"))
+    return counted.filter(~F.col("_broken")).select(*_fields(RECORD_SCHEMA)), seen
 
 
 def broken_lines(lines: DataFrame, line: str = "value") -> DataFrame:
     """The lines that ``split_records`` leaves out."""
-    return _tolerant(lines, line).filter("_broken").select(line)
+    return read_lines(lines, line).filter("_broken").select(line)
 
 
 def stamp(

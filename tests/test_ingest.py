@@ -84,6 +84,23 @@ def test_broken_lines_go_to_quarantine(spark, wh):
     assert checks.none_quarantined(wh.quarantined(), wh.runs.runs()).first()["status"] == "PASS"
 
 
+def test_odd_lines_do_not_stop_runs(spark, wh):
+    odd = [
+        '{"unique_key":"1","x":{"a":1,"a":2}}',
+        '{"unique_key":"1","location":{"a":1,"a":2}}',
+        '{"unique_key":"1"} trailing',
+        '{"unique_key":"1","unique_key":"2"}',
+    ]
+    feed = lines(spark, [record(1, "2026-09-02T00:00:00.000Z", novel={"a": 1})])
+    feed = feed.unionByName(spark.createDataFrame([(line,) for line in odd], "value string"))
+    assert ingest(wh, lambda lower, upper: feed, start=START, dry_run=True, **at(0)).rows == 1
+    result = ingest(wh, lambda lower, upper: feed, start=START, **at(0))
+    assert (result.rows, result.broken, result.unexpected_keys) == (1, 4, ["novel"])
+    assert sorted(r.value for r in wh.quarantined().collect()) == sorted(odd)
+    assert wh.runs.runs().first()["status"] == "succeeded"
+    assert read_watermark(wh.raw(), wh.runs.runs()) == result.window[1]
+
+
 def test_a_broken_export_is_refused(spark, wh, tmp_path):
     ingest(wh, ten(spark), start=START, **at(0))
     before = wh.runs.runs().collect()

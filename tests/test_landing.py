@@ -8,6 +8,8 @@ from caseflow.operators.paging import assign_pages, in_range_order, keyset_page
 from caseflow.schema import LANDING_SCHEMA, RAW_COLUMNS
 from caseflow.sources.landing import (
     normalise,
+    read_lines,
+    split_records,
     read_landing,
     unexpected_key_list,
     window_count,
@@ -54,6 +56,50 @@ def test_a_broken_record_fails_the_job(spark):
         normalise(broken, "run", "batch", STAMP).collect()
 
 
+ODD = {
+    '{"unique_key":"1","x":{"a":1,"a":2}}': True,
+    '{"unique_key":"1","location":{"a":1,"a":2}}': True,
+    '{"unique_key":"1","unique_key":"2"}': True,
+    '{"unique_key":"1"} trailing': True,
+    '{"unique_key":"1"} {"unique_key":"2"}': True,
+    '{"unique_key":"1"},{"unique_key":"2"}': True,
+    '{"unique_key":"1"}]': True,
+    '{"unique_key":"1"}],[{"unique_key":"1"}': True,
+    '{"unique_key":"1"},"x":{"b":2}': True,
+    '{"unique_key":"1"},{"end of line":"1"}] junk': True,
+    '{"unique_key":"1"': True,
+    '{"unique_key":"1","x":{"a":': True,
+    "{'unique_key':'1'}": True,
+    '{"latitude":NaN}': True,
+    "null": True,
+    "[]": True,
+    "": True,
+    None: True,
+    "{}": False,
+    ' {"unique_key":"1"}\r\n': False,
+    '{"unique_key":"{[","x":"}]"}': False,
+    '{"unique_key":1.5,"x":{"y":[1,{"z":null}]}}': False,
+    '{"end of line":"x"}': False,
+}
+
+
+def test_odd_lines_never_fail(spark):
+    df = spark.createDataFrame([(line,) for line in ODD], "value string")
+    rows = read_lines(df).collect()
+    assert {r["value"]: r["_broken"] for r in rows} == ODD
+    read = {r["value"]: (r["_r"]["unique_key"], r["_extra"]) for r in rows if not r["_broken"]}
+    assert read['{"unique_key":"{[","x":"}]"}'] == ("{[", '{"x":"}]"}')
+    assert read['{"unique_key":1.5,"x":{"y":[1,{"z":null}]}}'] == ("1.5", '{"x":{"y":[1,{"z":null}]}}')
+    assert read['{"end of line":"x"}'] == (None, '{"end of line":"x"}')
+
+
+def test_a_line_is_parsed_once(spark):
+    df = spark.createDataFrame([("{}",)], "value string")
+    records, _ = split_records(df)
+    plan = records._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 2  # the record, and the members with their types if asked for
+
+
 def test_landing_is_append_only_and_typed(spark, tmp_path):
     root = str(tmp_path / "raw")
     assert read_landing(spark, root).isEmpty()
