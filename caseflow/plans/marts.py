@@ -47,6 +47,11 @@ def mart_daily_volume(
             count_where(F.col("has_geo")).alias("n_with_geo"),
         )
     )
+    return volume_of_counts(counts, complaint_types, calendar)
+
+
+def volume_of_counts(counts: DataFrame, complaint_types: DataFrame, calendar: DataFrame) -> DataFrame:
+    """The mart from requests counted per day, borough, complaint key and agency."""
     families = complaint_types.select("complaint_type_key", "complaint_family")
     days = calendar.select(F.col("date_day").alias("created_date"), "year_month", "is_weekend")
     joined = counts.join(families, "complaint_type_key").join(days, "created_date", "left")
@@ -103,15 +108,24 @@ def mart_open_backlog(fact: DataFrame, as_of) -> DataFrame:
             "status",
             age_bucket("open_age_days").alias("age_bucket"),
         )
-        .agg(
-            F.count("*").alias("n_open"),
-            round1(F.avg("open_age_days")).alias("avg_age_days"),
-            F.max("open_age_days").alias("max_age_days"),
-        )
+        .agg(*backlog_measures(F.lit(1)))
         .withColumn("as_of", as_ntz(as_of))
     )
 
 
+def backlog_measures(n: Column) -> list[Column]:
+    """Aggregates over rows that stand for ``n`` open requests each. Ages are whole minutes, so their
+    sum does not depend on the task order."""
+    age = F.col("open_age_days")
+    minutes = F.sum(F.round(age * (24 * 60)).cast("long") * n)
+    aged = F.sum(F.when(age.isNotNull(), n))
+    return [
+        F.sum(n).cast("long").alias("n_open"),
+        round1(minutes / (F.lit(24 * 60.0) * aged)).alias("avg_age_days"),
+        F.max(age).alias("max_age_days"),
+    ]
+
+
 def mart_pipeline_health(fact: DataFrame, runs: DataFrame, as_of) -> DataFrame:
     """One row for the banner; none while no run has succeeded."""
     facts = fact.agg(

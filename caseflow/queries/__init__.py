@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caseflow.queries import incremental, landing, model, quality, reports, scalars
+from caseflow.queries import incremental, landing, mergeable, model, quality, reports, scalars
 
 Query = Callable[[SparkSession, str], DataFrame]
-GROUPS = [landing, scalars, incremental, model, reports, quality]
+GROUPS = [landing, scalars, incremental, model, mergeable, reports, quality]
 
 
 def all_queries() -> dict[str, Query]:
