@@ -1,4 +1,4 @@
-"""Where the tables live: immutable parts listed by the newest build mark."""
+"""Where the tables live: immutable folders, and for every table the one that its newest build wrote."""
 
 from __future__ import annotations
 
@@ -7,22 +7,20 @@ import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from datetime import UTC, datetime
-from functools import reduce
 from threading import RLock
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caseflow.operators.incremental import merge_latest, on_keys, touched, unseen
+from caseflow.operators.incremental import INGESTED, first_by, latest_per_key
 from caseflow.schema import Settings
 from caseflow.session import literal_rows
 from caseflow.sources.landing import NO_FILES, read_landing
 from caseflow.sources.runlog import RunLog
 
-BUCKET, SEQ = "_bucket", "_seq"
-KEY = "unique_key"
+KEY, KEYED = "unique_key", "_key"
 BUILD_SCHEMA = T.StructType(
     [
         T.StructField("table", T.StringType(), False),
@@ -30,11 +28,11 @@ BUILD_SCHEMA = T.StructType(
         T.StructField("through", T.StringType()),
         T.StructField("buckets", T.IntegerType()),
         T.StructField("schema_json", T.StringType()),
-        T.StructField("parts_json", T.StringType()),
+        T.StructField("path", T.StringType()),
         T.StructField("built_at", T.TimestampNTZType()),
     ]
 )
-MARK_FIELDS = ["build_no", "through", "buckets", "schema_json", "parts_json"]
+MARK_FIELDS = ["build_no", "through", "buckets", "schema_json", "path"]
 
 
 def documented(df: DataFrame, comments: dict[str, str]) -> DataFrame:
@@ -47,15 +45,13 @@ def documented(df: DataFrame, comments: dict[str, str]) -> DataFrame:
 class Warehouse:
     """Paths, reads and writes below one root folder.
 
-    A build writes new files in a folder of its own and then appends a mark that lists the folders
-    the table consists of; readers follow the newest mark (the largest number, no clock). Nothing
-    a mark lists is ever overwritten, so a build that fails or is lost half-way changes nothing,
-    and a reader keeps the state it began with. ``vacuum`` removes what old marks alone list.
+    A build writes a table to a new folder and then appends its mark; readers follow the newest
+    mark. No folder is written twice, so a build that fails or is lost half-way changes nothing,
+    and a reader keeps the state it began with. One process builds at a time. ``vacuum`` removes
+    the folders of older builds.
 
-    A keyed table is a base, partitioned by ``pmod(xxhash64(unique_key), buckets)``, and one small
-    delta per build since. A delta holds all current rows of the keys it touches: a read takes a
-    key's rows from the last delta that has it, else from the base. A build costs as much as its
-    increment, until the deltas pass ``Settings.compact_share`` of the base and are folded in.
+    A keyed table is a Spark table bucketed by its key. An increment is brought to the buckets and
+    merged with what is stored there: the stored side is read and written once and never shuffled.
     """
 
     def __init__(self, spark: SparkSession, root: str, settings: Settings = Settings()):
@@ -115,16 +111,11 @@ class Warehouse:
         mark = self.build_mark(name)
         return mark["build_no"] if mark else 0
 
-    def parts(self, name: str) -> list[dict]:
-        """Folder and rows of the base and of every delta, in order."""
-        mark = self.build_mark(name)
-        return json.loads(mark["parts_json"]) if mark else []
-
     def commit(
-        self, name: str, schema: T.StructType, through: str | None, buckets: int, parts: list[dict]
+        self, name: str, schema: T.StructType, through: str | None, buckets: int, path: str
     ) -> None:
         with self._lock:
-            values = (self.build_no(name) + 1, through, buckets, schema.json(), json.dumps(parts))
+            values = (self.build_no(name) + 1, through, buckets, schema.json(), path)
             self._marks[name] = Row(**dict(zip(MARK_FIELDS, values, strict=True)))
             self._uncommitted.append((name, *values, datetime.now(UTC).replace(tzinfo=None)))
             if not self._deferred:
@@ -148,12 +139,12 @@ class Warehouse:
                 self._flush()
 
     def vacuum(self) -> list[str]:
-        """Remove the folders that no current mark lists; returns them. Run it while no build runs
-        and no reader holds an older state."""
+        """Remove the folders of older builds; returns them. Run it while no build runs and no
+        reader holds an older state."""
         gone = []
         for row in self.builds().select("table").distinct().collect():
-            used = {p["path"].rsplit("/", 1)[1] for p in self.parts(row["table"])}
-            gone += self.keep_only(row["table"], used, "part=")
+            used = self.build_mark(row["table"])["path"].rsplit("/", 1)[1]
+            gone += self.keep_only(row["table"], {used}, "part=")
         return gone
 
     def keep_only(self, name: str, used: set[str], prefix: str) -> list[str]:
@@ -179,126 +170,114 @@ class Warehouse:
             raise LookupError(f"{name} has not been built")
         return T.StructType.fromJson(json.loads(mark["schema_json"]))
 
-    def _part(self, name: str, part: dict, bucketed: bool) -> DataFrame:
-        """One folder in the table's current columns; the recorded schema spares the footer scan."""
-        schema = self.schema(name)
-        if bucketed:
-            schema = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
-        return self.spark.read.schema(schema).parquet(self.path(part["path"]))
-
-    def read(self, name: str, buckets: Sequence[int] | None = None) -> DataFrame:
-        """The table, or at least the rows in the given buckets of its base."""
-        mark = self.build_mark(name)
-        schema, parts = self.schema(name), self.parts(name)
-        base = self._part(name, parts[0], bool(mark["buckets"]))
-        if mark["buckets"]:
-            if buckets is not None:
-                base = base.filter(F.col(BUCKET).isin(list(buckets)))
-            base = base.drop(BUCKET)
-        if len(parts) == 1:
-            return base
-        deltas = [
-            self._part(name, part, False).withColumn(SEQ, F.lit(i)) for i, part in enumerate(parts[1:])
-        ]
-        changes = reduce(DataFrame.unionAll, deltas)
-        if parts[0]["append"]:
-            return base.unionAll(changes.drop(SEQ))
-        if len(deltas) > 1:
-            last = F.max(SEQ).over(Window.partitionBy(KEY))
-            changes = changes.withColumn("_last", last).filter(F.col(SEQ) == F.col("_last"))
-        current = changes.select(*schema.fieldNames())
-        keys = reduce(DataFrame.unionAll, [d.select(KEY) for d in deltas]).distinct()
-        return on_keys(base, keys, [KEY], "left_anti").unionAll(current)
+    def _catalogued(self, path: str, schema: T.StructType, buckets: int) -> str:
+        """The name by which this session knows a bucketed folder; its buckets are in the catalog."""
+        name = "caseflow_" + path.rsplit("=", 1)[1]
+        if not self.spark.catalog.tableExists(name):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+            self.spark.sql(
+                f"CREATE TABLE {name} ({columns}, {KEYED} string) USING parquet "
+                f"CLUSTERED BY ({KEYED}) INTO {buckets} BUCKETS LOCATION '{self.path(path)}'"
+            )
+        return name
+
+    def stored(self, name: str) -> DataFrame:
+        """A keyed table with its bucketing column, partitioned as it lies there."""
+        mark, schema = self.build_mark(name), self.schema(name)
+        return self.spark.table(self._catalogued(mark["path"], schema, mark["buckets"]))
+
+    def read(self, name: str) -> DataFrame:
+        schema, mark = self.schema(name), self.build_mark(name)
+        if not mark["buckets"]:
+            # The recorded schema spares the footer scan.
+            return self.spark.read.schema(schema).parquet(self.path(mark["path"]))
+        # The catalog does not carry the descriptions of columns.
+        return self.stored(name).select(
+            *[F.col(f.name).alias(f.name, metadata=f.metadata) for f in schema.fields]
+        )
 
     # --- full rebuild ------------------------------------------------------------------
 
     def _new_part(self, name: str) -> str:
         return f"{name}/part={uuid.uuid4().hex}"
 
-    def _rows(self, path: str) -> int:
-        """Rows of a written folder, from the footers alone."""
-        try:
-            return self.spark.read.parquet(self.path(path)).count()
-        except AnalysisException as e:
-            if e.getCondition() in NO_FILES:
-                return 0
-            raise
-
     def replace(self, name: str, df: DataFrame, through: str | None = None) -> None:
         path = self._new_part(name)
         df.write.option("compression", "zstd").parquet(self.path(path))
-        self.commit(name, df.schema, through, 0, [{"path": path, "rows": None, "append": False}])
+        self.commit(name, df.schema, through, 0, path)
 
     # --- keyed tables ------------------------------------------------------------------
 
-    def bucket(self, buckets: int) -> Column:
-        return F.pmod(F.xxhash64(KEY), F.lit(buckets)).cast("int")
-
     def buckets_of(self, name: str) -> int:
         mark = self.build_mark(name)
         return mark["buckets"] if mark else self.settings.buckets
 
-    def rows_of(self, name: str, keys: DataFrame) -> DataFrame:
-        """The stored rows of the given keys, read from their buckets only."""
-        bucket = self.bucket(self.buckets_of(name)).alias(BUCKET)
-        # Never more than the table has buckets.
-        numbers = sorted(r[0] for r in keys.select(bucket).distinct().collect())
-        return touched(self.read(name, numbers), keys, KEY)
-
-    def create(self, name: str, df: DataFrame, through: str | None, append: bool = False) -> None:
-        """Write a new base."""
+    def _placed(self, name: str, df: DataFrame) -> DataFrame:
+        """Rows brought to the buckets of the table. Null is a key like any other."""
+        key = F.coalesce(F.concat(F.lit("="), F.col(KEY)), F.lit(""))
+        return df.withColumn(KEYED, key).repartition(self.buckets_of(name), KEYED)
+
+    def _write(self, name: str, placed: DataFrame, through: str | None) -> None:
+        """Write rows that are placed already as the table's next state: one file per bucket."""
         path, buckets = self._new_part(name), self.buckets_of(name)
-        placed = df.withColumn(BUCKET, self.bucket(buckets))
-        # Rebalancing groups each bucket into few files and splits one that is too large.
-        writer = placed.hint("rebalance", BUCKET).write.partitionBy(BUCKET)
-        writer.option("compression", "zstd").parquet(self.path(path))
-        part = {"path": path, "rows": self._rows(path), "append": append}
-        self.commit(name, df.schema, through, buckets, [part])
-
-    def _add(self, name: str, delta: DataFrame, through: str | None) -> None:
-        """Write a delta; fold all of them into a new base when they have become large."""
-        path, parts = self._new_part(name), self.parts(name)
-        delta.hint("rebalance").write.option("compression", "zstd").parquet(self.path(path))
-        fields = {f.name: f for f in delta.schema.fields}
-        old = [fields.pop(f.name, f) for f in self.schema(name).fields]
-        new = {"path": path, "rows": self._rows(path)}
-        if new["rows"]:
-            parts = [*parts, new]
-        self.commit(name, T.StructType([*old, *fields.values()]), through, self.buckets_of(name), parts)
-        share = sum(p["rows"] for p in parts[1:])
-        if share > self.settings.compact_share * parts[0]["rows"] or len(parts) > self.settings.most_deltas:
-            self.create(name, self.read(name), through, parts[0]["append"])
+        columns = [c for c in placed.columns if c != KEYED]
+        writer = placed.select(*columns, KEYED).write.format("parquet").bucketBy(buckets, KEYED)
+        writer = writer.sortBy(KEYED).option("compression", "zstd").option("path", self.path(path))
+        writer.saveAsTable("caseflow_" + path.rsplit("=", 1)[1])
+        self.commit(name, placed.select(*columns).schema, through, buckets, path)
+
+    def rows_of(self, name: str, keys: DataFrame) -> DataFrame:
+        """The stored rows of the given keys: the stored side is filtered where it lies."""
+        wanted = self._placed(name, keys.select(KEY).distinct()).select(KEYED)
+        mine = self.stored(name).join(wanted, KEYED, "left_semi")
+        return mine.select(*self.schema(name).fieldNames())
+
+    def create(self, name: str, df: DataFrame, through: str | None) -> None:
+        self._write(name, self._placed(name, df), through)
+
+    def _with_stored(self, name: str, new: DataFrame) -> DataFrame:
+        """Stored and new rows side by side in their buckets."""
+        return self.stored(name).unionByName(self._placed(name, new), allowMissingColumns=True)
+
+    def _described(self, name: str, new: DataFrame, merged: DataFrame) -> DataFrame:
+        """Column descriptions: the new rows' where they have the column, else the stored ones."""
+        notes = {f.name: f.metadata for f in [*self.schema(name).fields, *new.schema.fields]}
+        return merged.select(*[F.col(c).alias(c, metadata=notes.get(c, {})) for c in merged.columns])
 
     def upsert(
-        self,
-        name: str,
-        new: DataFrame,
-        touched: DataFrame,
-        keys: Sequence[str],
-        order: Sequence[str],
-        through: str | None,
+        self, name: str, new: DataFrame, keys: Sequence[str], order: Sequence[str], through: str | None
     ) -> None:
         """Merge ``new`` by key, the newest version by ``order`` winning.
 
-        ``touched`` gives the keys cheaply (the increment itself). Columns the table lacks are
-        appended; old rows read them as null.
+        Columns the table lacks are appended; old rows read them as null.
         """
         if not self.exists(name):
             return self.create(name, new, through)
-        self._add(name, merge_latest(self.rows_of(name, touched), new, keys, order), through)
+        others = [k for k in keys if k != KEY]
+        merged = latest_per_key(self._with_stored(name, new), [KEYED, *others], order)
+        self._write(name, self._described(name, new, merged), through)
 
     def replace_keys(
         self, name: str, new: DataFrame, touched: DataFrame, through: str | None
     ) -> None:
-        """Replace all rows of the touched keys by ``new``, which has rows of each of them."""
+        """Replace all rows of the touched keys by ``new``."""
         if not self.exists(name):
             return self.create(name, new, through)
-        self._add(name, new, through)
+        gone = self._placed(name, touched.select(KEY).distinct()).select(KEYED)
+        # A merge join keeps the stored side in its buckets, whatever the size of the other.
+        kept = self.stored(name).join(gone.hint("merge"), KEYED, "left_anti")
+        merged = kept.unionByName(self._placed(name, new), allowMissingColumns=True)
+        self._write(name, self._described(name, new, merged), through)
 
     def append_unseen(
-        self, name: str, new: DataFrame, touched: DataFrame, keys: Sequence[str], through: str | None
+        self, name: str, new: DataFrame, keys: Sequence[str], through: str | None
     ) -> None:
-        """Append the rows whose key the table lacks; nothing stored is rewritten."""
+        """Add the rows whose key the table lacks. Of rows of one key the one landed first stays,
+        so a row that comes again changes nothing."""
         if not self.exists(name):
-            return self.create(name, new, through, append=True)
-        self._add(name, unseen(self.rows_of(name, touched), new, keys), through)
+            return self.create(name, new, through)
+        others = [k for k in keys if k != KEY]
+        rest = [c for c in new.columns if c not in {*keys, INGESTED}]
+        order = [F.col(c).asc_nulls_last() for c in [*([INGESTED] if INGESTED in new.columns else []), *rest]]
+        merged = first_by(self._with_stored(name, new), [KEYED, *others], order)
+        self._write(name, self._described(name, new, merged), through)

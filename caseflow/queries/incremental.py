@@ -175,7 +175,7 @@ def d5_replayed(spark, sf_dir):
     keys = ["unique_key", "sys_updated_at"]
     for part in (rows.filter(F.col("_ingested_at") <= CUT), rows, rows):
         new = inc.first_per_version(part)
-        wh.append_unseen(b.VERSIONS, new, new, keys, None)
+        wh.append_unseen(b.VERSIONS, new, keys, None)
     return wh.read(b.VERSIONS).groupBy(*keys).agg(F.count("*").alias("n"))
 
 
@@ -264,7 +264,7 @@ def d12(spark, sf_dir):
     wh = Warehouse(spark, scratch_path(spark, "warehouse"), SMALL)
     staged = b.documented(t.requests(spark, sf_dir), b.REQUEST_COMMENTS)
     wh.create(b.REQUESTS, staged, None)
-    stored = spark.read.parquet(wh.path(wh.parts(b.REQUESTS)[0]["path"]))
+    stored = spark.read.parquet(wh.path(wh.build_mark(b.REQUESTS)["path"]))
     comment = stored.schema["status"].metadata["comment"]
     return stored.groupBy("status").agg(F.count("*").alias("n")).withColumn(
         "comment", F.lit(comment)

@@ -91,11 +91,7 @@ class Settings:
     max_hours_since_update: float = 72
     # First day of the calendar dimension.
     calendar_start: date = date(2010, 1, 1)
-    # Hash buckets of the upserted tables: aim at roughly 1 GB of data per bucket.
+    # Hash buckets of the upserted tables, a file each: aim at roughly 1 GB of data per bucket.
     buckets: int = 64
-    # Deltas of an upserted table are folded into its base beyond this share of the base's rows,
-    # or beyond this number.
-    compact_share: float = 0.2
-    most_deltas: int = 16
     # Files written by one landing task roll over at this many rows.
     rows_per_file: int = 1_000_000
