@@ -85,7 +85,7 @@ def run_checks(wh: Warehouse, state: Refresh, checks: list[Check]) -> bool:
     """Evaluate, record and store failing rows; false when the build must stop here.
 
     The outcome of a check whose tables have not changed since is taken over, unless it depends
-    on the clock. Of a check's failing rows the newest copy is kept.
+    on the clock. Of a check's failing rows the newest copy is kept, and none once it passes.
     """
     last = last_results(wh)
     states = table_states(wh, {name for c in checks for name in (c.table, *c.inputs)})
@@ -115,6 +115,9 @@ def run_checks(wh: Warehouse, state: Refresh, checks: list[Check]) -> bool:
         wh.keep_only(f"dq/{check.name}", {f"build={state.build_id}"}, "build=")
 
     together(wh.spark, [partial(store, r.check) for r in new.values() if r.failing_rows])
+    for r in new.values():
+        if not r.failing_rows and r.check.name in last and last[r.check.name]["failing_rows"]:
+            wh.keep_only(f"dq/{r.check.name}", set(), "build=")
     state.results += results
     state.blocked_by += [r.check.name for r in results if r.status == ERROR]
     return state.ok

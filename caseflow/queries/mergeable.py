@@ -1,4 +1,4 @@
-"""Marts and checks from state that is merged instead of rescanned, and the backlog of past days."""
+"""Marts and checks from merged state, the backlog of past days, survival curves."""
 
 from __future__ import annotations
 
@@ -14,6 +14,7 @@ from caseflow.plans import backlog_on as past
 from caseflow.plans import delta_marts as dm
 from caseflow.plans import landing_sketch as ls
 from caseflow.plans import resolution_sketch as rs
+from caseflow.plans import survival
 from caseflow.plans.core import fct_service_requests
 from caseflow.plans.staging import latest_requests
 from caseflow.queries import tables as t
@@ -180,7 +181,35 @@ G14_OVERLAPS_SQL = t.with_ctes(
     t.EVENT_VERSIONS_SQL,
 )
 
+def f2_survival(spark, sf_dir):
+    counts = survival.durations(t.fact(spark, sf_dir), t.request_runs(spark, sf_dir))
+    return survival.close_survival(counts)
+
+
+F2_SURVIVAL_SQL = t.over_marts(
+    """select agency, sum(n_closed)::bigint as n_closed, sum(n_open)::bigint as n_open,
+    """
+    + "".join(
+        f"round(coalesce(min(share) filter (minutes <= {d * 1440}), 1.0::double), 9) as share_open_after_{d}d, "
+        for d in survival.HORIZONS
+    )
+    + """round(min(minutes) filter (share <= 0.5) / 60.0::double, 6) as median_hours_to_close
+    from (select *, product(1.0::double - n_closed::double / n_at_risk) over (partition by agency
+              order by minutes rows between unbounded preceding and current row) as share
+          from (select *, sum(n_closed + n_open) over (partition by agency order by minutes
+                    rows between current row and unbounded following) as n_at_risk
+                from (select agency_key as agency,
+                          round(case when is_closed then hours_to_close * 60
+                              when open_age_days >= 0 then open_age_days * 1440 end)::bigint as minutes,
+                          count_if(is_closed) as n_closed, count_if(not is_closed) as n_open
+                      from fact
+                      where agency_key is not null and created_at >= (select coverage_start from coverage)
+                      group by 1, 2 having minutes is not null)))
+    group by agency"""
+)
+
 QUERIES = {
+    "f2_close_survival": (f2_survival, F2_SURVIVAL_SQL),
     "f1_volume_deltas": (f1_deltas, t.over_marts("select * from volume")),
     "f2_resolution_sketch": (f2_sketch, F2_SKETCH_SQL),
     "f3_backlog_deltas": (f3_deltas, t.over_marts("select * from backlog")),

@@ -368,3 +368,15 @@ def test_a_failed_layer_check_stops_later_layers_and_stores_rows(spark, wh):
     warned = {r.check.name: r.status for r in state.results if r.status == "WARN"}
     assert warned == {"closed_not_before_created": "WARN"}
     assert not wh.exists(b.FACT) and wh.exists(b.REQUESTS)
+
+
+def test_a_check_that_passes_again_leaves_no_rows(spark, wh):
+    closed = {"status": "Closed", "closed_date": "2026-09-01T00:00:00"}
+    first = [record(2, "2026-09-12T01:00:00.000Z", **closed)]
+    state = refresh(wh, feed(spark, first), now=datetime(2026, 9, 13), as_of=AS_OF, start="2026-09-01T00:00:00")
+    folder = wh.path("dq/closed_not_before_created")
+    assert os.path.isdir(f"{folder}/build={state.build_id}")
+    mended = [record(2, "2026-09-13T01:00:00.000Z", **closed | {"closed_date": "2026-09-12T00:00:00"})]
+    again = refresh(wh, feed(spark, mended), now=datetime(2026, 9, 13, 2), as_of=AS_OF)
+    assert {r.check.name: r.status for r in again.results}["closed_not_before_created"] == "PASS"
+    assert not [f for f in os.listdir(folder) if f.startswith("build=")]

@@ -12,6 +12,7 @@ from caseflow.plans import backlog_on as past
 from caseflow.plans import delta_marts as dm
 from caseflow.plans import landing_sketch as ls
 from caseflow.plans import resolution_sketch as rs
+from caseflow.plans import survival
 from caseflow.plans.marts import mart_open_backlog
 
 WEEK = date(2026, 9, 7)
@@ -247,3 +248,24 @@ def test_no_join_on_a_range(spark):
     )
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+# --- survival ----------------------------------------------------------------------------------
+
+
+def test_open_requests_are_censored(spark):
+    day = survival.DAY
+    rows = [("A", 60, 2, 0), ("A", 2 * day, 1, 1), ("A", 8 * day, 0, 2), ("A", 40 * day, 1, 0), ("B", 5, 0, 3)]
+    counts = spark.createDataFrame(rows, "agency string, minutes long, n_closed long, n_open long")
+    found = {r.agency: r for r in survival.close_survival(counts).collect()}
+    a, b = found["A"], found["B"]
+    # Of 7: 2 close within the hour, then 1 of the 5 left; at day 40 the only one left closes.
+    assert (a.n_closed, a.n_open) == (4, 3)
+    assert [a.share_open_after_1d, a.share_open_after_7d, a.share_open_after_30d] == [
+        round(5 / 7, 9),
+        round(5 / 7 * 4 / 5, 9),
+        round(5 / 7 * 4 / 5, 9),
+    ]
+    assert a.share_open_after_90d == 0.0 and a.median_hours_to_close == 40 * 24.0
+    assert (b.n_closed, b.share_open_after_90d, b.median_hours_to_close) == (0, 1.0, None)
+    assert survival.close_survival(counts.limit(0)).collect() == []
