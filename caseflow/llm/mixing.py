@@ -23,7 +23,10 @@ SYMBOLS = "#*$%&|<>"
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
 SEED = "mix"
-BUCKETS = 4096
+# Buckets per doubling of the key: of keys -ln(u) / q, whatever q is, at most the share
+# ln(2) / e / KEY_BUCKETS falls into one.
+KEY_BUCKETS = 256
+RATIO_BINS = 64
 LEAST_QUALITY = 0.05
 
 
@@ -44,24 +47,35 @@ def uniform(key: Column, seed: str) -> Column:
 
 
 def targets(sizes: DataFrame, most: int) -> DataFrame:
-    """``target`` for each row of ``source, source_size, weight``: the weights' shares of all words,
-    none above ``most`` times its source, the excess shared again by weight until none is."""
-    capped = F.col("source_size") * most
-    share = None
-    while True:
-        open_ = F.lit(True) if share is None else F.col("weight") * share <= capped
-        total, held, open_weight = sizes.agg(
-            F.sum("source_size"),
-            F.coalesce(F.sum(F.when(~open_, capped)), F.lit(0)),
-            F.coalesce(F.sum(F.when(open_, F.col("weight"))), F.lit(0)),
-        ).first()
-        # A larger share closes more sources, so this ends; it is the same when none closed.
-        new = (total - held) / open_weight if open_weight else share
-        if new == share or total is None:
-            break
-        share = new
-    level = F.lit(share or 0.0)
-    return sizes.withColumn("target", F.least(F.col("weight") * level, capped.cast("double")))
+    """``target`` for each row of ``source_size, weight``: the weights' shares of all words, none above
+    ``most`` times its source, the excess shared again by weight until none is.
+
+    Sources reach their limit in the order of limit by weight. With those before one of them at
+    their limits, the others share what is left; the level that no source after them exceeds is the
+    largest that holds. Prefix sums go over bins of that order first, then within a bin.
+    """
+    limit = F.col("source_size") * most
+    ranked = sizes.select("weight", limit.alias("limit"), (limit / F.col("weight")).alias("ratio"))
+    ranked = ranked.withColumn("bin", F.floor(F.log2(F.col("ratio") + 1) * RATIO_BINS))
+    bins = ranked.groupBy("bin").agg(F.sum("limit").alias("limits"), F.sum("weight").alias("weights"))
+    # There are at most 64 times RATIO_BINS bins, however many sources.
+    lower = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    bins = bins.select(
+        "bin",
+        F.coalesce(F.sum("limits").over(lower), F.lit(0)).alias("limits"),
+        F.coalesce(F.sum("weights").over(lower), F.lit(0)).alias("weights"),
+    )
+    order = Window.partitionBy("bin").orderBy("ratio").rowsBetween(Window.unboundedPreceding, -1)
+    held = F.col("limits") + F.coalesce(F.sum("limit").over(order), F.lit(0))
+    gone = F.col("weights") + F.coalesce(F.sum("weight").over(order), F.lit(0))
+    total = sizes.agg(F.sum("source_size")).scalar()
+    all_weights = sizes.agg(F.sum("weight")).scalar()
+    levels = ranked.join(bins, "bin").select(
+        "weight", "limit", ((total - held) / (all_weights - gone)).alias("level")
+    )
+    level = levels.filter(F.col("weight") * F.col("level") <= F.col("limit")).agg(F.max("level")).scalar()
+    target = F.least(F.col("weight") * level, limit.cast("double"))
+    return sizes.withColumn("target", target)
 
 
 def mix(
@@ -94,9 +108,9 @@ def mix(
             (-F.log(uniform(docs[doc_id], seed)) / weight).alias("_key"),
             F.struct(docs[doc_id].alias("id"), F.xxhash64(column).alias("text")).alias("_tie"),
         ).withColumn(
-            # Monotone in the key and about even over the buckets.
+            # Monotone in the key; its logarithm makes the shares of buckets the same for any quality.
             "_bucket",
-            F.floor((1 - F.exp(-F.col("_key") * 0.5)) * (BUCKETS - 1)).cast("int"),
+            F.floor(F.log2("_key") * KEY_BUCKETS).cast("int"),
         ),
         "sized",
     )
