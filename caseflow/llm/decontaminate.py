@@ -3,20 +3,21 @@
 Every task reads its documents in shards of bounded size. Words become identifiers of the phrases'
 vocabulary; a run of known words shorter than the shortest phrase cannot hold one, and the others
 are indexed. Each phrase is searched backwards, its occurrences are located from sampled positions
-and merged into spans of words. Documents are never shuffled. The phrases are a stated query set:
-they are taken in blocks of bounded size, one block broadcast at a time, the next reading the
-written result of the one before.
+and merged into spans of words. Documents are never shuffled, and read once. The phrases are a stated
+query set: they are cut into blocks of bounded size, all broadcast in packed form, and a task meets
+its shard with one unpacked block after the other.
 """
 
 from __future__ import annotations
 
-import math
+import pickle
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,8 +28,9 @@ from caseflow.llm.fmindex import FMIndex
 WINDOW = 10
 SHARD_WORDS = 1 << 20
 SHARD_BYTES = 32 << 20
-# Text of one block of benchmark items; a block is collected and broadcast.
-BLOCK_BYTES = 8 << 20
+# Text of one block of benchmark items, unless one item alone is longer. A block is collected on the
+# driver and broadcast in packed form; every worker keeps the packed blocks, and one unpacked.
+BLOCK_BYTES = 4 << 20
 ITEM_WORD = re.compile(b"[0-9A-Za-z\x80-\xff]+")
 SPANS = T.ArrayType(
     T.StructType([T.StructField("start", T.LongType()), T.StructField("size", T.LongType())])
@@ -40,93 +42,119 @@ class Phrases(NamedTuple):
 
     vocabulary: np.ndarray
     windows: list[np.ndarray]  # one matrix of word identifiers for each length
-    owners: list[np.ndarray]  # for each window, in order: numbers of its items
+    owner_of: np.ndarray  # pairs in order: numbers of windows, and of items that hold them
+    owner: np.ndarray
     items: list[str]
 
+    def pack(self) -> bytes:
+        return zstandard.compress(pickle.dumps(self, pickle.HIGHEST_PROTOCOL))
+
+
+def unpack(block: bytes) -> Phrases:
+    return pickle.loads(zstandard.decompress(block))
+
 
 def phrases(rows: list[tuple[object, str | None]], window: int) -> Phrases:
     """The windows of benchmark items, equal windows together."""
     texts = pa.array([(text or "").encode().translate(LOWER).decode() for _, text in rows])
     words = find_words(texts.cast(pa.string()), ALNUM_OR_WIDE)
-    hashes = word_hashes(words)
-    vocabulary = np.unique(hashes)
-    ids = np.searchsorted(vocabulary, hashes) + 1
+    vocabulary, ids = np.unique(word_hashes(words), return_inverse=True)
+    ids = ids.astype(np.int32) + 1
     names = sorted({str(item) for item, _ in rows if item is not None})
     number = {name: i for i, name in enumerate(names)}
-    found: dict[tuple[int, ...], set[int]] = {}
-    for (item, _), start, end in zip(rows, words.first[:-1], words.first[1:], strict=True):
-        mine = ids[start:end].tolist()
-        for at in range(max(1, len(mine) - window + 1) if mine else 0):
-            owners = found.setdefault(tuple(mine[at : at + window]), set())
-            if item is not None:
-                owners.add(number[str(item)])
-    ordered = sorted(found, key=lambda w: (len(w), w))
-    sizes = sorted({len(w) for w in ordered})
+    numbers = np.array([-1 if item is None else number[str(item)] for item, _ in rows], np.int32)
+    counts = np.diff(words.first)
+    sizes = np.minimum(counts, window)
+    windows, owner_of, owner, before = [], [], [], 0
+    for size in np.unique(sizes[sizes > 0]).tolist():
+        mine = np.flatnonzero(sizes == size)
+        times = counts[mine] - size + 1
+        which = np.repeat(np.arange(len(mine)), times)
+        step = np.arange(times.sum()) - (np.cumsum(times) - times)[which]
+        starts = words.first[mine][which] + step
+        found = np.lib.stride_tricks.sliding_window_view(ids, size)[starts]
+        distinct, place = np.unique(found, axis=0, return_inverse=True)
+        named = numbers[mine][which] >= 0
+        held = np.unique(np.stack((place.ravel()[named], numbers[mine][which][named])), axis=1)
+        windows.append(distinct)
+        owner_of.append(held[0] + before)
+        owner.append(held[1])
+        before += len(distinct)
     return Phrases(
         vocabulary,
-        [np.array([w for w in ordered if len(w) == size], np.int64) for size in sizes],
-        [np.array(sorted(found[w]), np.int64) for w in ordered],
+        windows,
+        np.concatenate([np.empty(0, np.int64), *owner_of]),
+        np.concatenate([np.empty(0, np.int64), *owner]),
         names,
     )
 
 
+def blocks_of(
+    rows: Iterable[tuple[object, str | None]], block_bytes: int
+) -> Iterator[list[tuple[object, str | None]]]:
+    """The rows in lists of at most ``block_bytes`` of text; a longer text stands alone."""
+    block, size = [], 0
+    for item, text in rows:
+        mine = len((text or "").encode())
+        if block and size + mine > block_bytes:
+            yield block
+            block, size = [], 0
+        block.append((item, text))
+        size += mine
+    if block:
+        yield block
+
+
 class Shard:
-    """Documents of one task up to a bounded size, and the runs of known words in them."""
+    """Documents of one task up to a bounded size, as hashes of their words."""
 
-    def __init__(self, block: Phrases):
-        self.block = block
-        self.shortest = min((w.shape[1] for w in block.windows), default=1 << 62)
+    def __init__(self):
         self.batches: list[pa.RecordBatch] = []
-        self.texts = self.rows = self.size = self.bytes = 0
-        self.runs: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        self.n_words: list[np.ndarray] = []
+        self.hashes: list[np.ndarray] = []
+        self.first: list[np.ndarray] = []
+        self.rows = self.bytes = 0
+        self.spans: list[list[tuple[int, int]]] = []
+        self.items: list[set[str]] = []
 
     def full(self) -> bool:
-        return self.size >= SHARD_WORDS or self.bytes >= SHARD_BYTES
+        return self.bytes >= SHARD_BYTES
 
     def add(self, batch: pa.RecordBatch, text: str) -> None:
         words = find_words(batch.column(text), ALNUM_OR_WIDE)
         lowered = np.frombuffer(LOWER, np.uint8)[words.data]
-        hashes = word_hashes(words._replace(data=lowered))
-        known = self.block.vocabulary
-        ids = np.searchsorted(known[:-1], hashes)
-        ids = np.where(known[ids] == hashes, ids + 1, 0) if len(known) else ids
-        row = np.repeat(np.arange(batch.num_rows), np.diff(words.first))
-        # A run ends at an unknown word and at the end of a document.
-        fresh = np.ones(len(ids), bool)
-        fresh[1:] = (ids[1:] == 0) | (ids[:-1] == 0) | (row[1:] != row[:-1])
-        starts = np.flatnonzero(fresh)
-        sizes = np.diff(np.append(starts, len(ids)))
-        long = (ids[starts] > 0) & (sizes >= self.shortest)
-        keep = np.repeat(long, sizes)
-        at = np.flatnonzero(keep)
-        heads = np.flatnonzero(fresh[at])
-        # One separator before every run.
-        self.runs.append(
-            (
-                np.insert(ids[at], heads, 0),
-                np.insert(row[at] + self.rows, heads, -1),
-                np.insert(at - words.first[row[at]], heads, -1),
-            )
-        )
-        self.n_words.append(np.diff(words.first))
+        self.hashes.append(word_hashes(words._replace(data=lowered)))
+        self.first.append(words.first)
         self.batches.append(batch)
         self.rows += batch.num_rows
-        self.size += len(at) + len(heads)
         self.bytes += len(words.data)
-
-    def hits(self) -> tuple[np.ndarray, list[list[tuple[int, int]]], list[list[int]]]:
-        """Words, merged spans of hit words and numbers of the found items of every document."""
-        spans: list[list[tuple[int, int]]] = [[] for _ in range(self.rows)]
-        items: list[list[int]] = [[] for _ in range(self.rows)]
-        counts = np.concatenate(self.n_words) if self.n_words else np.empty(0, np.int64)
-        text, row, word = (np.concatenate(part) for part in zip(*self.runs, strict=True))
-        if not len(text):
-            return counts, spans, items
-        index = FMIndex(text, len(self.block.vocabulary))
+        self.spans.extend([] for _ in range(batch.num_rows))
+        self.items.extend(set() for _ in range(batch.num_rows))
+
+    def counts(self) -> np.ndarray:
+        return np.concatenate([np.diff(first) for first in self.first])
+
+    def search(self, block: Phrases) -> None:
+        """Add the hits of a block: spans of words, and names of found items."""
+        shortest = min((w.shape[1] for w in block.windows), default=1 << 62)
+        runs, size, rows = [], 0, 0
+        for hashes, first in zip(self.hashes, self.first, strict=True):
+            run = known_runs(hashes, first, block.vocabulary, shortest)
+            runs.append((run[0], np.where(run[1] < 0, -1, run[1] + rows), run[2]))
+            rows += len(first) - 1
+            size += len(run[0])
+            if size >= SHARD_WORDS:
+                self.search_runs(block, runs)
+                runs, size = [], 0
+        self.search_runs(block, runs)
+
+    def search_runs(self, block: Phrases, runs: list[tuple[np.ndarray, ...]]) -> None:
+        if not any(len(run[0]) for run in runs):
+            return
+        text, row, word = (np.concatenate(part) for part in zip(*runs, strict=True))
+        index = FMIndex(text, len(block.vocabulary))
         change = np.zeros(len(text) + 1, np.int64)
         pairs, offset = [], 0
-        for windows in self.block.windows:
+        for windows in block.windows:
             low, high = index.search(windows)
             found = np.flatnonzero(low < high)
             times = (high - low)[found]
@@ -140,10 +168,35 @@ class Shard:
         hit = np.cumsum(change[:-1]) > 0
         edges = np.diff(hit.astype(np.int8), prepend=0, append=0)
         for start, end in zip(np.flatnonzero(edges == 1), np.flatnonzero(edges == -1), strict=True):
-            spans[row[start]].append((int(word[start]), int(end - start)))
-        for doc, window in np.concatenate(pairs, axis=1).T.tolist():
-            items[doc].extend(self.block.owners[window].tolist())
-        return counts, spans, items
+            self.spans[row[start]].append((int(word[start]), int(end - start)))
+        docs, found = np.concatenate(pairs, axis=1)
+        low = np.searchsorted(block.owner_of, found)
+        high = np.searchsorted(block.owner_of, found, "right")
+        for doc, start, end in zip(docs.tolist(), low.tolist(), high.tolist(), strict=True):
+            self.items[doc].update(block.items[i] for i in block.owner[start:end].tolist())
+
+
+def known_runs(
+    hashes: np.ndarray, first: np.ndarray, known: np.ndarray, shortest: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of at least ``shortest`` known words of one batch, one separator (0, row -1) before each:
+    word identifiers, rows and places within the row."""
+    ids = np.searchsorted(known[:-1], hashes)
+    ids = np.where(known[ids] == hashes, ids + 1, 0) if len(known) else np.zeros(len(hashes), int)
+    row = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    # A run ends at an unknown word and at the end of a document.
+    fresh = np.ones(len(ids), bool)
+    fresh[1:] = (ids[1:] == 0) | (ids[:-1] == 0) | (row[1:] != row[:-1])
+    starts = np.flatnonzero(fresh)
+    sizes = np.diff(np.append(starts, len(ids)))
+    long = (ids[starts] > 0) & (sizes >= shortest)
+    at = np.flatnonzero(np.repeat(long, sizes))
+    heads = np.flatnonzero(fresh[at])
+    return (
+        np.insert(ids[at], heads, 0),
+        np.insert(row[at], heads, -1),
+        np.insert(at - first[row[at]], heads, -1),
+    )
 
 
 def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -169,16 +222,13 @@ def cut_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*pieces, text[at:]])
 
 
-def _mark(
-    docs: DataFrame, rows: list[tuple[object, str | None]], window: int, texts: str
-) -> DataFrame:
-    """Add a block's hits to ``spans`` and ``items``, and ``n_words``; give back ``texts`` cut, the
-    same or none."""
-    block = docs.sparkSession.sparkContext.broadcast(phrases(rows, window))
-    fields = [docs.schema["row"], docs.schema["_text"]]
+def _mark(docs: DataFrame, blocks: list[bytes], clean: bool) -> DataFrame:
+    """``row``, ``_text`` (cut, or null unless ``clean``), ``n_words``, ``spans`` and ``items``."""
+    packed = [docs.sparkSession.sparkContext.broadcast(block) for block in blocks]
     schema = T.StructType(
         [
-            *fields,
+            docs.schema["row"],
+            docs.schema["_text"],
             T.StructField("n_words", T.LongType()),
             T.StructField("spans", SPANS),
             T.StructField("items", T.ArrayType(T.StringType())),
@@ -187,47 +237,39 @@ def _mark(
     arrow_spans = pa.list_(pa.struct([("start", pa.int64()), ("size", pa.int64())]))
 
     def results(shard: Shard) -> Iterator[pa.RecordBatch]:
-        counts, spans, items = shard.hits()
-        names, at = shard.block.items, 0
+        for block in packed:
+            shard.search(unpack(block.value))
+        counts, at = shard.counts(), 0
         for batch in shard.batches:
             here = slice(at, at + batch.num_rows)
-            before = zip(
-                batch.column("spans").to_pylist(), batch.column("items").to_pylist(), strict=True
-            )
-            mine, owners = [], []
-            for (old_spans, old_items), new_spans, new_items in zip(
-                before, spans[here], items[here], strict=True
-            ):
-                old = [(s["start"], s["size"]) for s in old_spans or []]
-                mine.append(merge_spans([*old, *new_spans]))
-                owners.append(sorted({*(old_items or []), *(names[i] for i in new_items)}))
+            spans = [merge_spans(s) for s in shard.spans[here]]
             content = batch.column("_text")
-            if texts == "none":
+            if not clean:
                 content = pa.nulls(batch.num_rows, pa.string())
-            elif texts == "cut" and any(mine):
+            elif any(spans):
                 whole = content.cast(pa.binary()).to_pylist()
-                cut = [cut_spans(t, s) if s else t for t, s in zip(whole, mine, strict=True)]
+                cut = [cut_spans(t, s) if s else t for t, s in zip(whole, spans, strict=True)]
                 content = pa.array(cut, pa.binary()).cast(pa.string())
-            listed = [[{"start": a, "size": n} for a, n in s] for s in mine]
+            listed = [[{"start": a, "size": n} for a, n in s] for s in spans]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("row"),
                     content,
                     pa.array(counts[here], pa.int64()),
                     pa.array(listed, arrow_spans),
-                    pa.array(owners, pa.list_(pa.string())),
+                    pa.array([sorted(i) for i in shard.items[here]], pa.list_(pa.string())),
                 ],
                 schema.names,
             )
             at += batch.num_rows
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = Shard(block.value)
+        shard = Shard()
         for batch in chunks(batches, "_text"):
             shard.add(batch, "_text")
             if shard.full():
                 yield from results(shard)
-                shard = Shard(block.value)
+                shard = Shard()
         if shard.batches:
             yield from results(shard)
 
@@ -256,25 +298,16 @@ def find_benchmark(
     """
     items = benchmark.select(
         benchmark[item_id].cast("string").alias("item"), benchmark[item_text].cast("string").alias("text")
-    )
+    ).distinct()
+    items = settle(items, "items")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_blocks = max(1, math.ceil(size / block_bytes))
+    # A larger benchmark passes through the driver block by block, never as a whole.
+    rows = items.collect() if size <= block_bytes else items.toLocalIterator()
+    blocks = [phrases(block, window).pack() for block in blocks_of(rows, block_bytes)]
     marked = docs.select(
-        F.struct(*(keep or ["*"])).alias("row"),
-        docs[text].cast("string").alias("_text"),
-        F.lit(None).cast(SPANS).alias("spans"),
-        F.lit(None).cast("array<string>").alias("items"),
+        F.struct(*(keep or ["*"])).alias("row"), docs[text].cast("string").alias("_text")
     )
-    for number in range(n_blocks):
-        # Spread by hash: a block holds about block_bytes of text.
-        block = F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks)) == number
-        rows = [(r.item, r.text) for r in items.filter(block).collect()]
-        last = number == n_blocks - 1
-        # Word positions are of the whole text, so only the last block may cut it.
-        marked = _mark(marked, rows, window, ("cut" if clean else "none") if last else "same")
-        if not last:
-            marked = settle(marked, "hits").drop("n_words")
-    return marked
+    return _mark(marked, blocks, clean)
 
 
 def remove_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import (
     ROLLING,
@@ -193,6 +194,43 @@ def test_benchmark(spark, block_bytes):
     assert any("after, a " in (r.text or "") for r in left)
 
 
+def test_benchmark_blocks(spark, monkeypatch):
+    """Copied items count once, no block passes its bound, and no document is written or read twice."""
+    copies = [(1, ROLLING)] * 500 + [(i, f"item number {i} of a benchmark with many small texts {i}") for i in range(300)]
+    items = spark.createDataFrame(copies, "item_id long, text string")
+    docs = spark.createDataFrame(
+        [(i, f"x {ROLLING} y item number {i} of a benchmark with many small texts {i} z") for i in range(40)],
+        "doc_id long, text string",
+    )
+    seen, cut = [], decontaminate.phrases
+    monkeypatch.setattr(decontaminate, "phrases", lambda rows, n: seen.append(rows) or cut(rows, n))
+    found = decontaminate.find_benchmark(docs, items, block_bytes=1_000)
+    assert len(seen) > 15 and len({len(r) for r in seen}) < 5
+    assert all(sum(len(text) for _, text in rows) <= 1_000 or len(rows) == 1 for rows in seen)
+    assert sorted(row for rows in seen for row in rows) == sorted(set((str(i), t) for i, t in copies))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Exchange" not in plan
+    rows = found.select("row.text", "n_words", "spans", "items").collect()
+    expected = contamination([r.text for r in rows], sorted(set(copies)))
+    assert [(r.n_words, sum(s["size"] for s in r["spans"]), r["items"]) for r in rows] == expected
+
+
+def test_long_shards_are_searched_in_parts(spark, monkeypatch):
+    rows = [(str(i), t) for i, t in [(1, "a b c d e f g h i j k"), (2, "c d e")]]
+    block = decontaminate.phrases(rows, 10)
+    texts = ["x a b c d e f g h i j k y", None, "", "c d e", "a b"] * 30
+    results = []
+    for most in (1 << 20, 20):
+        monkeypatch.setattr(decontaminate, "SHARD_WORDS", most)
+        shard = decontaminate.Shard()
+        for at in range(0, len(texts), 7):
+            shard.add(pa.RecordBatch.from_pydict({"t": pa.array(texts[at : at + 7], pa.string())}), "t")
+        shard.search(decontaminate.unpack(block.pack()))
+        results.append((shard.spans, shard.items))
+    assert results[0] == results[1]
+    assert results[0][0][:4] == [[(1, 11)], [], [], [(0, 3)]] and results[0][1][0] == {"1", "2"}
+
+
 def test_benchmark_empty(spark):
     docs = benchmark_docs(spark)
     none = spark.createDataFrame([], "item_id long, text string")

@@ -68,6 +68,39 @@ def test_better_documents_come_first(spark):
     assert clean >= dirty
 
 
+@pytest.mark.parametrize("quality", [0.01, 1.0, 100.0])
+def test_buckets_are_small_for_any_quality(spark, quality):
+    key = -F.log(mixing.uniform(F.col("id"), "mix")) / quality
+    buckets = spark.range(200_000).groupBy(F.floor(F.log2(key) * mixing.KEY_BUCKETS)).count()
+    assert buckets.agg(F.max("count")).first()[0] < 0.01 * 200_000
+
+
+def plain_levels(sizes, most):
+    """Rounds of sharing until no source is above its limit."""
+    share, total = None, sum(s for s, _ in sizes)
+    while True:
+        closed = [share is not None and w * share > s * most for s, w in sizes]
+        left = total - sum(s * most for (s, _), c in zip(sizes, closed) if c)
+        open_weight = sum(w for (_, w), c in zip(sizes, closed) if not c)
+        new = left / open_weight if open_weight else share
+        if new == share:
+            return [min(w * share, float(s * most)) for s, w in sizes]
+        share = new
+
+
+@pytest.mark.parametrize("most", [1, 2, 3])
+def test_targets_are_those_of_rounds(spark, most):
+    rng = random.Random(most)
+    for sizes in (
+        [(10**rng.randint(0, 9) * rng.randint(0, 9), rng.choice([5, 2, 1])) for _ in range(60)],
+        [(7, 1)] * 5, [(0, 5), (0, 2)], [(3, 5), (0, 2)], [(1 << 40, 1), (1, 5), (1, 2)],
+    ):
+        rows = [(i, s, w) for i, (s, w) in enumerate(sizes)]
+        frame = spark.createDataFrame(rows, "i int, source_size long, weight int")
+        got = [r.target for r in mixing.targets(frame, most).orderBy("i").collect()]
+        assert got == pytest.approx(plain_levels(sizes, most), rel=1e-12)
+
+
 # --- tokens ----------------------------------------------------------------------------------
 
 ODD_TEXTS = [
