@@ -1,9 +1,14 @@
 """Token counts: a broadcast table of frequent pre-tokens, worker caches for the rest, no shuffle.
 
 A byte-level tokenizer splits a text into pre-tokens and encodes each by itself, so a text's count
-is the sum over its pre-tokens. The lengths of those met in a bounded sample of documents are
-broadcast as one compact table; any other pre-token is encoded once by each worker and kept in a
-bounded cache. The table and the caches decide the speed only, never the counts.
+is the sum over its pre-tokens. The lengths of those most frequent in a bounded sample spread over
+the input are broadcast as one compact table; any other pre-token is encoded once by each worker and
+kept in a bounded cache. The table and the caches decide the speed only, never the counts.
+
+A text of plain characters is cut by the pre-token pattern. Any other is first cut in front of white
+space, which no pre-token reaches across from the left: its plain stretches are cut by the pattern,
+the words between them are looked up as they are, and long ones (scripts without spaces) are cut by
+the library's own pre-tokenizer.
 """
 
 from __future__ import annotations
@@ -11,9 +16,10 @@ from __future__ import annotations
 import os
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,8 +27,9 @@ from pyspark.sql import types as T
 from caseflow.llm.common import chunks
 
 VOCABULARY = "byte_bpe_50k.json"
-SAMPLE_DOCS = 1_000
-SAMPLE_TEXT_BYTES = 32 << 10
+# The sample for the table: so many partitions, evenly spread, and so much text of each.
+SAMPLE_PARTITIONS = 256
+SAMPLE_BYTES = 1 << 18
 FREQUENT = 1 << 17
 CACHED = 1 << 19
 LONGEST_CACHED = 64
@@ -35,6 +42,8 @@ PLAIN = re.compile(rf"[\t\n\v\f\r\x20-\x7e{LETTERS}]*")
 PRE_TOKEN = re.compile(
     rf" ?(?:[{LETTERS}]+|[0-9]+)|'(?:[stmd]|re|ve|ll)| ?[^\s0-9{LETTERS}]+|\s+(?!\S)|\s+"
 )
+# In front of white space that follows anything but white space, U+180E counted as both.
+CUT = re.compile(r"(?<=[^\s\u180e])(?=[\t\n\v\f\r ])")
 
 
 def tokenizer(path: str):
@@ -44,8 +53,28 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-def plain(text: str) -> bool:
-    return SPECIAL not in text and PLAIN.fullmatch(text) is not None
+def pieces(text: str, split) -> list[str]:
+    """What a text without the special string is looked up by; ``split`` is the library's pre-tokenizer."""
+    if PLAIN.fullmatch(text):
+        return PRE_TOKEN.findall(text)
+    parts: list[str] = []
+    stretch: list[str] = []
+    for word in CUT.split(text):
+        if PLAIN.fullmatch(word):
+            stretch.append(word)
+            continue
+        parts += PRE_TOKEN.findall("".join(stretch))
+        stretch.clear()
+        parts += [word] if len(word) <= LONGEST_CACHED else split(word)
+    return parts + PRE_TOKEN.findall("".join(stretch))
+
+
+def splitter(model):
+    def split(text: str) -> list[str]:
+        spans = (span for _, span in model.pre_tokenizer.pre_tokenize_str(text))
+        return [text[start:end] for start, end in spans]
+
+    return split
 
 
 class Counting:
@@ -53,6 +82,7 @@ class Counting:
 
     def __init__(self, path: str, keys: bytes, lengths: bytes):
         self.model = tokenizer(path)
+        self.split = splitter(self.model)
         names = keys.decode().split("\0") if lengths else []
         self.table = dict(zip(names, lengths, strict=True))
         self.cache: dict[str, int] = {}
@@ -61,10 +91,11 @@ class Counting:
         return [len(e) for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
     def count(self, text: str) -> int:
-        """The tokens of one text; texts with special strings or rare code points go to the library."""
-        if not plain(text):
-            return self.library([text])[0]
-        parts = PRE_TOKEN.findall(text)
+        """The tokens of one text. The special string is one token wherever it stands."""
+        if SPECIAL in text:
+            between = text.split(SPECIAL)
+            return len(between) - 1 + sum(map(self.count, filter(None, between)))
+        parts = pieces(text, self.split)
         sizes = list(map(self.table.get, parts))
         if None not in sizes:
             return sum(sizes)
@@ -92,15 +123,47 @@ def counter_of(path: str, keys: bytes, lengths: bytes) -> Counting:
     return _counters[path, keys]
 
 
-def frequent_lengths(texts: Iterable[str], path: str) -> tuple[bytes, bytes]:
-    """The most frequent pre-tokens of a sample, joined, and a byte of length for each."""
-    counts: Counter[str] = Counter()
-    for text in filter(plain, texts):
-        counts.update(p for p in PRE_TOKEN.findall(text) if len(p) <= LONGEST_CACHED)
-    names = sorted(name for name, _ in counts.most_common(FREQUENT))
+def frequent(docs: DataFrame, path: str, text: str = "text") -> list[str]:
+    """The most frequent pre-tokens of a sample, in order.
+
+    The sample is the first ``SAMPLE_BYTES`` of text, cut at the end of a document, of
+    ``SAMPLE_PARTITIONS`` partitions spread evenly over the input. Its counts are added up by Spark;
+    the driver gets at most ``FREQUENT`` short pre-tokens.
+    """
+    texts = docs.select(docs[text].cast("string").alias("t"))
+    every = max(1, texts.rdd.getNumPartitions() // SAMPLE_PARTITIONS)
+
+    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if TaskContext.get().partitionId() % every:
+            return
+        split, left = splitter(tokenizer(path)), SAMPLE_BYTES
+        counts: Counter[str] = Counter()
+        for batch in batches:
+            for value in batch.column("t").to_pylist():
+                # The rest of a longer text is not needed; what is cut counts a little wrong here.
+                value = (value or "")[:left].replace(SPECIAL, " ")
+                left -= len(value)
+                counts.update(p for p in pieces(value, split) if len(p) <= LONGEST_CACHED)
+                if left <= 0:
+                    break
+            if left <= 0:
+                break
+        names = [name for name in counts if "\0" not in name]
+        yield pa.RecordBatch.from_pydict(
+            {"name": pa.array(names, pa.string()), "n": pa.array([counts[n] for n in names], pa.int64())}
+        )
+
+    counted = texts.mapInArrow(sample, "name string, n long").groupBy("name").agg(F.sum("n").alias("n"))
+    rows = counted.orderBy(F.col("n").desc(), "name").limit(FREQUENT).select("name").collect()
+    return sorted(r.name for r in rows)
+
+
+def frequent_lengths(names: list[str], path: str) -> tuple[bytes, bytes]:
+    """The pre-tokens, joined, and a byte of length for each."""
     model = tokenizer(path)
     encoded = model.encode_batch_fast(names, add_special_tokens=False) if names else []
-    return "\0".join(names).encode(), bytes(len(e) for e in encoded)
+    known = [(name, len(e)) for name, e in zip(names, encoded, strict=True) if len(e) < 256]
+    return "\0".join(name for name, _ in known).encode(), bytes(n for _, n in known)
 
 
 def count_tokens(
@@ -112,11 +175,8 @@ def count_tokens(
     have), special strings inside texts by its default, no truncation. A null text is empty; an
     empty one has no tokens. Rows are neither dropped nor reordered within a partition.
     """
-    # A bounded sample: which rows it holds changes no count.
-    sample = docs.select(docs[text].cast("string").alias("t"))
-    sample = sample.filter(F.octet_length("t") <= SAMPLE_TEXT_BYTES).limit(SAMPLE_DOCS)
-    texts = (r.t for r in sample.collect())
-    table = docs.sparkSession.sparkContext.broadcast(frequent_lengths(texts, path))
+    # Which rows the sample holds changes no count.
+    table = docs.sparkSession.sparkContext.broadcast(frequent_lengths(frequent(docs, path, text), path))
     rows = docs.select(
         F.struct(*(keep or ["*"])).alias("row"), docs[text].cast("string").alias("_text")
     )

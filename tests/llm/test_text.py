@@ -122,6 +122,45 @@ def test_counts_are_those_of_the_library(spark):
     assert tokens.count_tokens(docs.limit(0), path).count() == 0
 
 
+MIXED = ["word", "Quote", "it's", "“so”", "—", "naïve", "Привет,", "мир", "日本語テキスト。" * 12, "🙂", "42", "x\u180ey",
+         "\u200b", "\x1c", "a\u00a0b", "e\u0301t", "½", "٣٤", "<|endoftext|>", "ǆ", "ʼs", "don’t", "!?", "ส"]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_counts_of_mixed_scripts(seed):
+    """Every cut gives what the library gives for the whole text, with a table and with none."""
+    path = pytest.importorskip("public_tokenizers").path(tokens.VOCABULARY)
+    rng = random.Random(seed)
+    white = [" ", " ", " ", "", "  ", "\n", " \n ", "\t", "\r\n", "\u2003", " \u00a0", "\u180e ", "\x1d"]
+    texts = ["".join(rng.choice(white) + rng.choice(MIXED) for _ in range(rng.randint(1, 60))) for _ in range(400)]
+    texts += ["".join(chr(rng.choice([32, 32, 39, 115, rng.randrange(0x3000), rng.randrange(0xE000, 0x110000)]))
+                      for _ in range(30)) for _ in range(400)]
+    names = sorted({p for t in texts[:200] for p in t.split(" ") if p and "\0" not in p and tokens.SPECIAL not in p})
+    empty, full = (tokens.Counting(path, *tokens.frequent_lengths(n, path)) for n in ([], names))
+    expected = [len(e.ids) for e in empty.model.encode_batch(texts, add_special_tokens=False)]
+    assert [empty.count(t) for t in texts] == expected
+    assert [full.count(t) for t in texts] == expected
+    split = tokens.splitter(empty.model)
+    assert all("".join(tokens.pieces(t, split)) == t for t in texts if tokens.SPECIAL not in t)
+
+
+def test_mixed_scripts_are_answered_by_table_and_cache(spark, monkeypatch):
+    path = pytest.importorskip("public_tokenizers").path(tokens.VOCABULARY)
+    rng = random.Random(5)
+    words = [w for w in MIXED if w not in (tokens.SPECIAL, "\x1c", "\u200b")]
+    texts = [" ".join(rng.choice(words) for _ in range(200)) for _ in range(60)]
+    docs = spark.createDataFrame([(t,) for t in texts] + [(None,), ("",)], "text string").repartition(5)
+    names = tokens.frequent(docs, path)
+    assert {" Quote", " “so”", " Привет,", " don’t"} <= set(names)
+    counting, asked = tokens.Counting(path, *tokens.frequent_lengths(names, path)), []
+    library = counting.library
+    monkeypatch.setattr(counting, "library", lambda missed: asked.extend(missed) or library(missed))
+    for t in texts:
+        counting.count(t)
+    assert sum(map(len, asked)) < 0.02 * sum(map(len, texts))
+    assert tokens.frequent(docs.limit(0), path) == []
+
+
 def test_caches_stay_bounded(monkeypatch):
     path = pytest.importorskip("public_tokenizers").path(tokens.VOCABULARY)
     monkeypatch.setattr(tokens, "CACHED", 5)
