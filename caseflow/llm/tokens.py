@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caseflow.llm.common import chunks
+from caseflow.llm.common import chunks, settle
 
 VOCABULARY = "byte_bpe_50k.json"
 # The sample for the table: so many partitions, evenly spread, and so much text of each.
@@ -124,7 +124,7 @@ def counter_of(path: str, keys: bytes, lengths: bytes) -> Counting:
 
 
 def frequent(docs: DataFrame, path: str, text: str = "text") -> list[str]:
-    """The most frequent pre-tokens of a sample, in order.
+    """The pre-tokens that hold over a ``FREQUENT``-th of a sample, in order of their code points.
 
     The sample is the first ``SAMPLE_BYTES`` of text, cut at the end of a document, of
     ``SAMPLE_PARTITIONS`` partitions spread evenly over the input. Its counts are added up by Spark;
@@ -154,7 +154,10 @@ def frequent(docs: DataFrame, path: str, text: str = "text") -> list[str]:
         )
 
     counted = texts.mapInArrow(sample, "name string, n long").groupBy("name").agg(F.sum("n").alias("n"))
-    rows = counted.orderBy(F.col("n").desc(), "name").limit(FREQUENT).select("name").collect()
+    counted = settle(counted, "pre-tokens")
+    whole = counted.agg(F.sum("n")).scalar()
+    # Fewer than FREQUENT names can each hold more than that part of the whole.
+    rows = counted.filter(F.col("n") * FREQUENT > whole).select("name").collect()
     return sorted(r.name for r in rows)
 
 
