@@ -24,10 +24,10 @@ PASS, WARN, ERROR = "PASS", "WARN", "ERROR"
 class Policy:
     """Counts above a bound warn or fail; ``None`` switches the level off."""
 
-    warn_over: int | None = None
-    error_over: int | None = 0
+    warn_over: float | None = None
+    error_over: float | None = 0
 
-    def status(self, failing: int) -> str:
+    def status(self, failing: float) -> str:
         if self.error_over is not None and failing > self.error_over:
             return ERROR
         if self.warn_over is not None and failing > self.warn_over:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -84,6 +84,49 @@ def category_ranking(volume: DataFrame, by: str = "complaint_family") -> DataFra
     return totals.orderBy(F.col("n_requests").desc(), F.col(by))
 
 
+# Levels of the volume report, each by its columns.
+VOLUME_LEVELS = {
+    "headline": [],
+    "family": ["complaint_family"],
+    "borough": ["borough"],
+    "agency": ["agency"],
+    "day": ["created_date"],
+    "day_family": ["created_date", "complaint_family"],
+    "day_borough": ["created_date", "borough"],
+}
+
+
+def volume_levels(
+    selection: DataFrame, levels: Mapping[str, Sequence[str]] = VOLUME_LEVELS
+) -> DataFrame:
+    """All levels of the volume report in one scan and one shuffle: headline, rankings and series.
+
+    A row per ``level`` and group: the columns a level does not go by are null, the sums and shares
+    are those of ``volume_headline``. A group by a null value keeps its row and its level. Levels by
+    the same columns are one. An empty selection has no rows, not even a headline.
+    """
+    keys = list(dict.fromkeys(c for columns in levels.values() for c in columns))
+
+    def number(columns: Sequence[str]) -> int:
+        """grouping_id: a bit for each column summed over, the first column's the highest."""
+        return sum(1 << (len(keys) - 1 - i) for i, key in enumerate(keys) if key not in columns)
+
+    names = {number(columns): name for name, columns in levels.items()}
+    sums = selection.groupingSets([[F.col(c) for c in cs] for cs in levels.values()], *keys).agg(
+        F.grouping_id().alias("gid"),
+        *[F.sum(c).alias(c) for c in ("n_requests", "n_closed", "n_with_geo")],
+    )
+    label = F.coalesce(*[F.when(F.col("gid") == gid, name) for gid, name in names.items()])
+    whole = F.greatest("n_requests", F.lit(1).cast("long"))
+    return sums.select(
+        label.alias("level"),
+        *keys,
+        "n_requests",
+        ratio(F.col("n_closed"), whole).alias("share_closed"),
+        (F.lit(1.0) - ratio(F.col("n_with_geo"), whole)).alias("share_without_geo"),
+    )
+
+
 def borough_list(volume: DataFrame) -> DataFrame:
     return volume.select("borough").distinct().orderBy("borough")
 

@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from caseflow.plans import profile_shift as shift
 from caseflow.plans import reports as r
 from caseflow.plans.refresh import check_results
 from caseflow.queries import model, quality
@@ -268,7 +269,74 @@ G15_SQL = t.over_staged(
     round(count_if(borough is null) / count(*), 9) as no_borough from requests"""
 )
 
+def g3_levels(spark, sf_dir):
+    return r.volume_levels(r.volume_selection(model.f1(spark, sf_dir)))
+
+
+G3_LEVELS_SQL = t.over_marts(
+    """select case grouping_id(complaint_family, borough, agency, created_date)
+            when 15 then 'headline' when 7 then 'family' when 11 then 'borough' when 13 then 'agency'
+            when 14 then 'day' when 6 then 'day_family' when 10 then 'day_borough' end as level,
+        complaint_family, borough, agency, created_date, sum(n_requests)::bigint as n_requests,
+        sum(n_closed)::double / greatest(sum(n_requests), 1) as share_closed,
+        1 - sum(n_with_geo)::double / greatest(sum(n_requests), 1) as share_without_geo
+    from volume where borough <> 'UNKNOWN' and created_date between
+        (select min(created_date) from volume)
+        and (select greatest(min(created_date), max(created_date) - 1) from volume)
+    group by grouping sets ((), (complaint_family), (borough), (agency), (created_date),
+        (created_date, complaint_family), (created_date, borough))"""
+)
+
+
+def g15_shift(spark, sf_dir):
+    """Landed text by the month it was landed in, each month against the one before."""
+    raw = t.raw_requests(spark, sf_dir)
+    bins = {c: F.col(c) for c in ("agency", "status", "borough")}
+    bins["latitude"] = shift.numeric_bin(F.col("latitude"), [40.25, 40.5, 40.75])
+    bins["incident_zip"] = F.substring(F.trim("incident_zip"), 1, 4)
+    return shift.shifts(shift.profile(raw, F.substring("_ingested_at", 1, 7), bins))
+
+
+G15_SHIFT_SQL = t.with_ctes(
+    """select landing, previous, col as "column", sum(n)::bigint as n_rows, count(*) as n_bins,
+        round(coalesce(sum(n) filter (bin is null), 0) / sum(n), 6) as null_rate,
+        round(coalesce(sum(n_before) filter (bin is null), 0) / sum(n_before), 6) as previous_null_rate,
+        round(max(abs(n / rows - n_before / rows_before)), 6) as largest_gap,
+        round(sum((p - q) * ln(p / q)), 6) as psi,
+        case when psi > 0.25 then 'ERROR' when psi > 0.1 then 'WARN' else 'PASS' end as status
+    from (select *, (n + 0.5::double) / (rows + 0.5::double * n_bins) as p,
+              (n_before + 0.5::double) / (rows_before + 0.5::double * n_bins) as q
+          from (select *, sum(n) over pair as rows, sum(n_before) over pair as rows_before,
+                    count(*) over pair as n_bins
+                from (select m.landing, m.previous, c.col, c.bin,
+                          coalesce(sum(c.n) filter (c.landing = m.landing), 0) as n,
+                          coalesce(sum(c.n) filter (c.landing = m.previous), 0) as n_before
+                      from months m join counts c on c.landing in (m.landing, m.previous)
+                      where m.previous is not null group by all)
+                window pair as (partition by landing, col)))
+    group by landing, previous, col""",
+    t.RAW_SQL,
+    """cells as (
+        select left(_ingested_at, 7) as landing, agency, status, borough,
+            case when isnan(lat) then null else (lat >= 40.25)::int + (lat >= 40.5)::int
+                + (lat >= 40.75)::int end::varchar as latitude,
+            left(trim(incident_zip), 4) as incident_zip
+        from (select *, try_cast(case when latitude similar to '[-0-9.]+' then latitude end as double) as lat
+              from raw_requests)
+    )""",
+    """counts as (
+        select landing, col, bin, count(*) as n from (
+            select landing, unnest(['agency', 'status', 'borough', 'latitude', 'incident_zip']) as col,
+                unnest([agency, status, borough, latitude, incident_zip]) as bin from cells)
+        group by all
+    )""",
+    "months as (select landing, lag(landing) over (order by landing) as previous"
+    " from (select distinct landing from counts))",
+)
+
 QUERIES = {
+    "g3_volume_levels": (g3_levels, G3_LEVELS_SQL),
+    "g15_profile_shift": (g15_shift, G15_SHIFT_SQL),
     "g1_freshness_label": (g1, G1_SQL),
     "g2_volume_selection": (g2, G2_SQL),
     "g3_family_ranking": (
