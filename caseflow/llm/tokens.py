@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -124,7 +124,7 @@ def counter_of(path: str, keys: bytes, lengths: bytes) -> Counting:
 
 
 def frequent(docs: DataFrame, path: str, text: str = "text") -> list[str]:
-    """The pre-tokens that hold over a ``FREQUENT``-th of a sample, in order of their code points.
+    """The pre-tokens of a sample with the highest counts, at most ``FREQUENT``, in code point order.
 
     The sample is the first ``SAMPLE_BYTES`` of text, cut at the end of a document, of
     ``SAMPLE_PARTITIONS`` partitions spread evenly over the input. Its counts are added up by Spark;
@@ -155,9 +155,11 @@ def frequent(docs: DataFrame, path: str, text: str = "text") -> list[str]:
 
     counted = texts.mapInArrow(sample, "name string, n long").groupBy("name").agg(F.sum("n").alias("n"))
     counted = settle(counted, "pre-tokens")
-    whole = counted.agg(F.sum("n")).scalar()
-    # Fewer than FREQUENT names can each hold more than that part of the whole.
-    rows = counted.filter(F.col("n") * FREQUENT > whole).select("name").collect()
+    # The least count that no more than FREQUENT names reach, from the number of names by count.
+    by_count = counted.groupBy("n").agg(F.count("*").alias("names"))
+    reached = F.sum("names").over(Window.orderBy(F.col("n").desc()))
+    least = by_count.select("n", reached.alias("names")).filter(F.col("names") <= FREQUENT)
+    rows = counted.filter(F.col("n") >= least.agg(F.min("n")).scalar()).select("name").collect()
     return sorted(r.name for r in rows)
 
 

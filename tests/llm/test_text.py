@@ -159,6 +159,9 @@ def test_mixed_scripts_are_answered_by_table_and_cache(spark, monkeypatch):
         counting.count(t)
     assert sum(map(len, asked)) < 0.02 * sum(map(len, texts))
     assert tokens.frequent(docs.limit(0), path) == []
+    monkeypatch.setattr(tokens, "FREQUENT", 7)
+    few = tokens.frequent(docs.union(spark.createDataFrame([(" rare",), ("x x x",)], "text string")), path)
+    assert 0 < len(few) <= 7 and " rare" not in few
 
 
 def test_caches_stay_bounded(monkeypatch):
