@@ -39,9 +39,11 @@ def durations(fact: DataFrame, runs: DataFrame) -> DataFrame:
 def survival_curve(counts: DataFrame) -> DataFrame:
     """Add ``n_at_risk`` (took at least as long) and ``share_open`` (open beyond that duration)."""
     upward = Window.partitionBy("agency").orderBy("minutes")
-    later = upward.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    everything = upward.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     upto = upward.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    at_risk = counts.withColumn("n_at_risk", F.sum(F.col("n_closed") + F.col("n_open")).over(later))
+    # Not a sum over the rows that follow: Spark adds those up anew for every row.
+    n = F.col("n_closed") + F.col("n_open")
+    at_risk = counts.withColumn("n_at_risk", F.sum(n).over(everything) - F.sum(n).over(upto) + n)
     stays = F.lit(1.0) - F.col("n_closed") / F.col("n_at_risk")
     return at_risk.withColumn("share_open", F.product(stays).over(upto))
 

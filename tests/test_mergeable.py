@@ -269,3 +269,15 @@ def test_open_requests_are_censored(spark):
     assert a.share_open_after_90d == 0.0 and a.median_hours_to_close == 40 * 24.0
     assert (b.n_closed, b.share_open_after_90d, b.median_hours_to_close) == (0, 1.0, None)
     assert survival.close_survival(counts.limit(0)).collect() == []
+
+
+def test_at_risk_is_no_sum_over_the_rest_for_every_row(spark):
+    rows = [("A", m, m % 3, m % 2) for m in range(50)] + [("B", 7, 1, 4)]
+    counts = spark.createDataFrame(rows, "agency string, minutes long, n_closed long, n_open long")
+    curve = survival.survival_curve(counts)
+    plan = curve._jdf.queryExecution().executedPlan().toString().lower()
+    assert "currentrow$(), unboundedfollowing$()" not in plan
+    later = lambda a, m: sum(c + o for b, n, c, o in rows if b == a and n >= m)
+    assert {(r.agency, r.minutes): r.n_at_risk for r in curve.collect()} == {
+        (a, m): later(a, m) for a, m, _, _ in rows
+    }
