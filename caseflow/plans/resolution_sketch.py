@@ -15,6 +15,7 @@ from caseflow.functions.dates import week_start
 from caseflow.operators.incremental import on_keys
 from caseflow.operators.quantiles import round1
 from caseflow.plans.marts import created_in_coverage
+from caseflow.session import materialise
 
 KEYS = ["week_start", "agency"]
 K = 800
@@ -59,7 +60,8 @@ def next_state(before: DataFrame, after: DataFrame, current: DataFrame, build: i
     something are read. Null keys equal each other.
     """
     same = ["unique_key", *KEYS, "minutes"]
-    lost = on_keys(before, after, same, "left_anti").select(*KEYS).distinct()
+    # Written, as its inputs would be computed again for each of its uses.
+    lost = materialise(on_keys(before, after, same, "left_anti").select(*KEYS).distinct(), "lost")
     fresh = on_keys(on_keys(after, before, same, "left_anti"), lost, KEYS, "left_anti")
     drawn = sketched(on_keys(current, lost, KEYS, "left_semi"), build, resets=True)
     # A group that has lost its last request is reset to nothing.

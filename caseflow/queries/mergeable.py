@@ -23,6 +23,20 @@ from caseflow.sources.runlog import coverage_start
 
 # The requests land in three parts; each closes, reopens and moves requests of the parts before.
 PARTS = ["v2", "v4", "v7"]
+# What the marts and the sketches read of the fact: the builds compute no more of it.
+FACT_COLUMNS = [
+    "unique_key",
+    "created_at",
+    "created_date",
+    "agency_key",
+    "complaint_type_key",
+    "borough",
+    "status",
+    "has_geo",
+    "is_closed",
+    "hours_to_close",
+    "open_age_days",
+]
 
 
 class Build(NamedTuple):
@@ -38,24 +52,30 @@ def builds(spark, sf_dir) -> list[Build]:
     version, before = F.col("sys_version"), None
     for part in PARTS:
         staged = latest_requests(raw.filter(version <= part))
-        fact = materialise(fct_service_requests(staged, t.REQUESTS_AS_OF), "fact")
-        keys = raw.filter(version <= part).filter((version > before) if before else F.lit(True))
-        old = touched(done[-1].fact, keys) if done else None
-        done.append(Build(fact, old, touched(fact, keys) if done else fact))
+        fact = fct_service_requests(staged, t.REQUESTS_AS_OF).select(*FACT_COLUMNS)
+        fact = materialise(fact, "fact")
+        if done:
+            landed = raw.filter(version <= part).filter(version > before)
+            keys = materialise(landed.select("unique_key").distinct(), "keys")
+            done.append(Build(fact, touched(done[-1].fact, keys), touched(fact, keys)))
+        else:
+            done.append(Build(fact, None, fact))
         before = part
     return done
 
 
 def f2_sketch(spark, sf_dir):
     """State of three builds, each written once; quantiles are compared in rank with the durations."""
-    runs, root = t.request_runs(spark, sf_dir), scratch_path(spark, "resolution")
+    runs = materialise(t.request_runs(spark, sf_dir), "runs")
+    root = scratch_path(spark, "resolution")
     for number, build in enumerate(builds(spark, sf_dir)):
         new = rs.durations(build.new, runs)
         if build.old is None:
             rows = rs.sketched(new, number)
         else:
             current = rs.durations(build.fact, runs)
-            rows = rs.next_state(rs.durations(build.old, runs), new, current, number)
+            old = materialise(rs.durations(build.old, runs), "old")
+            rows = rs.next_state(old, materialise(new, "new"), current, number)
         rows.drop("build").write.parquet(f"{root}/build={number}")
     state = spark.read.parquet(root)
     errors = rs.rank_errors(state, rs.durations(build.fact, runs))

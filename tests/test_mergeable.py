@@ -14,6 +14,9 @@ from caseflow.plans import landing_sketch as ls
 from caseflow.plans import resolution_sketch as rs
 from caseflow.plans import survival
 from caseflow.plans.marts import mart_open_backlog
+from caseflow.queries import mergeable
+from caseflow.queries import tables as t
+from caseflow.session import materialise
 
 WEEK = date(2026, 9, 7)
 
@@ -281,3 +284,49 @@ def test_at_risk_is_no_sum_over_the_rest_for_every_row(spark):
     assert {(r.agency, r.minutes): r.n_at_risk for r in curve.collect()} == {
         (a, m): later(a, m) for a, m, _, _ in rows
     }
+
+
+# --- the builds over the given tables ----------------------------------------------------------
+
+
+@pytest.fixture
+def small_tables(spark, tmp_path):
+    """Ten orders of three lines each; one line without an order, one order without a customer."""
+    day = "timestamp '1998-03-01'"
+    lines = spark.range(30).selectExpr(
+        "id % 10 as l_orderkey", "cast(id div 10 + 1 as int) as l_linenumber", "id as l_partkey",
+        "id as l_suppkey", "'N' as l_returnflag", "if(id % 2 = 0, 'F', 'O') as l_linestatus",
+        f"{day} + make_dt_interval(cast(id as int)) as l_shipdate",
+    )
+    lost = lines.limit(1).withColumn("l_orderkey", F.lit(99).cast("long"))
+    lines.unionByName(lost).write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders = "id as o_orderkey", "id % 4 as o_custkey", f"{day} as o_orderdate", "'1-URGENT' as o_orderpriority"
+    spark.range(10).selectExpr(*orders).write.parquet(f"{tmp_path}/orders.parquet")
+    customers = "id as c_custkey", "cast(id as int) as c_nationkey", "'BUILDING' as c_mktsegment"
+    spark.range(3).selectExpr(*customers).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield str(tmp_path)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_landed_lines_lie_by_their_key(spark, small_tables):
+    for made in (t.requests(spark, small_tables), t.versions(spark, small_tables)):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        above = plan[: plan.index("SortMergeJoin")]
+        assert "Window" in above and "Exchange" not in above
+    assert t.requests(spark, small_tables).count() == 8
+    assert t.versions(spark, small_tables).count() == 24
+
+
+def test_builds_read_the_landed_lines_once_each(spark, small_tables):
+    done = mergeable.builds(spark, small_tables)
+    for build in done:
+        for rows in (build.fact, build.old, build.new):
+            assert rows is None or not any("lineitem" in file for file in rows.inputFiles())
+    assert [b.old.count() if b.old else None for b in done] == [None, 8, 0]
+    assert [b.new.count() for b in done] == [8, 8, 0]
+
+
+def test_scratch_tables_are_packed(spark, tmp_path):
+    written = materialise(spark.range(5), "packed")
+    assert all(".zstd." in f for f in written.inputFiles()) and written.count() == 5
