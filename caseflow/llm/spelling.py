@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from caseflow.llm.common import UPPER, settle
 
-BETWEEN = r"[^A-Za-zÀ-ÿ]+"
+LETTERS = "[A-Za-zÀ-ÿ]"
 LEAST_LETTERS = 7
 LEAST_COUNT = 2
 TIMES = 10  # a form is so many times as frequent
@@ -47,14 +47,12 @@ OWN, SAME, LONGER, HOME = 1, 2, 4, 8  # why a word is in a cell: it lies or sear
 def runs(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", least_letters: int = 1) -> DataFrame:
     """``doc_id, run`` of every maximal run of so many Latin letters, A-Z lower-cased. A null text
     has none."""
-    run = F.explode(F.split(docs[text].cast("string"), BETWEEN)).alias("run")
+    # A search takes whole runs only, and makes no text of shorter ones.
+    whole = F.lit(f"{LETTERS}{{{max(least_letters, 1)},}}")
+    run = F.explode(F.regexp_extract_all(docs[text].cast("string"), whole, F.lit(0))).alias("run")
     upper = UPPER.decode()
     lowered = F.translate("run", upper, upper.lower()).alias("run")
-    return (
-        docs.select(docs[doc_id].alias("doc_id"), run)
-        .filter(F.length("run") >= least_letters)
-        .select("doc_id", lowered)
-    )
+    return docs.select(docs[doc_id].alias("doc_id"), run).select("doc_id", lowered)
 
 
 def points(words: list[str]) -> np.ndarray:

@@ -84,6 +84,19 @@ def test_slips(spark):
     assert Counter(r.word for r in words) == wanted
 
 
+def test_short_runs_are_not_cut_out_first(spark):
+    """No text is made of runs that are too short; long ones come whole, beside anything."""
+    long = "Ab" * 400_000
+    texts = [(1, f"{long}1abcdefg_ABCDEFÿ\U0001f600abcdef abcdefgh"), (2, None), (3, ""), (4, "abcdef")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = spelling.runs(docs, least_letters=7)
+    assert sorted(tuple(r) for r in found.collect()) == [
+        (1, long.lower()), (1, "abcdefg"), (1, "abcdefgh"), (1, "abcdefÿ")
+    ]
+    assert "split(" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert spelling.runs(docs).count() == 6
+
+
 def given(spark, counts):
     rows = [(w, n) for w, n in counts.items()]
     df = spark.createDataFrame(rows, "word string, n int")
