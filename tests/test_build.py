@@ -151,6 +151,70 @@ def test_stored_rows_are_merged_where_they_lie(spark, wh, monkeypatch):
     assert len(files) <= wh.settings.buckets
 
 
+def test_facts_and_sequences_are_made_where_their_rows_lie(spark, wh, monkeypatch):
+    land(wh, "run0", *BATCHES[0])
+    build(wh)
+    written = {}
+    plain = Warehouse._write
+
+    def watched(self, name, placed, through):
+        written[name] = exchanges_over_scan(placed, "caseflow_")
+        plain(self, name, placed, through)
+
+    monkeypatch.setattr(Warehouse, "_write", watched)
+    land(wh, "run1", *BATCHES[1])
+    b.build_staging(wh)
+    written.clear()
+    changed = spark.createDataFrame([("50003",), ("50004",), ("50004",), (None,)], "unique_key string")
+    b.build_fact(wh, AS_OF, changed)
+    b.build_history(wh, changed)
+    assert written == {b.FACT: [], b.HISTORY: []}
+    assert not {"_key"} & {*wh.read(b.FACT).columns, *wh.read(b.HISTORY).columns}
+
+
+def test_a_large_table_gets_more_buckets(spark, tmp_path):
+    """Also one that outgrows those it has; the rows are the same in any number of them."""
+    wh = Warehouse(spark, str(tmp_path / "wh"), Settings(buckets=2, bucket_rows=8))
+    seen = []
+    for i, records in enumerate([many(10, range(5)), many(11, range(30)), many(12, range(3))]):
+        land(wh, f"run{i}", f"2026-09-1{i + 2}T02:00:00", records)
+        build(wh)
+        seen.append([wh.build_mark(n)["buckets"] for n in (b.REQUESTS, b.VERSIONS, b.FACT, b.HISTORY)])
+    assert seen == [[2] * 4, [4] * 4, [4] * 4]
+    raw = wh.raw()
+    requests, versions = latest_requests(raw), request_versions(raw)
+    for name, whole in [
+        (b.REQUESTS, requests),
+        (b.VERSIONS, versions),
+        (b.FACT, fct_service_requests(requests, AS_OF)),
+        (b.HISTORY, fct_request_status_history(versions)),
+    ]:
+        again = Warehouse(spark, wh.root, wh.settings)
+        assert same_rows(again.read(name), whole)
+
+
+def test_rows_of_unknown_number_are_sorted_in_many_tasks(spark, wh, monkeypatch):
+    """Their partitions are a multiple of the buckets, so each holds rows of one bucket only."""
+    parts = {}
+    plain = Warehouse._write
+
+    def watched(self, name, placed, through):
+        parts[name] = placed.rdd.getNumPartitions()
+        plain(self, name, placed, through)
+
+    monkeypatch.setattr(Warehouse, "_write", watched)
+    rows = spark.range(1000).selectExpr("cast(id as string) as unique_key", "id as n")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "10")
+    try:
+        wh.create("t", rows, None)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert parts == {"t": 12}
+    files = spark.read.parquet(wh.path(wh.build_mark("t")["path"])).inputFiles()
+    assert len(files) <= 12 and same_rows(wh.read("t"), rows)
+
+
 def test_null_keys_are_merged_like_others(spark, wh):
     new = spark.createDataFrame([(None, "a", 1), ("x", "a", 1)], "unique_key string, v string, n int")
     wh.append_unseen("t", new, ["unique_key", "v"], None)
