@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -61,9 +63,16 @@ def typed_requests(raw: DataFrame) -> DataFrame:
     )
 
 
-def latest_requests(raw: DataFrame) -> DataFrame:
-    """One typed row per request: its newest version."""
-    return typed_requests(latest_per_key(raw))
+def latest_requests(
+    raw: DataFrame, completed: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
+    """One typed row per request: its newest version.
+
+    ``completed`` makes the raw columns that ranking versions does not need, of the rows that stay:
+    the sort then holds narrow rows.
+    """
+    newest = latest_per_key(raw)
+    return typed_requests(completed(newest) if completed else newest)
 
 
 def request_versions(raw: DataFrame) -> DataFrame:

@@ -77,9 +77,8 @@ def text(c: Column) -> Column:
     return c.cast("string")
 
 
-@lru_cache(maxsize=4)
-def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed text rows: lineitem, its order and the customer.
+def landed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineitem, its order and the customer, with the columns of a landed row that tell versions apart.
 
     Lines meet their order under the request's key as it is landed: what is grouped by that key
     afterwards lies there already, and the narrow columns are shuffled, not the text made of them.
@@ -104,8 +103,31 @@ def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_shipdate").cast("timestamp_ntz").alias("shipped"),
     )
     rows = lines.join(orders.join(customers, "ck"), "unique_key")
+    updated = updated_at()
+    sys_id = F.concat_ws(
+        "-", F.lit("row"), "k", "ln", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"
+    )
+    return rows.withColumns(
+        {
+            "sys_id": sys_id,
+            "sys_updated_at": F.concat(iso_text(updated), F.lit("Z")),
+            "_ingested_at": F.concat(text(landing_day(updated)), F.lit("T00:00:00")),
+        }
+    )
+
+
+def updated_at() -> Column:
+    return minutes_after(F.col("shipped"), F.col("ln") * 60 + F.col("k") % 60)
+
+
+def landing_day(updated: Column) -> Column:
+    return F.to_date(F.date_add(F.to_date(updated), 1))
+
+
+def landed_text(rows: DataFrame) -> DataFrame:
+    """The landed text rows of the joined ones."""
     k, ck, nk, ln = (F.col(c) for c in ("k", "ck", "nk", "ln"))
-    updated = minutes_after(F.col("shipped"), ln * 60 + k % 60)
+    updated = updated_at()
     closing = (F.col("l_linestatus") == "F") | (k % 10 == 0)
     closed_text = F.when(k % 97 == 0, "not yet").when(
         closing, iso_text(minutes_after(updated, k % 977))
@@ -115,13 +137,10 @@ def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linestatus") == "F",
         F.when(k % 5 == 0, " closed ").when(k % 5 == 1, "CLOSED").otherwise("Closed"),
     ).otherwise(pick((k + ln) % 8, OPEN_STATUSES))
-    ingested = F.to_date(F.date_add(F.to_date(updated), 1))
-    day = text(ingested)
+    day = text(landing_day(updated))
     return rows.select(
-        F.concat_ws(
-            "-", F.lit("row"), k, ln, "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"
-        ).alias("sys_id"),
-        F.concat(iso_text(updated), F.lit("Z")).alias("sys_updated_at"),
+        "sys_id",
+        "sys_updated_at",
         F.concat(iso_text("ordered"), F.lit("Z")).alias("sys_created_at"),
         F.concat(F.lit("v"), text(ln)).alias("sys_version"),
         "unique_key",
@@ -168,11 +187,17 @@ def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("longitude"),
         F.concat(F.lit("run-"), day).alias("_run_id"),
         F.concat(F.lit("run-"), day, F.lit("-0000")).alias("_batch_id"),
-        F.concat(day, F.lit("T00:00:00")).alias("_ingested_at"),
+        "_ingested_at",
         F.when(ln == 7, '{"line":7}').alias("_extra"),
     )
 
 
+@lru_cache(maxsize=4)
+def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed text rows: lineitem, its order and the customer."""
+    return landed_text(landed_lines(spark, sf_dir))
+
+
 RAW_SQL = rf"""
 lines as (
     select l_orderkey as k, l_linenumber as ln, o_custkey as ck, c_nationkey as nk, c_mktsegment,
@@ -291,7 +316,7 @@ coverage as (
 
 @lru_cache(maxsize=4)
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest_requests(raw_requests(spark, sf_dir))
+    return latest_requests(landed_lines(spark, sf_dir), landed_text)
 
 
 @lru_cache(maxsize=4)

@@ -14,6 +14,7 @@ from caseflow.plans import landing_sketch as ls
 from caseflow.plans import resolution_sketch as rs
 from caseflow.plans import survival
 from caseflow.plans.marts import mart_open_backlog
+from caseflow.plans.staging import latest_requests
 from caseflow.queries import mergeable
 from caseflow.queries import tables as t
 from caseflow.session import materialise
@@ -318,6 +319,14 @@ def test_landed_lines_lie_by_their_key(spark, small_tables):
     assert t.versions(spark, small_tables).count() == 24
 
 
+def test_versions_are_ranked_before_their_text_is_made(spark, small_tables):
+    made = t.requests(spark, small_tables)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "Main Street" in plan[: plan.index("Window ")]
+    assert "Main Street" not in plan[plan.index("Window ") :]
+    assert same_rows(made, latest_requests(t.raw_requests(spark, small_tables)))
+
+
 def test_builds_read_the_landed_lines_once_each(spark, small_tables):
     done = mergeable.builds(spark, small_tables)
     for build in done:
