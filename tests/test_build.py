@@ -7,13 +7,13 @@ from conftest import lines, record, rows, same_rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from caseflow.operators.incremental import latest_per_key, merge_latest, upsert
+from caseflow.operators.incremental import latest_per_key, merge_latest, newest_of_batches, upsert
 from caseflow.operators.sequence import number_versions
 from caseflow.plans import build as b
 from caseflow.plans.core import fct_request_status_history, fct_service_requests
 from caseflow.plans import quality
 from caseflow.plans.refresh import Refresh, check_results, refresh, run_checks
-from caseflow.plans.staging import latest_requests, request_versions
+from caseflow.plans.staging import REQUEST_COLUMNS, latest_requests, request_versions
 from caseflow.plans.store import MARK_FIELDS, Warehouse
 from caseflow.schema import Settings
 from caseflow.sources.landing import normalise, write_batch
@@ -444,3 +444,44 @@ def test_a_check_that_passes_again_leaves_no_rows(spark, wh):
     again = refresh(wh, feed(spark, mended), now=datetime(2026, 9, 13, 2), as_of=AS_OF)
     assert {r.check.name: r.status for r in again.results}["closed_not_before_created"] == "PASS"
     assert not [f for f in os.listdir(folder) if f.startswith("build=")]
+
+
+def test_an_increment_is_brought_to_its_buckets_once(spark, wh):
+    """New rows are ranked and merged in the buckets of their table: one shuffle each, and no sort
+    of the rows read before it."""
+    raw = normalise(lines(spark, first_batch()), "r1", "r1-0000", "2026-09-10T00:00:00").cache()
+    plans, write = [], wh._write
+
+    def seen(name, placed, through):
+        plans.append(placed._jdf.queryExecution().executedPlan().toString())
+        write(name, placed, through)
+
+    wh._write = seen
+    for make in (b.build_requests, b.build_versions):
+        for _ in range(2):  # a first build and a merge
+            make(wh, raw)
+            ranked, *read = plans[-1].split("Exchange hashpartitioning")
+            assert len(read) == 1 and "Sort [" in ranked and "Sort [" not in read[0]
+    assert same_rows(wh.read(b.REQUESTS), latest_requests(raw))
+    assert same_rows(wh.read(b.VERSIONS), request_versions(raw))
+
+
+def test_newest_of_batches_drops_nothing_that_could_be_newest(spark):
+    data = [
+        ("a", "2", "1", "x"), ("a", "2", "1", "y"), ("a", None, "9", "z"), ("a", "10", "9", "z"),
+        (None, "1", None, "x"), (None, "1", "0", "x"), (None, None, None, None),
+        ("", None, None, "q"), ("", None, None, None), ("\u00e9", "1", "1", "1"),
+    ]
+    schema = "unique_key string, sys_updated_at string, _ingested_at string, sys_id string"
+    df = spark.createDataFrame(data, schema)
+    expected = latest_per_key(df)
+    assert same_rows(newest_of_batches(df.coalesce(1)), expected)
+    for n in (2, 7):
+        assert same_rows(latest_per_key(newest_of_batches(df.repartition(n))), expected)
+    assert newest_of_batches(df.limit(0)).isEmpty()
+
+
+def test_requests_are_made_of_the_listed_columns(spark):
+    """The rows brought to the buckets are narrowed first; typing and ranking need no other column."""
+    raw = normalise(lines(spark, first_batch()), "r1", "r1-0000", "2026-09-10T00:00:00")
+    assert same_rows(latest_requests(raw.select(*REQUEST_COLUMNS)), latest_requests(raw))
