@@ -101,7 +101,9 @@ def near_links(fps: DataFrame) -> DataFrame:
         "_fp", F.inline(_steps(F.col("_cell")))
     )
     crowded = dealt.groupBy("cell").agg(F.count("*").alias("n")).filter("n > 1").select("cell")
-    kept = dealt.join(crowded, "cell")
+    # Spark sizes the dealt rows by the fingerprints they are made of, 33 times too low: no side of
+    # this join may be broadcast.
+    kept = dealt.join(crowded.hint("merge"), "cell")
     # In its own cell a fingerprint can only meet itself as a shared value.
     flips = [F.expr(f"shiftleft(1L, segment * 4 + {j})") for j in range(4)]
     flipped = F.array_compact(

@@ -74,6 +74,13 @@ def test_links_find_exactly_the_pairs_within_two_bits(spark):
     assert len(set(zip(mine, expected, strict=True))) == len(set(mine)) == len(set(expected))
 
 
+def test_dealt_fingerprints_are_not_broadcast(spark):
+    # Each is dealt to up to 33 cells, which the size of the fingerprints says nothing of.
+    links = sh.near_links(spark.createDataFrame([(p,) for p in range(9)], "_fp long"))
+    assert links.collect()
+    assert "Broadcast" not in links._jdf.queryExecution().executedPlan().toString()
+
+
 def near_docs():
     rng = random.Random(5)
     vocabulary = [f"word{i}" for i in range(400)]
