@@ -14,9 +14,11 @@ from caseflow.plans.core import fct_request_status_history, fct_service_requests
 from caseflow.plans import quality
 from caseflow.plans.refresh import Refresh, check_results, refresh, run_checks
 from caseflow.plans.staging import REQUEST_COLUMNS, latest_requests, request_versions
-from caseflow.plans.store import MARK_FIELDS, Warehouse
+from caseflow.plans.store import KEYED, MARK_FIELDS, WRITERS, Warehouse
 from caseflow.schema import Settings
+from caseflow.session import held
 from caseflow.sources.landing import normalise, write_batch
+from caseflow.streaming import landing_stream
 from caseflow.streaming.landing_stream import run_available
 
 AS_OF = datetime(2026, 9, 15)
@@ -215,6 +217,65 @@ def test_rows_of_unknown_number_are_sorted_in_many_tasks(spark, wh, monkeypatch)
     assert len(files) <= 12 and same_rows(wh.read("t"), rows)
 
 
+def test_rows_are_written_to_their_buckets_without_a_sort(spark, wh):
+    """They stay in the order they come in, also where a task has rows of several buckets."""
+    rows = spark.range(400).selectExpr("cast(id as string) as unique_key", "id as n")
+    for buckets in (4, 16):
+        wh.expect("t", buckets * wh.settings.bucket_rows)
+        placed = wh._placed("t", rows, 4).sortWithinPartitions(F.desc(KEYED))
+        wh._write("t", placed, None)
+        assert spark.conf.get(WRITERS[0]) == "0" and same_rows(wh.read("t"), rows)
+        files = wh.read("t", keyed=True).select(F.input_file_name().alias("f"), KEYED).collect()
+        by_file = {f: [k for at, k in files if at == f] for f, _ in files}
+        assert len(by_file) == buckets
+        descending = [f for f, keys in by_file.items() if keys == sorted(keys, reverse=True)]
+        assert len(descending) >= 4
+
+
+def test_a_held_setting_is_restored_once_the_last_has_ended(spark):
+    name = WRITERS[0]
+    before = spark.conf.get(name)
+    outer, inner = held(spark, name, "3"), held(spark, name, "3")
+    outer.__enter__()
+    inner.__enter__()
+    outer.__exit__(None, None, None)
+    assert spark.conf.get(name) == "3"
+    inner.__exit__(None, None, None)
+    assert spark.conf.get(name) == before
+
+
+def test_stored_rows_meet_keys_without_an_order(spark, wh):
+    """Unless the buckets have become too few for the keys."""
+    wh.create("t", spark.range(40).selectExpr("cast(id as string) as unique_key", "id as n"), None)
+    keys = spark.createDataFrame([("7",), ("x",)], "unique_key string")
+    for rows, join, other in [(0, "ShuffledHashJoin", "Sort"), (9 * 500_000, "SortMergeJoin", "Broadcast")]:
+        wh.expect("t", rows)
+        found = wh.rows_of("t", keys)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert join in plan and other not in plan and rows_as_tuples(found) == [("7", 7)]
+    new = spark.createDataFrame([("7", 70)], "unique_key string, n long")
+    wh.replace_keys("t", new, keys, None)
+    assert wh.read("t").filter("unique_key = '7'").collect() == new.collect()
+    assert wh.read("t").count() == 40 and wh.buckets_of("t") == 16
+
+
+def test_only_the_keys_of_a_micro_batch_are_kept(spark, wh, monkeypatch):
+    seen, before = [], len(spark._jsc.getPersistentRDDs())
+    for name in ("build_requests", "build_versions", "build_fact", "build_history"):
+        plain = getattr(landing_stream, name)
+
+        def watched(wh, *frames, plain=plain, name=name):
+            seen.append((name, frames[name == "build_fact"].is_cached))
+            return plain(wh, *frames)
+
+        monkeypatch.setattr(landing_stream, name, watched)
+    batch = normalise(lines(spark, first_batch()), "r1", "r1-0000", "2026-09-10T00:00:00")
+    landing_stream.fold_batch(wh, batch, AS_OF)
+    assert [kept for _, kept in seen] == [False, False, True, True]
+    assert len(spark._jsc.getPersistentRDDs()) == before
+    assert same_rows(wh.read(b.FACT), fct_service_requests(latest_requests(batch), AS_OF))
+
+
 def test_null_keys_are_merged_like_others(spark, wh):
     new = spark.createDataFrame([(None, "a", 1), ("x", "a", 1)], "unique_key string, v string, n int")
     wh.append_unseen("t", new, ["unique_key", "v"], None)
