@@ -259,21 +259,30 @@ def test_stored_rows_meet_keys_without_an_order(spark, wh):
     assert wh.read("t").count() == 40 and wh.buckets_of("t") == 16
 
 
-def test_only_the_keys_of_a_micro_batch_are_kept(spark, wh, monkeypatch):
-    seen, before = [], len(spark._jsc.getPersistentRDDs())
-    for name in ("build_requests", "build_versions", "build_fact", "build_history"):
-        plain = getattr(landing_stream, name)
-
-        def watched(wh, *frames, plain=plain, name=name):
-            seen.append((name, frames[name == "build_fact"].is_cached))
-            return plain(wh, *frames)
-
-        monkeypatch.setattr(landing_stream, name, watched)
-    batch = normalise(lines(spark, first_batch()), "r1", "r1-0000", "2026-09-10T00:00:00")
-    landing_stream.fold_batch(wh, batch, AS_OF)
-    assert [kept for _, kept in seen] == [False, False, True, True]
-    assert len(spark._jsc.getPersistentRDDs()) == before
-    assert same_rows(wh.read(b.FACT), fct_service_requests(latest_requests(batch), AS_OF))
+@pytest.mark.parametrize("root", ["wh", "w h%20\u00e9"])
+def test_a_micro_batch_is_read_by_the_columns_needed(spark, tmp_path, monkeypatch, root):
+    wh = Warehouse(spark, str(tmp_path / root), Settings(buckets=4))
+    plans = []
+
+    def watched(wh, batch, *rest, plain=landing_stream.build_versions):
+        plans.append(batch.select("status")._jdf.queryExecution().executedPlan().toString())
+        return plain(wh, batch, *rest)
+
+    monkeypatch.setattr(landing_stream, "build_versions", watched)
+    raw = normalise(lines(spark, first_batch()), "r1", "r1-0000", "2026-09-10T00:00:00")
+    for day in ("2026-09-10", "2026-09-11"):  # a first build and a merge
+        write_batch(raw, wh.raw_path, day, 3)
+        run_available(wh, AS_OF, str(tmp_path / "checkpoint"))
+    assert len(plans) == 2 and all("FileScan" in p and "descriptor" not in p for p in plans)
+    requests = latest_requests(raw)
+    assert same_rows(wh.read(b.REQUESTS), requests)
+    assert same_rows(wh.read(b.FACT), fct_service_requests(requests, AS_OF))
+    # A frame that comes from no file is folded in as it is.
+    other = Warehouse(spark, str(tmp_path / "other"), wh.settings)
+    landing_stream.fold_batch(other, raw.limit(0), AS_OF)
+    assert not other.exists(b.REQUESTS)
+    landing_stream.fold_batch(other, raw, AS_OF)
+    assert same_rows(other.read(b.FACT), wh.read(b.FACT))
 
 
 def test_null_keys_are_merged_like_others(spark, wh):
